@@ -34,7 +34,7 @@ def row_choice(salt: str, values: list[str], *keys: Column) -> Column:
 
 def seed_of(key: Column, stream: int) -> Column:
     """Per-row seed of one character stream, in [0, PRIME)."""
-    return ((key.cast("bigint") % PRIME) * 48271 + stream * 69621 + 11) % PRIME
+    return (F.pmod(key.cast("bigint"), F.lit(PRIME)) * 48271 + (stream * 69621 + 11)) % PRIME
 
 
 def position_draw(seed: Column, position: Column) -> Column:

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lurewatch.operators import features as feat
-from lurewatch.plans import oracle_base as ob
-from lurewatch.schema import FEATURES
+from lurewatch.operators import evaluate, explain, features as feat, sampling, scoring, textvec
+from lurewatch.plans import oracle_base as ob, oracle_model as om
+from lurewatch.schema import FEATURES, PHISHING_FAMILIES
+from lurewatch.sources import weights
 from lurewatch.sources.fixture import mail_view, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +64,260 @@ for _name, _parts in {
 @register("mail_features", _features_sql(FEATURES))
 def mail_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(feat.mail_features(mail_view(spark, sf_dir)), only=_ROUNDED)
+
+
+# --- Text block ---------------------------------------------------------------------------
+
+
+def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return textvec.with_clean_text(mail_view(spark, sf_dir)).select("mail_id", "clean")
+
+
+@register("clean_text", ob.mail_query("SELECT * FROM clean", om.clean_cte("mail")))
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean(spark, sf_dir)
+
+
+def _text_sql(kind: str, select: str) -> str:
+    tokens = om.word_token_cte() if kind == "word" else om.char_token_cte()
+    return ob.mail_query(select, om.clean_cte("mail"), tokens, om.tfidf_ctes(textvec.LIMITS[kind]))
+
+
+def _register_text(kind: str) -> None:
+    @register(f"term_document_frequency_{kind}", _text_sql(kind, "SELECT * FROM tdf"))
+    def frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return textvec.term_document_frequency(_clean(spark, sf_dir), kind)
+
+    @register(
+        f"vocabulary_{kind}",
+        _text_sql(kind, "SELECT term, df, total_tf, round(idf, 6) AS idf FROM vocab"),
+    )
+    def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rounded(textvec.vocabulary(_clean(spark, sf_dir), kind))
+
+    @register(
+        f"tfidf_{kind}",
+        _text_sql(kind, "SELECT mail_id, term, tf::INT AS tf, round(weight, 6) AS weight FROM tfidf"),
+    )
+    def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+        clean = _clean(spark, sf_dir)
+        return rounded(textvec.fit_text_space(clean, kind).long_weights(clean))
+
+
+_register_text("word")
+_register_text("char")
+
+_TOP_SQL = """SELECT mail_id, rank::INT AS rank, term, round(c, 6) AS contribution FROM (
+  SELECT mail_id, term, c, row_number() OVER (PARTITION BY mail_id ORDER BY abs(c) DESC, term) AS rank
+  FROM (SELECT mail_id, term, round(weight * {w}, 9) AS c FROM tfidf {join})) WHERE rank <= 8"""
+
+
+@register("top_terms", _text_sql("word", _TOP_SQL.format(w="1", join="")))
+def top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = _clean(spark, sf_dir)
+    return rounded(textvec.fit_text_space(clean).top_terms(clean))
+
+
+@register(
+    "term_contributions",
+    ob.mail_query(
+        _TOP_SQL.format(w="coalesce(tw.w, 0)", join="LEFT JOIN tw USING (term)"),
+        om.clean_cte("mail"), om.word_token_cte(), om.tfidf_ctes(textvec.LIMITS["word"]),
+        om.term_values(),
+    ),
+)
+def term_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = _clean(spark, sf_dir)
+    learnt = {t: w for t, (w, _) in weights.TERM_WEIGHTS.items()}
+    return rounded(textvec.fit_text_space(clean).top_terms(clean, learnt))
+
+
+# --- Linear scorer and explanations ---------------------------------------------------------
+
+
+def scorer_for(mail: DataFrame) -> weights.LinearScorer:
+    """The deployed coefficients, standardised on this population."""
+    return scoring.fitted_scorer(feat.mail_features(mail))
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = mail_view(spark, sf_dir)
+    keep = ("mail_id", "label", "noisy_label", "family")
+    return scoring.linear_score(mail, scorer_for(mail), keep).select(*keep, "score", "logit")
+
+
+@register(
+    "fit_scaler",
+    ob.mail_query(
+        " UNION ALL ".join(
+            f"SELECT {i} AS feature_idx, '{f}' AS feature, round(m_{f}, 6) AS mean, "
+            f"round(s_{f}, 6) AS scale FROM sc"
+            for i, f in enumerate(FEATURES)
+        ),
+        ob.features_ctes("mail"), om.FIT,
+    ),
+)
+def fit_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scoring.fit_scaler(feat.mail_features(mail_view(spark, sf_dir))))
+
+
+@register(
+    "linear_score",
+    ob.mail_query(
+        "SELECT mail_id, round(logit, 6) AS logit, round(score, 6) AS score FROM scored", *om.SCORED
+    ),
+)
+def linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_scores(spark, sf_dir).select("mail_id", "logit", "score"))
+
+
+@register(
+    "triage",
+    ob.mail_query(
+        """SELECT mail_id, round(score, 6) AS score,
+  CASE WHEN score >= 0.7 THEN 'phishing' WHEN score >= 0.4 THEN 'suspect' ELSE 'benin' END AS verdict,
+  (score >= 0.5)::INT AS predicted,
+  CASE WHEN score BETWEEN 0.35 AND 0.65 THEN 'incertain' ELSE 'confiant' END AS confidence
+FROM scored""",
+        *om.SCORED,
+    ),
+)
+def triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(scoring.triage(_scores(spark, sf_dir).select("mail_id", "score")))
+
+
+def _explained(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        mail = mail_view(spark, sf_dir)
+        return rounded(fn(feat.mail_features(mail), scorer_for(mail)))
+
+    return run
+
+
+_PHI_CTES = (ob.features_ctes("mail"), om.FIT, om.PHI)
+register(
+    "attributions",
+    ob.mail_query("SELECT mail_id, feature_idx, feature, round(phi, 6) AS phi FROM phi", *_PHI_CTES),
+)(_explained(scoring.attributions))
+_REASON_SQL = (
+    "SELECT mail_id, rank::INT AS rank, feature, text, round(weight, 6) AS weight, "
+    "'{d}' AS direction FROM {t}"
+)
+register(
+    "explain_reasons",
+    ob.mail_query(_REASON_SQL.format(d="augmente", t="reasons"), *_PHI_CTES, om.HUMAN, om.REASONS),
+)(_explained(explain.explain_reasons))
+register(
+    "explain_protective",
+    ob.mail_query(
+        _REASON_SQL.format(d="diminue", t="protective"), *_PHI_CTES, om.CALM, om.PROTECTIVE
+    ),
+)(_explained(explain.explain_protective))
+
+
+@register(
+    "explain_rules",
+    ob.mail_query(
+        _REASON_SQL.format(d="augmente", t="""(SELECT *, row_number() OVER (PARTITION BY mail_id
+  ORDER BY feature_idx) AS rank FROM v JOIN human USING (feature) WHERE weight <> 0) WHERE rank <= 6"""),
+        ob.features_ctes("mail"), om.HUMAN,
+        "v AS (" + " UNION ALL ".join(
+            f"SELECT mail_id, {i} AS feature_idx, '{f}' AS feature, {f} AS weight FROM f"
+            for i, f in enumerate(FEATURES)
+        ) + ")",
+    ),
+)
+def explain_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(explain.explain_rules(feat.mail_features(mail_view(spark, sf_dir))))
+
+
+@register(
+    "explain_mail",
+    ob.mail_query(
+        om.EXPLAIN, *om.SCORED, om.PHI, om.HUMAN, om.REASONS, om.CALM, om.PROTECTIVE
+    ),
+)
+def explain_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = mail_view(spark, sf_dir)
+    return explain.explain_mail(mail, scorer_for(mail)).select(
+        "mail_id", "score", "label", "summary",
+        F.size("reasons").alias("n_reasons"), F.size("protective").alias("n_protective"),
+    )
+
+
+# --- Evaluation ------------------------------------------------------------------------------
+
+
+def _evaluated(name: str, sql: str, fn, *ctes: str) -> None:
+    @register(name, ob.mail_query(sql, *om.SCORES, *ctes))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        report = fn(_scores(spark, sf_dir).drop("logit"))
+        return rounded(report, only=set(report.columns) - {"threshold"})
+
+
+_evaluated("binary_metrics", om.BINARY, evaluate.binary_metrics)
+_evaluated("family_report", om.FAMILY, evaluate.family_report)
+_evaluated("ranking_metrics", om.RANKING, evaluate.ranking_metrics, om.CUMULATIVE)
+_evaluated("roc_points", om.ROC, evaluate.roc_points, om.CUMULATIVE)
+_evaluated("pr_points", om.PR, evaluate.pr_points, om.CUMULATIVE)
+_evaluated("calibration_bins", om.CALIBRATION, evaluate.calibration_bins)
+
+
+@register(
+    "corpus_profile",
+    ob.mail_query(
+        "SELECT count(*) AS total, sum(label)::BIGINT AS phishing, sum(1 - label)::BIGINT AS benign, "
+        "count(*) FILTER (WHERE label <> noisy_label) AS noisy, "
+        "round(count(*) FILTER (WHERE label <> noisy_label) / count(*), 6) AS noise_rate FROM mail"
+    ),
+)
+def corpus_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.corpus_profile(mail_view(spark, sf_dir)))
+
+
+@register(
+    "class_weights",
+    ob.mail_query(
+        "SELECT label, count(*) AS n_class, round((SELECT count(*) FROM mail) / "
+        "((SELECT count(DISTINCT label) FROM mail) * count(*)), 6) AS class_weight FROM mail GROUP BY label"
+    ),
+)
+def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.class_weights(mail_view(spark, sf_dir)))
+
+
+# --- Splits, noise, samples --------------------------------------------------------------------
+
+
+@register("stratified_split", ob.mail_query(om.SPLIT))
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = mail_view(spark, sf_dir).select("mail_id", "label")
+    return sampling.stratified_split(mail)
+
+
+@register("content_split", ob.mail_query(om.CONTENT_SPLIT))
+def content_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = mail_view(spark, sf_dir)
+    return sampling.threshold_split(mail, F.col("body")).select("mail_id", "split")
+
+
+@register("kfold_assign", ob.mail_query(om.FOLDS))
+def kfold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.kfold_assign(mail_view(spark, sf_dir).select("mail_id", "label"))
+
+
+@register("inject_label_noise", ob.mail_query(om.NOISE))
+def inject_label_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.inject_label_noise(mail_view(spark, sf_dir).select("mail_id", "label"))
+
+
+@register("sample_n", ob.mail_query(om.SAMPLE))
+def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attacks = mail_view(spark, sf_dir).where(F.col("family").isin(*PHISHING_FAMILIES))
+    return sampling.sample_n(attacks.select("mail_id", "family", "subject"), 300)
+
+
+@register("sample_per_group", ob.mail_query(om.PER_GROUP))
+def sample_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = mail_view(spark, sf_dir).select("mail_id", "family", "subject")
+    return sampling.sample_per_group(mail, 2)
