@@ -154,7 +154,7 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"round(s_{f}, 6) AS scale FROM sc"
             for i, f in enumerate(FEATURES)
         ),
-        ob.features_ctes("mail"), om.FIT,
+        ob.features_ctes("mail", exact=True), om.FIT,
     ),
 )
 def fit_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +194,7 @@ def _explained(fn):
     return run
 
 
-_PHI_CTES = (ob.features_ctes("mail"), om.FIT, om.PHI)
+_PHI_CTES = (ob.features_ctes("mail", exact=True), om.FIT, om.PHI)
 register(
     "attributions",
     ob.mail_query("SELECT mail_id, feature_idx, feature, round(phi, 6) AS phi FROM phi", *_PHI_CTES),

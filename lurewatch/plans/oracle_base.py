@@ -92,8 +92,13 @@ _GLYPHS = "[" + "".join(lex.HOMOGLYPHS) + "]"
 _ANCHOR = r"(?is)<a[^>]+href=[\"'']([^\"'']+)[\"''][^>]*>(.*?)</a>"
 
 
-def features_ctes(src: str, prefix: str = "f") -> str:
-    """CTEs ending in ``{prefix}`` = (mail_id, 30 features) over a mail-shaped relation."""
+def features_ctes(src: str, prefix: str = "f", keys: str = "mail_id", exact: bool = False) -> str:
+    """CTEs ending in ``{prefix}`` = (keys, 30 features) over a mail-shaped relation."""
+    rnd = (lambda x: x) if exact else (lambda x: f"round({x}, 6)")
+    upper = (
+        r"coalesce(length(regexp_replace(text, '[^\p{Lu}]', '', 'g')) / "
+        r"nullif(length(regexp_replace(text, '[^\p{L}]', '', 'g')), 0), 0.0)"
+    )
     shown = "regexp_replace(a.t, '<[^>]+>', '', 'g')"
     return rf"""
 {prefix}_0 AS (SELECT *, subject || chr(10) || body AS text FROM {src}),
@@ -102,7 +107,7 @@ def features_ctes(src: str, prefix: str = "f") -> str:
   {domain_expr('sender_email')} AS sdom, {domain_expr('reply_to')} AS rdom FROM {prefix}_0),
 {prefix}_2 AS (SELECT *, list_transform(urls, lambda u: {host_expr('u')}) AS hosts
   FROM {prefix}_1),
-{prefix} AS (SELECT mail_id,
+{prefix} AS (SELECT {keys},
   len(urls)::DOUBLE AS url_count,
   {_any('urls', 'u', r"regexp_matches(u, '(?i)^https?://(\d{1,3}\.){3}\d{1,3}')")} AS url_has_ip,
   coalesce(list_max(list_transform(urls, lambda u: length(u))), 0)::DOUBLE AS url_max_len,
@@ -110,8 +115,8 @@ def features_ctes(src: str, prefix: str = "f") -> str:
   {_any('urls', 'u', "contains(split_part(u, '/', 3), '@')")} AS url_has_at_symbol,
   {_any('hosts', 'h', f"{last_two('h')} IN {in_list(lex.SHORTENERS)}")} AS url_uses_shortener,
   {_any('hosts', 'h', f"{tld('h')} IN {in_list(lex.RISKY_TLDS)}")} AS url_suspicious_tld,
-  round(CASE WHEN len(urls) = 0 THEN 1.0 ELSE len(list_filter(urls, lambda u: starts_with(lower(u), 'https'))) / len(urls) END, 6) AS url_https_ratio,
-  round(coalesce(list_max(list_transform(hosts, lambda h: {entropy(first_label('h'))})), 0.0), 6) AS url_max_entropy,
+  {rnd("CASE WHEN len(urls) = 0 THEN 1.0 ELSE len(list_filter(urls, lambda u: starts_with(lower(u), 'https'))) / len(urls) END")} AS url_https_ratio,
+  {rnd(f"coalesce(list_max(list_transform(hosts, lambda h: {entropy(first_label('h'))})), 0.0)")} AS url_max_entropy,
   coalesce(list_min(list_transform(hosts, lambda h: {distance('h')})), 9)::DOUBLE AS lookalike_brand_distance,
   {_any('hosts', 'h', digit_fold('h'))} AS digit_letter_substitution,
   (regexp_matches(text, '{_GLYPHS}') OR len(list_filter(hosts, lambda h: regexp_matches(h, '{_GLYPHS}'))) > 0)::INT::DOUBLE AS has_homoglyph,
@@ -123,8 +128,8 @@ def features_ctes(src: str, prefix: str = "f") -> str:
   {term_sum('norm', lex.FOLDED['credential'])}::DOUBLE AS credential_term_count,
   {term_sum('norm', lex.FOLDED['lure'])}::DOUBLE AS lure_term_count,
   {_any(text_list(lex.FOLDED['greeting']), 'g', 'contains(norm, g)')} AS generic_greeting,
-  round((length(text) - length(replace(text, '!', ''))) / greatest(length(text), 1), 6) AS exclamation_ratio,
-  round(coalesce(length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\p{{L}}]', '', 'g')), 0), 0.0), 6) AS uppercase_ratio,
+  {rnd("(length(text) - length(replace(text, '!', ''))) / greatest(length(text), 1)")} AS exclamation_ratio,
+  {rnd(upper)} AS uppercase_ratio,
   (lower(spf) IN ('fail', 'softfail'))::INT::DOUBLE AS spf_fail,
   (lower(dkim) = 'fail')::INT::DOUBLE AS dkim_fail,
   (lower(dmarc) = 'fail')::INT::DOUBLE AS dmarc_fail,

@@ -72,7 +72,7 @@ tl AS (SELECT mail_id, sum(w * idf * (1 + ln(tf))) AS tl FROM (
 {name} AS (SELECT mail_id, logit, round(1 / (1 + exp(-logit)), 9) AS score FROM {name}_l)"""
 
 
-SCORED = (ob.features_ctes("mail"), FIT, clean_cte("mail"), word_token_cte(), score_ctes())
+SCORED = (ob.features_ctes("mail", exact=True), FIT, clean_cte("mail"), word_token_cte(), score_ctes())
 SCORES = (*SCORED, """scores AS (SELECT scored.mail_id, score, label, noisy_label, family
   FROM scored JOIN mail USING (mail_id))""")
 
