@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lurewatch.functions.plan import pinned
 from lurewatch.functions.text import clean_text, full_text
 from lurewatch.operators.features import mail_features
 from lurewatch.operators.textvec import word_ngrams
@@ -95,17 +96,15 @@ def linear_score(
 ) -> DataFrame:
     """``keep`` + thirty features + ``logit`` and ``score``, in one pass over the mails."""
     wide = mail.withColumn("_clean", clean_text(full_text()))
-    # Rounding the logit keeps threshold decisions equal across summation orders.
-    return (
-        mail_features(wide, (*keep, "_clean"))
-        .withColumn("_terms", term_logit(scorer, F.col("_clean")))
-        .withColumn(
-            "logit",
-            F.round(F.lit(scorer.intercept) + tabular_logit(scorer) + F.col("_terms"), 9),
-        )
-        .drop("_clean", "_terms")
-        .withColumn("score", F.round(sigmoid(F.col("logit")), 9))
+    terms = mail_features(wide, (*keep, "_clean")).withColumn(
+        "_terms", term_logit(scorer, F.col("_clean"))
     )
+    # Rounding the logit keeps threshold decisions equal across summation orders.
+    logit = F.round(F.lit(scorer.intercept) + tabular_logit(scorer) + F.col("_terms"), 9)
+    scored = pinned(terms.withColumn("_logit", logit), {
+        "logit": F.col("_logit"), "score": F.round(sigmoid(F.col("_logit")), 9),
+    })
+    return scored.drop("_clean", "_terms", "_logit")
 
 
 def triage(scored: DataFrame, scorer: LinearScorer | None = None) -> DataFrame:

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lurewatch.operators import evaluate, explain, features as feat, sampling, scoring, textvec
-from lurewatch.plans import oracle_base as ob, oracle_model as om
+from lurewatch.functions.text import host_of_url
+from lurewatch.operators import (
+    campaign, canonicalize, evaluate, explain, features as feat, perturb, robustness, sampling,
+    scoring, textvec, trend,
+)
+from lurewatch.plans import oracle_attack as oa, oracle_base as ob, oracle_model as om
 from lurewatch.schema import FEATURES, PHISHING_FAMILIES
 from lurewatch.sources import weights
-from lurewatch.sources.fixture import mail_view, table
+from lurewatch.sources.fixture import mail_view, mail_view_with_time, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, tuple[Query, str | None]] = {}
@@ -321,3 +325,212 @@ def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     mail = mail_view(spark, sf_dir).select("mail_id", "family", "subject")
     return sampling.sample_per_group(mail, 2)
+
+
+# --- Evasion, canonicalisation, robustness ---------------------------------------------------------
+
+
+def _register_variant(variant: str) -> None:
+    @register(
+        f"perturb_{variant}",
+        ob.mail_query(
+            "SELECT mail_id, subject, body, array_to_string(attachments, ';') AS attachments, has_html FROM p",
+            oa.variant_ctes(variant, "mail", "p"),
+        ),
+    )
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return perturb.perturb_mail(mail_view(spark, sf_dir), variant).select(
+            "mail_id", "subject", "body",
+            F.array_join("attachments", ";").alias("attachments"), "has_html",
+        )
+
+
+for _variant in perturb.VARIANTS:
+    _register_variant(_variant)
+
+
+@register(
+    "canonicalize_mail",
+    ob.mail_query("SELECT mail_id, subject, body FROM z", oa.canonical_ctes("mail", "z")),
+)
+def canonicalize_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonicalize.canonicalize_mail(mail_view(spark, sf_dir)).select(
+        "mail_id", "subject", "body"
+    )
+
+
+@register("image_only_guard", ob.mail_query(f"SELECT mail_id, {oa.GUARD} AS guard FROM mail"))
+def image_only_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mail_view(spark, sf_dir).select(
+        "mail_id", canonicalize.image_only_guard().alias("guard")
+    )
+
+
+def _attacks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, weights.LinearScorer]:
+    mail = mail_view(spark, sf_dir)
+    return mail.where(F.col("family").isin(*PHISHING_FAMILIES)), scorer_for(mail)
+
+
+@register("robustness_matrix", oa.robustness_sql())
+def robustness_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robustness.robustness_matrix(*_attacks(spark, sf_dir))
+
+
+@register(
+    "baseline_detection",
+    ob.mail_query(
+        f"""SELECT round(count(*) FILTER (WHERE score >= 0.7) / count(*), 6) AS baseline_detection,
+  count(*) FILTER (WHERE score >= 0.7) AS n_detected, 0.7::DOUBLE AS threshold
+FROM scored JOIN mail USING (mail_id) WHERE family IN {ob.in_list(PHISHING_FAMILIES)}""",
+        *om.SCORED,
+    ),
+)
+def baseline_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(robustness.baseline_detection(*_attacks(spark, sf_dir)))
+
+
+# --- Hosts, prevalence, risk -------------------------------------------------------------------------
+
+
+@register(
+    "host_lookalike",
+    f"""WITH hosts AS (SELECT DISTINCT {ob.host_expr('url')} AS host FROM pages)
+SELECT host, {ob.distance('host')} AS lookalike_brand_distance,
+  ({ob.digit_fold('host')})::INT AS digit_letter_substitution FROM hosts""",
+)
+def host_lookalike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return feat.host_lookalike(pages.select(host_of_url(F.col("url")).alias("host")))
+
+
+@register(
+    "page_host_entropy",
+    f"""SELECT page_id, host, round({ob.entropy("string_split(host, '.')[1]")}, 6) AS entropy
+FROM (SELECT page_id, {ob.host_expr('url')} AS host FROM pages)""",
+)
+def page_host_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", host_of_url(F.col("url")).alias("host"))
+    label = F.substring_index("host", ".", 1)
+    return pages.select("page_id", "host", F.round(feat.entropy(label), 6).alias("entropy"))
+
+
+def _timed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.mail_features(mail_view_with_time(spark, sf_dir), ("mail_id", "received_at"))
+
+
+def _prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trend.technique_prevalence(_timed_features(spark, sf_dir), "day")
+
+
+_TIMED = (
+    """timed AS (SELECT mail.mail_id, date_diff('day', DATE '1970-01-01', ts::DATE)::INT AS period
+  FROM mail JOIN events ON event_id = 5 * mail.mail_id)""",
+    ob.features_ctes("mail"),
+    """prev AS (SELECT technique, period, avg(v) AS prevalence, count(*) AS n FROM (
+  SELECT period, 'url_shortener' AS technique, url_uses_shortener AS v FROM f JOIN timed USING (mail_id)
+  UNION ALL SELECT period, 'lookalike_domain', (lookalike_brand_distance BETWEEN 1 AND 2)::INT FROM f JOIN timed USING (mail_id)
+  UNION ALL SELECT period, 'homoglyph', has_homoglyph FROM f JOIN timed USING (mail_id))
+  GROUP BY technique, period)""",
+    """fit AS (SELECT technique, coalesce(regr_slope(y, period), 0) AS k,
+  avg(y) - coalesce(regr_slope(y, period), 0) * avg(period) AS b, max(period) AS last_period,
+  arg_max(prevalence, period) AS last_prevalence FROM (SELECT *, ln(v / (0.95::DOUBLE - v)) AS y FROM (
+  SELECT *, greatest(0.001::DOUBLE, least(0.949::DOUBLE, prevalence)) AS v FROM prev)) GROUP BY technique)""",
+    """future AS (SELECT technique, period, round(least(greatest(0.95::DOUBLE / (1 + exp(-(k * period + b))), 0), 0.99), 3) AS prevalence
+  FROM (SELECT *, unnest(range(last_period + 1, (SELECT max(period) FROM prev) + 4)) AS period FROM fit))""",
+)
+_NAMED = (
+    "CASE technique WHEN 'url_shortener' THEN 'Raccourcisseurs d''URL' "
+    "WHEN 'lookalike_domain' THEN 'Domaines sosies (typosquat)' ELSE 'Homoglyphes Unicode' END AS label"
+)
+
+
+@register(
+    "technique_prevalence",
+    ob.mail_query(
+        "SELECT technique, period, round(prevalence, 6) AS prevalence, n FROM prev", *_TIMED[:3]
+    ),
+)
+def technique_prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_prevalence(spark, sf_dir))
+
+
+@register(
+    "technique_trend",
+    ob.mail_query(
+        "SELECT technique, round(k, 6) AS k, round(b, 2) AS b, last_period, "
+        "round(last_prevalence, 6) AS last_prevalence FROM fit",
+        *_TIMED[:4],
+    ),
+)
+def technique_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fit = rounded(trend.technique_trend(_prevalence(spark, sf_dir)))
+    return fit.withColumn("b", F.round("b", 2))
+
+
+def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = _prevalence(spark, sf_dir)
+    last = history.agg(F.max("period")).first()[0]  # one number: the forecast horizon
+    return trend.technique_forecast(history, last + 3)
+
+
+@register(
+    "technique_forecast",
+    ob.mail_query(
+        f"SELECT technique, period, round(prevalence, 3) AS prevalence, kind, {_NAMED} FROM ("
+        "SELECT technique, period, prevalence, 'history' AS kind FROM prev UNION ALL "
+        "SELECT technique, period, prevalence, 'forecast' FROM future)",
+        *_TIMED,
+    ),
+)
+def technique_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_forecast(spark, sf_dir), 3)
+
+
+@register(
+    "trend_direction",
+    ob.mail_query(
+        """SELECT technique, round(h, 3) AS last_history, round(p, 3) AS last_forecast,
+  CASE WHEN p > h THEN 'up' ELSE 'down' END AS direction FROM (
+  SELECT technique, arg_max(prevalence, period) AS p FROM future GROUP BY technique) JOIN (
+  SELECT technique, arg_max(prevalence, period) AS h FROM prev GROUP BY technique) USING (technique)""",
+        *_TIMED,
+    ),
+)
+def trend_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(trend.trend_direction(_forecast(spark, sf_dir)), 3)
+
+
+_LEVERS = """levers AS (SELECT mail_id, unnest(list_filter([
+  CASE WHEN urgency_term_count > 0 THEN 0.55 END, CASE WHEN sender_display_domain_mismatch > 0 THEN 0.60 END,
+  CASE WHEN credential_term_count > 0 THEN 0.45 END, CASE WHEN lure_term_count > 0 THEN 0.50 END,
+  CASE WHEN url_uses_shortener > 0 THEN 0.40 END], lambda x: x IS NOT NULL))::DOUBLE AS w FROM f),
+persuasion AS (SELECT mail_id, coalesce(sum(w * pow(0.85::DOUBLE, rank - 1)), 0) AS p FROM f LEFT JOIN (
+  SELECT mail_id, w, row_number() OVER (PARTITION BY mail_id ORDER BY w DESC) AS rank FROM levers) USING (mail_id) GROUP BY mail_id),
+risk AS (SELECT mail_id, p, 1 / (1 + exp(-1.7::DOUBLE * (p - 1.35::DOUBLE))) AS base FROM persuasion)"""
+
+
+@register(
+    "campaign_risk",
+    ob.mail_query(
+        """SELECT mail_id, training, round(p, 6) AS persuasion, round(base, 6) AS base_rate,
+  round(base * (1 - cut), 6) AS adjusted_rate FROM risk CROSS JOIN (VALUES ('aucune', 0.0::DOUBLE),
+  ('sensibilisation_de_base', 0.45), ('formation_reguliere', 0.70), ('simulations_repetees', 0.82)) l(training, cut)""",
+        ob.features_ctes("mail"), _LEVERS,
+    ),
+)
+def campaign_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mails = campaign.mail_levers(feat.mail_features(mail_view(spark, sf_dir)))
+    scenarios = mails.select("mail_id", F.col("mail_id").alias("scenario"), "levers")
+    return rounded(campaign.campaign_risk(scenarios).drop("scenario", "levers"))
+
+
+@register(
+    "top_weights",
+    _text_sql("word", "SELECT term, round(w, 6) AS w, round(idf, 6) AS idf FROM (SELECT vocab.term, "
+              "tw.w, vocab.idf FROM vocab JOIN tw USING (term)) ORDER BY abs(w) DESC, term LIMIT 400").replace(
+        "WITH ", "WITH " + om.term_values() + ",\n", 1),
+)
+def top_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = textvec.vocabulary(_clean(spark, sf_dir)).select("term", "idf")
+    learnt = weights.LinearScorer().term_frame(spark).select("term", "w")
+    return rounded(weights.top_weights(vocab.join(F.broadcast(learnt), "term")))

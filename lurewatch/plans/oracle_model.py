@@ -61,14 +61,14 @@ def term_values() -> str:
     return f"tw(term, w, idf) AS (VALUES {rows})"
 
 
-def score_ctes(feat: str = "f", src: str = "mail", keys: str = "mail_id", name: str = "scored") -> str:
-    """Needs ``sc``; ``feat`` and ``clean``/``tokens`` built from the same ``src``."""
+def score_ctes(feat: str = "f", tokens: str = "tokens", name: str = "scored", tag: str = "") -> str:
+    """Needs ``sc``; ``feat`` and ``tokens`` built from the same relation."""
     total = " + ".join(_phi(f) for f in FEATURES)
-    return f"""{term_values()},
-tl AS (SELECT mail_id, sum(w * idf * (1 + ln(tf))) AS tl FROM (
-  SELECT mail_id, term, count(*) AS tf FROM tokens GROUP BY ALL) JOIN tw USING (term) GROUP BY mail_id),
+    return f"""{tag}{term_values()},
+{tag}tl AS (SELECT mail_id, sum(w * idf * (1 + ln(tf))) AS tl FROM (
+  SELECT mail_id, term, count(*) AS tf FROM {tokens} GROUP BY ALL) JOIN {tag}tw USING (term) GROUP BY mail_id),
 {name}_l AS (SELECT f.mail_id, round({wt.INTERCEPT!r}::DOUBLE + {total} + coalesce(tl.tl, 0), 9) AS logit
-  FROM {feat} f CROSS JOIN sc LEFT JOIN tl ON tl.mail_id = f.mail_id),
+  FROM {feat} f CROSS JOIN sc LEFT JOIN {tag}tl tl ON tl.mail_id = f.mail_id),
 {name} AS (SELECT mail_id, logit, round(1 / (1 + exp(-logit)), 9) AS score FROM {name}_l)"""
 
 
