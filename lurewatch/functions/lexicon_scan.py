@@ -56,7 +56,7 @@ _COMMON_MARKS = re.compile("[\u0300-\u036f]")
 _BEYOND = re.compile("[\u0370-\U0010ffff]")
 
 
-def _fold(text: str) -> str:
+def fold_text(text: str) -> str:
     low = text.lower()
     if low.isascii():
         return low
@@ -68,7 +68,7 @@ def _fold(text: str) -> str:
 
 
 def _hits(text: str) -> list[int]:
-    total, low = [0] * len(KINDS), _fold(text)
+    total, low = [0] * len(KINDS), fold_text(text)
     if ahocorasick is None:
         found = [(w, low.count(t)) for t, w in _weights().items() if t in low]
     else:

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lurewatch import lexicons as lex, ship
 from lurewatch.functions.text import host_of_url
 from lurewatch.operators import (
-    campaign, canonicalize, evaluate, explain, features as feat, perturb, robustness, sampling,
-    scoring, textvec, trend,
+    campaign, canonicalize, evaluate, explain, features as feat, highlight, model, perturb,
+    robustness, sampling, scoring, textvec, trend,
 )
 from lurewatch.plans import oracle_attack as oa, oracle_base as ob, oracle_model as om
 from lurewatch.schema import FEATURES, PHISHING_FAMILIES
@@ -24,7 +25,11 @@ _ROUNDED = {"url_https_ratio", "url_max_entropy", "exclamation_ratio", "uppercas
 
 def register(name: str, sql: str | None = None):
     def add(fn: Query) -> Query:
-        CATALOG[name] = (fn, sql)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        CATALOG[name] = (run, sql)
         return fn
 
     return add
@@ -534,3 +539,84 @@ def top_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = textvec.vocabulary(_clean(spark, sf_dir)).select("term", "idf")
     learnt = weights.LinearScorer().term_frame(spark).select("term", "w")
     return rounded(weights.top_weights(vocab.join(F.broadcast(learnt), "term")))
+
+
+# --- Highlights ---------------------------------------------------------------------------------------
+
+_LEX_ROWS = ", ".join(
+    "('{}', '{}', '{}')".format(k, t.replace("'", "''"), lex.HIGHLIGHT_NOTES[k].replace("'", "''"))
+    for k, ts in lex.FOLDED.items() for t in ts
+)
+_GLYPH_ROWS = ", ".join(f"('{c}', '{v}')" for c, v in lex.HOMOGLYPHS.items())
+_URL_HOST = "string_split(string_split(regexp_replace(url, '^https?://', ''), '/')[1], ':')[1]"
+_HIGHLIGHT_SQL = rf"""SELECT mail_id, start::INT AS "start", stop::INT AS "end", kind, snippet, note FROM (
+SELECT DISTINCT mail_id, start, start + length(term) AS stop, kind, substr(text, start + 1, length(term)) AS snippet, note FROM (
+  SELECT mail_id, text, term, kind, note, list_sum(list_transform(parts[1:k], lambda p: length(p)))::BIGINT + (k - 1) * length(term) AS start
+  FROM (SELECT *, unnest(range(1, len(parts))) AS k FROM (
+    SELECT mail_id, text, term, kind, note, string_split(strip_accents(lower(text)), term) AS parts
+    FROM t, (VALUES {_LEX_ROWS}) l(kind, term, note))))
+UNION ALL SELECT mail_id, k - 1, k, 'homoglyph', c, 'Caractère trompeur ''' || c || ''' imitant ''' || latin || '''' FROM (
+  SELECT mail_id, unnest(string_split(text, '')) AS c, unnest(range(1, length(text) + 1)) AS k FROM t)
+  JOIN (VALUES {_GLYPH_ROWS}) g(c, latin) USING (c)
+UNION ALL SELECT mail_id, start, start + length(url), 'url', url, CASE
+  WHEN {ob.distance('host')} <= 2 THEN 'Domaine très proche d''une marque connue (' || dom || ') - possible typosquatting'
+  WHEN regexp_matches(dom, '\.({'|'.join(lex.NOTE_TLDS)})$') THEN 'Extension de domaine à risque (' || dom || ')'
+  WHEN regexp_matches(host, '^(\d{{1,3}}\.){{3}}\d{{1,3}}') THEN 'L''URL pointe vers une adresse IP brute'
+  WHEN starts_with(lower(url), 'http://') THEN 'Lien non chiffré (http) - destination à vérifier'
+  ELSE 'Lien présent dans le message' END FROM (SELECT *, {ob.last_two('host')} AS dom FROM (
+  SELECT mail_id, urls[k] AS url, {_URL_HOST.replace('url', 'urls[k]')} AS host, list_sum(list_transform(parts[1:k], lambda p: length(p))) +
+    coalesce(list_sum(list_transform(urls[1:k - 1], lambda p: length(p))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(urls) + 1)) AS k FROM (SELECT mail_id, regexp_extract_all(text, '{ob.URL_RE}') AS urls,
+    string_split_regex(text, '{ob.URL_RE}') AS parts FROM t)))))"""
+
+
+@register(
+    "highlight_spans",
+    ob.mail_query(
+        _HIGHLIGHT_SQL, "t AS (SELECT mail_id, subject || chr(10) || body AS text FROM mail)"
+    ),
+)
+def highlight_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return highlight.highlight_spans(mail_view(spark, sf_dir))
+
+
+# --- Training (rows-only: iterative fits) ---------------------------------------------------------------
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    mail = mail_view(spark, sf_dir)
+    sides = sampling.stratified_split(mail.select("mail_id", "label")).select("mail_id", "split")
+    joined = mail.join(sides, "mail_id")
+    return tuple(joined.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+
+
+@register("fit_calibrated")
+def fit_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic model on all three blocks (10 iterations); scores of the test side."""
+    train, test = _split(spark, sf_dir)
+    spec = model.ModelSpec("logreg", max_iter=10)
+    scored = model.train(train, spec).score_mail(test, ("mail_id", "label"))
+    return rounded(scored, 4)
+
+
+@register("export_weights")
+def export_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 400 heaviest word weights of the fitted linear model."""
+    train, _ = _split(spark, sf_dir)
+    spec = model.ModelSpec("logreg", max_iter=10)
+    scorer = model.train(train, spec, ("tab", "word")).linear_scorer()
+    return rounded(weights.top_weights(scorer.term_frame(spark), 400), 4)
+
+
+@register("compare_models")
+def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three model kinds on the tabular block, ensembles at 20 trees / 10 rounds."""
+    specs = [
+        model.ModelSpec(k, trees=20, rounds=10, max_iter=100) for k in ("logreg", "rf", "gbt")
+    ]
+    return rounded(model.compare_models(*_split(spark, sf_dir), specs, ("tab",)), 4)
+
+
+@register("feature_importance")
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(model.feature_importance(mail_view(spark, sf_dir), trees=50), 4)
