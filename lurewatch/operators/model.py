@@ -12,7 +12,6 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
 from lurewatch.functions.plan import pinned
 from lurewatch.functions.text import clean_text, full_text
@@ -22,6 +21,7 @@ from lurewatch.operators.sampling import kfold_assign
 from lurewatch.operators.scoring import fit_scaler, sigmoid
 from lurewatch.operators.textvec import TextSpace, fit_text_space, with_clean_text
 from lurewatch.schema import FEATURES
+from lurewatch.sources.reports import stored
 from lurewatch.sources.weights import LinearScorer
 
 ALL_BLOCKS = ("tab", "word", "char")
@@ -205,11 +205,11 @@ def observed_label(mail: DataFrame) -> str:
 def fit_vectors(
     mail: DataFrame, space: DesignSpace, folds: int = 3
 ) -> DataFrame:
-    """Persisted training vectors with label ``y`` and stratified ``fold``."""
+    """Stored training vectors with label ``y`` and stratified ``fold``."""
     y = F.col(observed_label(mail)).alias("y")
     vectors = space.transform(mail.withColumn("y", y), ("mail_id", "y"))
     ids = kfold_assign(mail.select("mail_id", y), folds, "y").select("mail_id", "fold")
-    return vectors.join(ids, "mail_id").persist(StorageLevel.MEMORY_AND_DISK)
+    return stored(vectors.join(ids, "mail_id"), "vectors")
 
 
 def fit_calibrated(
@@ -230,11 +230,7 @@ def train(
     mail: DataFrame, spec: ModelSpec = ModelSpec(), blocks: tuple[str, ...] = ALL_BLOCKS
 ) -> CalibratedModel:
     space = DesignSpace.fit(mail, blocks)
-    vectors = fit_vectors(mail, space)
-    try:
-        return fit_calibrated(vectors, space, spec)
-    finally:
-        vectors.unpersist()
+    return fit_calibrated(fit_vectors(mail, space), space, spec)
 
 
 def metric_rows(scores: DataFrame, model: str, position: int) -> DataFrame:
@@ -268,13 +264,13 @@ def compare_models(
     space = DesignSpace.fit(train_mail, blocks)
     vectors = fit_vectors(train_mail, space)
     keep = ("mail_id", *[c for c in ("label", "noisy_label") if c in test_mail.columns])
-    test = space.transform(test_mail, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    test = stored(space.transform(test_mail, keep), "test_vectors")
     report = None
     for position, spec in enumerate(specs):
         model = fit_calibrated(vectors, space, spec)
-        rows = metric_rows(model.score_vectors(test), spec.kind, position)
+        scores = stored(model.score_vectors(test).drop("x"), f"scores_{spec.kind}")
+        rows = metric_rows(scores, spec.kind, position)
         report = rows if report is None else report.unionByName(rows)
-    vectors.unpersist()
     return report
 
 
@@ -290,12 +286,10 @@ def feature_importance(mail: DataFrame, trees: int = 250, top: int = 15) -> Data
     """Impurity importances of a forest on the tabular block, largest first."""
     y = F.col(observed_label(mail)).cast("double").alias("y")
     x = array_to_vector(F.array(*FEATURES)).alias("x")
-    rows = mail_features(mail.withColumn("y", y), ("y",)).select("y", x)
-    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = stored(mail_features(mail.withColumn("y", y), ("y",)).select("y", x), "tabular")
     forest = RandomForestClassifier(
         featuresCol="x", labelCol="y", numTrees=trees, maxDepth=30, seed=42
     ).fit(rows)
-    rows.unpersist()
     values = [(f, float(v)) for f, v in zip(FEATURES, forest.featureImportances.toArray())]
     frame = mail.sparkSession.createDataFrame(values, "feature string, importance double")
     return frame.orderBy(F.col("importance").desc(), "feature").limit(top)

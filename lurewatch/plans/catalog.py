@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lurewatch import lexicons as lex, ship
 from lurewatch.functions.text import host_of_url
 from lurewatch.operators import (
-    campaign, canonicalize, evaluate, explain, features as feat, highlight, model, perturb,
+    campaign, canonicalize, corpus, evaluate, explain, features as feat, highlight, model, perturb,
     robustness, sampling, scoring, textvec, trend,
 )
 from lurewatch.plans import oracle_attack as oa, oracle_base as ob, oracle_model as om
 from lurewatch.schema import FEATURES, PHISHING_FAMILIES
 from lurewatch.sources import weights
-from lurewatch.sources.fixture import mail_view, mail_view_with_time, table
+from lurewatch.sources.fixture import mail_stream_view, mail_view, mail_view_with_time, table
+from lurewatch.sources.reports import work_folder
+from lurewatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, tuple[Query, str | None]] = {}
@@ -620,3 +623,56 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(model.feature_importance(mail_view(spark, sf_dir), trees=50), 4)
+
+
+# --- Streaming and corpus ---------------------------------------------------------------------------------
+
+
+@register(
+    "drift_windows",
+    ob.mail_query(
+        "SELECT date_trunc('day', ts) AS window_start, count(*) AS n, round(avg(score), 6) AS mean_score, "
+        "round(avg((score >= 0.7)::INT), 6) AS alert_rate, "
+        + ", ".join(
+            f"count(*) FILTER (WHERE least(floor(score * 10), 9) = {b}) AS bin_{b}" for b in range(10)
+        )
+        + " FROM scored JOIN events ON event_id = 5 * mail_id GROUP BY 1",
+        *om.SCORED,
+    ),
+)
+def drift_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = mail_view_with_time(spark, sf_dir)
+    scored = scoring.linear_score(mail, scorer_for(mail_view(spark, sf_dir)), ("mail_id", "received_at"))
+    return rounded(jobs.drift_windows(scored))
+
+
+@register(
+    "score_stream",
+    ob.mail_query(
+        """SELECT mail_id, round(score, 6) AS score,
+  CASE WHEN score >= 0.7 THEN 'phishing' WHEN score >= 0.4 THEN 'suspect' ELSE 'benin' END AS verdict,
+  (score >= 0.5)::INT AS predicted,
+  CASE WHEN score BETWEEN 0.35 AND 0.65 THEN 'incertain' ELSE 'confiant' END AS confidence
+FROM scored""",
+        *om.SCORED,
+    ),
+)
+def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents read as a file stream, scored into parquet, read back."""
+    folder = f"{work_folder(spark)}/score_stream_{uuid.uuid4().hex}"
+    scorer = scorer_for(mail_view(spark, sf_dir))
+    query = jobs.start_scoring(mail_stream_view(spark, sf_dir), scorer, f"{folder}/out", f"{folder}/cp")
+    query.awaitTermination()
+    return rounded(spark.read.parquet(f"{folder}/out"))
+
+
+@register("expand_corpus")
+def expand_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("mail_id"))
+    mail = corpus.expand_corpus(ids)
+    return mail.withColumn("attachments", F.array_join("attachments", ";"))
+
+
+@register("augment_text")
+def augment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.augment_text(mail_view(spark, sf_dir)).select("mail_id", "body")

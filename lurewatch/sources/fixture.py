@@ -97,14 +97,25 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
-def mail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    mail = spark.sql(MAIL_SQL, documents=documents)
+def as_mail(documents: DataFrame) -> DataFrame:
+    """Mail rows of a (batch or streaming) ``documents`` frame."""
+    mail = documents.sparkSession.sql(MAIL_SQL, documents=documents)
     return mail.withColumn("attachments", attachment_list(F.col("attachment_names"))).drop(
         "attachment_names"
     )
 
 
+def mail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_mail(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"))
+
+
+def mail_stream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows arriving as a file stream."""
+    schema = table(spark, sf_dir, "documents").schema
+    files = f"{sf_dir.rstrip('/')}/documents*.parquet"
+    return as_mail(spark.readStream.schema(schema).parquet(files).select("doc_id", "text"))
+
+
 def mail_view_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``mail`` plus ``received_at``, taken from the event five times the mail id."""
     stamps = table(spark, sf_dir, "events").select(
