@@ -14,3 +14,12 @@ def pinned(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     pack = F.struct(*[c.alias(n) for n, c in columns.items()])
     return df.select("*", F.inline_outer(F.array(pack)))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it.
+
+    Inside a lambda, or across branches of a conditional, the engine does not share
+    repeated subexpressions; a lambda variable is bound once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

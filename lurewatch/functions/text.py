@@ -14,6 +14,7 @@ from functools import lru_cache
 from pyspark.sql import Column, functions as F
 
 from lurewatch import lexicons
+from lurewatch.functions.plan import let
 
 # Whitespace as the Unicode-aware regex class ``\s`` sees it, spelled out so the
 # JVM regex needs no Unicode flag (the flag makes every class lookup slower).
@@ -93,20 +94,23 @@ def _char_class(chars) -> str:
 
 def fold(text: Column) -> Column:
     """Lower-case and strip accents (compatibility decomposition minus combining marks)."""
-    low = F.lower(text)
     src, dst, expand = _fold_tables()
-    single = F.translate(low, src, dst)
     # Two foldable arrays: the optimizer turns the map into one constant.
     table = F.map_from_arrays(
         F.split(F.lit("".join(expand)), ""), F.split(F.lit("\x01".join(expand.values())), "\x01")
     )
-    spelled = F.array_join(
-        F.transform(F.split(single, ""), lambda c: F.coalesce(F.element_at(table, c), c)), ""
-    )
     latin = _char_class(c for c in expand if c <= "\xff")
     other = _char_class(c for c in expand if c > "\xff")
-    needs_expansion = single.rlike(rf"[{latin}]|(?=[^\x00-\xff])[{other}]")
-    return F.when(is_ascii(text), low).otherwise(F.when(needs_expansion, spelled).otherwise(single))
+    expandable = rf"[{latin}]|(?=[^\x00-\xff])[{other}]"
+
+    def spell(single):
+        chars = F.transform(F.split(single, ""), lambda c: F.coalesce(F.element_at(table, c), c))
+        return F.when(single.rlike(expandable), F.array_join(chars, "")).otherwise(single)
+
+    def unaccent(low):
+        return F.when(is_ascii(low), low).otherwise(let(F.translate(low, src, dst), spell))
+
+    return let(F.lower(text), unaccent)
 
 
 @lru_cache(maxsize=None)
@@ -202,9 +206,14 @@ def literal_alternation(values: list[str]) -> str:
 
 def clean_text(text: Column) -> Column:
     """Mask URLs and addresses, fold, keep ``[a-z0-9_]`` words separated by single spaces."""
-    masked = F.regexp_replace(text, URL, " URL_TOKEN ")
-    masked = F.regexp_replace(masked, EMAIL, " EMAIL_TOKEN ")
-    return F.btrim(F.regexp_replace(fold(masked), r"[^a-z0-9_]+", " "))
+
+    def mask(t):
+        no_urls = F.when(t.contains("://"), F.regexp_replace(t, URL, " URL_TOKEN ")).otherwise(t)
+        return F.when(t.contains("@"), F.regexp_replace(no_urls, EMAIL, " EMAIL_TOKEN ")).otherwise(
+            no_urls
+        )
+
+    return F.btrim(F.regexp_replace(fold(let(text, mask)), r"[^a-z0-9_]+", " "))
 
 
 def replace_urls(text: Column, rewrite) -> Column:

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lurewatch.functions.plan import pinned
+from lurewatch.functions.plan import let, pinned
 from lurewatch.functions.text import clean_text, full_text
 from lurewatch.operators.features import mail_features
-from lurewatch.operators.textvec import word_ngrams
+from lurewatch.operators.textvec import word_ngrams, words
 from lurewatch.schema import FEATURES, PHISH_THRESHOLD, SUSPECT_THRESHOLD
 from lurewatch.sources.weights import LinearScorer
 
@@ -60,7 +60,7 @@ def term_logit(scorer: LinearScorer, clean: Column) -> Column:
     """
     if not scorer.terms:
         return F.lit(0.0)
-    known = F.filter(word_ngrams(clean), lambda t: t.isin(*scorer.terms))
+    tokens = word_ngrams if any(" " in t for t in scorer.terms) else words
     value = {t: w * idf for t, (w, idf) in scorer.terms.items()}
     table = F.map_from_arrays(
         F.split(F.lit("\x01".join(value)), "\x01"),
@@ -68,11 +68,14 @@ def term_logit(scorer: LinearScorer, clean: Column) -> Column:
     )
 
     # Few occurrences survive the hash-set filter, so counting them pairwise is cheap.
-    def add(acc, term):
-        tf = F.size(F.filter(known, lambda other: other == term))
-        return acc + F.element_at(table, term) * (1 + F.log(tf.cast("double")))
+    def total(known):
+        def add(acc, term):
+            tf = F.size(F.filter(known, lambda other: other == term))
+            return acc + F.element_at(table, term) * (1 + F.log(tf.cast("double")))
 
-    return F.aggregate(F.array_distinct(known), F.lit(0.0), add)
+        return F.aggregate(F.array_distinct(known), F.lit(0.0), add)
+
+    return let(F.filter(tokens(clean), lambda t: t.isin(*scorer.terms)), total)
 
 
 def sigmoid(logit: Column) -> Column:

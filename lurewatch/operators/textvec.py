@@ -15,6 +15,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lurewatch.functions.plan import let
 from lurewatch.functions.text import clean_text, full_text
 
 
@@ -24,11 +25,14 @@ def words(clean: Column) -> Column:
 
 def word_ngrams(clean: Column) -> Column:
     """Words of two characters or more, then pairs of neighbours among those."""
-    tokens = words(clean)
-    pairs = r"(?<![^ ])(?=([^ ]+ [^ ]+))"
-    return F.concat(
-        tokens, F.regexp_extract_all(F.array_join(tokens, " "), F.lit(pairs), F.lit(1))
-    )
+    pairs = F.lit(r"(?<![^ ])(?=([^ ]+ [^ ]+))")
+
+    def with_pairs(tokens):
+        return F.concat(
+            tokens, F.regexp_extract_all(F.array_join(tokens, " "), pairs, F.lit(1))
+        )
+
+    return let(words(clean), with_pairs)
 
 
 def char_ngrams(clean: Column, sizes: tuple[int, ...] = (3, 4, 5)) -> Column:
@@ -37,9 +41,13 @@ def char_ngrams(clean: Column, sizes: tuple[int, ...] = (3, 4, 5)) -> Column:
     In text padded by single spaces these are the windows whose inner characters
     are not spaces; a word shorter than the window has none, so it is not repeated.
     """
-    padded = F.concat(F.lit(" "), clean, F.lit(" "))
     windows = [f"(?=(.[^ ]{{{n - 2}}}.))" for n in sizes]
-    return F.concat(*[F.regexp_extract_all(padded, F.lit(w), F.lit(1)) for w in windows])
+    return let(
+        F.concat(F.lit(" "), clean, F.lit(" ")),
+        lambda padded: F.concat(
+            *[F.regexp_extract_all(padded, F.lit(w), F.lit(1)) for w in windows]
+        ),
+    )
 
 
 TOKENIZERS = {"word": word_ngrams, "char": char_ngrams}

@@ -73,7 +73,15 @@ def write_mail_csv(df: DataFrame, path: str) -> None:
         F.col("has_html").cast("int").alias("has_html"),
         "num_recipients", "label", "family", "noisy_label",
     )
-    flat.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    (
+        flat.write.mode("errorifexists")
+        .option("header", True)
+        .option("quoteAll", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def coerce_json(df: DataFrame) -> DataFrame:
