@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lurewatch import lexicons as lex
 from lurewatch.functions import text as tx
 from lurewatch.functions.draws import below, position_draw, seed_of
+from lurewatch.functions.plan import let
 
 VARIANTS = [
     "char_spacing", "homoglyph", "leetspeak", "zero_width", "url_obfuscation", "image_only",
@@ -123,8 +124,12 @@ def polish_body(body: Column) -> Column:
     out = F.regexp_replace(out, _PRESSURE, "dans les meilleurs délais")
     out = F.regexp_replace(out, "!{2,}", ".")
     out = tx.strip(F.regexp_replace(out, f"[{tx._SPACE_CLASS}]+", " "))
-    signed = F.concat(out, F.lit(" Cordialement, le service client."))
-    return F.when(F.lower(out).contains("cordialement"), out).otherwise(signed)
+
+    def sign(t):
+        signed = F.concat(t, F.lit(" Cordialement, le service client."))
+        return F.when(F.lower(t).contains("cordialement"), t).otherwise(signed)
+
+    return let(out, sign)
 
 
 def polish_subject(subject: Column) -> Column:
