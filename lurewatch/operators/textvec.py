@@ -107,7 +107,8 @@ class TextSpace:
         model = CountVectorizerModel.from_vocabulary(self.terms, "_tokens", "_counts")
         tokens = df.select(key, TOKENIZERS[self.kind](F.col("clean")).alias("_tokens"))
         weigh = _cells(np.array(self.idf))
-        return model.transform(tokens).select(key, weigh("_counts").alias("cells"))
+        arrays = model.transform(tokens).select(key, weigh("_counts").alias("c"))
+        return arrays.select(key, F.arrays_zip("c.idx", "c.tf", "c.weight").alias("cells"))
 
     def names(self) -> Column:
         return F.split(F.lit("\x01".join(self.terms)), "\x01")
@@ -167,19 +168,15 @@ def _weigher(idf: np.ndarray):
 
 
 def _cells(idf: np.ndarray):
-    @F.pandas_udf("array<struct<idx: int, tf: int, weight: double>>")
-    def cells(v: pd.DataFrame) -> pd.Series:
-        rows = zip(v["indices"], v["values"])
-        return pd.Series(
-            [
-                [
-                    {"idx": int(k), "tf": int(n), "weight": float(w)}
-                    for k, n, w in zip(i, c, _weights(i, c, idf))
-                ]
-                for i, c in rows
-            ],
-            dtype=object,
-        )
+    @F.pandas_udf("idx array<int>, tf array<int>, weight array<double>")
+    def cells(v: pd.DataFrame) -> pd.DataFrame:
+        pairs = list(zip(v["indices"], v["values"]))
+        columns = {
+            "idx": [np.asarray(i, dtype="int32") for i, _ in pairs],
+            "tf": [np.asarray(c).astype("int32") for _, c in pairs],
+            "weight": [_weights(i, c, idf) for i, c in pairs],
+        }
+        return pd.DataFrame({k: pd.Series(x, dtype=object) for k, x in columns.items()})
 
     return cells
 
