@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lurewatch import ship
-from lurewatch.llm import exact_dedup, url_filter
+from lurewatch.llm import bpe_codec, exact_dedup, token_counts, token_store, url_filter
 from lurewatch.llm.common import table
 
+#: Vocabulary file of the token operators; it must lie at the same place on every executor.
+VOCABULARY = "byte_bpe_50k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Query, str | None]] = {}
 
@@ -26,6 +29,24 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+@register("op2_token_store")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    store = token_store.write_store(docs, vocabulary_path())
+    return token_store.read_records(token_store.look_up(docs, store), store)
+
+
+@register("op3_bpe_round_trip")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 @register("op5_exact_dedup", exact_dedup.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -34,3 +55,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_url_rules", url_filter.SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
