@@ -20,7 +20,7 @@ CACHE_PIECES = 500_000
 
 # fixed values: the pattern of byte-level BPE files and Unicode's White_Space
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 # A piece is white space with what follows it up to the next white space; letters
 # that end before plain punctuation end a piece too. No apostrophe: 's is a token.

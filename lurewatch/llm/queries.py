@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lurewatch import ship
-from lurewatch.llm import bpe_codec, exact_dedup, token_counts, token_store, url_filter
+from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, token_counts, token_store, url_filter
 from lurewatch.llm.common import table
 
 #: Vocabulary file of the token operators; it must lie at the same place on every executor.
@@ -60,3 +60,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@register("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op10_html_consensus")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.extract_pages(table(spark, sf_dir, "pages"))
