@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lurewatch import ship
-from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, token_counts, token_store, url_filter
+from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, quality, token_counts, token_store, url_filter
 from lurewatch.llm.common import table
 
 #: Vocabulary file of the token operators; it must lie at the same place on every executor.
@@ -57,6 +57,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+@register("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_classifier(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model)
+
+
 @register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
