@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lurewatch.llm.bytebpe import Cache
-from lurewatch.llm.common import WORD, text_of
+from lurewatch.llm.common import text_of
 
 MIN_MATCH = 5
 #: Share of an item's words that must lie under tiles.
@@ -40,14 +40,17 @@ COVERAGE = 0.5
 #: Bytes of benchmark text in a broadcast block, on average.
 BLOCK_BYTES = 16 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_WORDS = re.compile(WORD)
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
+def raw_words(text: str) -> list[bytes]:
+    # on bytes: lower() changes A-Z only, split() cuts at the six ASCII spaces only
+    return text.encode().lower().split()
+
+
 def normal_words(text: str) -> list[str]:
     """Words that count; those without a letter or digit are left out."""
-    return [w for w in (_EDGES.sub("", x) for x in _WORDS.findall(text.translate(_LOWER))) if w]
+    return [w for w in (_EDGES.sub("", x.decode()) for x in raw_words(text)) if w]
 
 
 def rolling(ids: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -146,14 +149,15 @@ class Matcher:
         self.seeds, self.coverage = seeds, coverage
         self.ids = Cache(self._id)
 
-    def _id(self, raw: str) -> int:
+    def _id(self, piece: bytes) -> int:
         """0: not in the benchmark; -1: no word."""
+        raw = piece.decode()
         word = raw if raw.isalnum() else _EDGES.sub("", raw)
         return self.seeds.words.get(word, 0) if word else -1
 
     def find(self, text: str) -> list[tuple[object, float, int, int]]:
         """(item, coverage, tiles, longest tile) of each item that the text holds."""
-        ids = np.fromiter(map(self.ids.__getitem__, _WORDS.findall(text.translate(_LOWER))), dtype=np.int64)
+        ids = np.fromiter(map(self.ids.__getitem__, raw_words(text)), dtype=np.int64)
         ids = ids[ids >= 0]
         out = []
         for item, length, doc_at, item_at in self.seeds.shared(ids):

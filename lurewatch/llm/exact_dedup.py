@@ -35,28 +35,20 @@ def md5_hash(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def _bit(content: Column) -> Column:
-    return F.pmod(F.xxhash64(content), F.lit(1 << FILTER_BITS))
-
-
-def _bitmap(hashes: DataFrame) -> DataFrame:
-    """Pages of 32768 bits: (page, bits); a bit is set for each hash."""
-    bit = _bit(F.col("h"))
-    return (
-        hashes.select((bit / _PAGE_BITS).cast("int").alias("page"), (bit % _PAGE_BITS).alias("at"))
-        .groupBy("page")
-        .agg(F.bitmap_construct_agg("at").alias("bits"))
-    )
-
-
-def _maybe_copied(rows: DataFrame, hashes: DataFrame) -> DataFrame:
-    bit = _bit(F.col("h"))
-    flagged = rows.withColumn("page", (bit / _PAGE_BITS).cast("int")).withColumn("at", (bit % _PAGE_BITS).cast("int"))
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(at / 8 as int) + 1, 1)")), 16, 10).cast("int")
+def maybe_in(rows: DataFrame, keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose key is among ``keys``, and few others.
+
+    A bitmap of 2**bits bits in pages of 32768, broadcast: one is set for each key.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    page, at = (bit / _PAGE_BITS).cast("int").alias("__page"), (bit % _PAGE_BITS).cast("int").alias("__at")
+    bitmap = keys.select(page, at.cast("long")).groupBy("__page").agg(F.bitmap_construct_agg("__at").alias("__bits"))
+    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__at / 8 as int) + 1, 1)")), 16, 10).cast("int")
     return (
-        flagged.join(F.broadcast(_bitmap(hashes)), "page")
-        .where(byte.bitwiseAND(F.expr("shiftleft(1, at % 8)")) != 0)
-        .drop("page", "at", "bits")
+        rows.select("*", page, at)
+        .join(F.broadcast(bitmap), "__page")
+        .where(byte.bitwiseAND(F.expr("shiftleft(1, __at % 8)")) != 0)
+        .drop("__page", "__at", "__bits")
     )
 
 
@@ -75,7 +67,7 @@ def exact_groups(
         "exact-hashes",
     )
     shared = hashed.groupBy("h").agg(F.sum("copies").alias("n")).where("n > 1").select("h")
-    rows = _maybe_copied(texts.withColumn("h", content_hash(F.col("norm"))), shared)
+    rows = maybe_in(texts.withColumn("h", content_hash(F.col("norm"))), shared, "h")
     # grouping on the text itself compares bytes: a collision of h ends in two groups
     groups = (
         rows.groupBy("h", "norm")

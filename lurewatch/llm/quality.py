@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lurewatch.llm.bytebpe import Cache
-from lurewatch.llm.common import WORD, text_of
+from lurewatch.llm.common import text_of
 
 BUCKETS, DIMS, NONZERO = 1 << 14, 64, 2
 #: Labelled rows that the network may learn from.
@@ -43,11 +43,11 @@ MAX_FIT = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 THRESHOLD = 0.3
 _BLOCK = 256
-_WORDS = re.compile(WORD)
 
 
-def word_numbers(word: str) -> tuple[int, int]:
+def word_numbers(raw: bytes) -> tuple[int, int]:
     """Bucket of the word's core and of its shape; shapes have their own hash."""
+    word = raw.decode()
     core = "".join(c for c in word if c.isalnum()).lower()
     shape = re.sub(r"(.)\1+", r"\1\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word))
     return zlib.crc32(core.encode()) % BUCKETS, zlib.crc32(b"shape:" + shape.encode()) % BUCKETS
@@ -67,7 +67,7 @@ class Numbers:
         self.known = Cache(lambda w: (lambda c, s: c * BUCKETS + s)(*word_numbers(w)))
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        both = np.fromiter(map(self.known.__getitem__, _WORDS.findall(text)), dtype=np.int64)
+        both = np.fromiter(map(self.known.__getitem__, text.encode().split()), dtype=np.int64)
         return both // BUCKETS, both % BUCKETS
 
 

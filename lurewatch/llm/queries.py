@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lurewatch import ship
-from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, quality, token_counts, token_store, url_filter
+from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, jaccard_join, quality, token_counts, token_store, url_filter
 from lurewatch.llm.common import table
 
 #: Vocabulary file of the token operators; it must lie at the same place on every executor.
@@ -47,6 +47,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+@register("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
 @register("op5_exact_dedup", exact_dedup.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
