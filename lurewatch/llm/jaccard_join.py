@@ -96,13 +96,13 @@ def _needed(n: int) -> int:
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n, g (key of the set) of each row, and the tasks' sketches: block, cells."""
+    """id, text_hash, n, g (key of the set) of each row, and the tasks' sketches: block, cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, cells, empty = Shingler(), np.zeros(1 << CELL_BITS, dtype=np.int64), True
         for batch in batches:
             n, keys, all_cells = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 s = shingles(text.as_py())
                 n.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
@@ -110,24 +110,25 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if all_cells:
                 cells += np.bincount(np.concatenate(all_cells), minlength=len(cells))
                 empty = False
-            yield rows(batch.column(0), n, keys, [None] * len(n), [None] * len(n))
+            yield rows(batch.column(0), batch.column(1), n, keys, [None] * len(n), [None] * len(n))
         if not empty:
             parts = cells.reshape(-1, _BLOCK)
             none = [None] * len(parts)
-            yield rows(pa.nulls(len(parts), id_type), none, none, range(len(parts)), [p.astype("<i8").tobytes() for p in parts])
+            yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, range(len(parts)), [p.astype("<i8").tobytes() for p in parts])
 
-    def rows(ids, n, keys, blocks, cells) -> pa.RecordBatch:
+    def rows(ids, hashes, n, keys, blocks, cells) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(blocks, pa.int32()), pa.array(cells, pa.binary())],
-            ["id", "n", "g", "block", "cells"],
+            [ids, hashes, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(blocks, pa.int32()), pa.array(cells, pa.binary())],
+            ["id", "text_hash", "n", "g", "block", "cells"],
         )
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = to_arrow_type(docs.schema[id_col].dataType)
     kind = docs.schema[id_col].dataType.simpleString()
-    chosen = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("t"))
-    return stored(chosen.mapInArrow(run, f"id {kind}, n long, g binary, block int, cells binary"), "jaccard-documents")
+    text = text_of(docs, text_col)
+    chosen = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
+    return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g binary, block int, cells binary"), "jaccard-documents")
 
 
 def _sum_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,9 +339,9 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id (smallest id reachable by links)."""
+    """Per row: id, n_shingles, component_id (smallest id reachable by links), text_hash."""
     rows = _documents(docs, id_col, text_col)
-    table = rows.where("block is null").select("id", "n", "g")
+    table = rows.where("block is null").select("id", "text_hash", "n", "g")
     entries = stored(_entries(docs, _sketch(rows), text_col), "jaccard-able")
     reps = table.where("g is not null").groupBy("g").agg(F.min("id").alias("id"))
     edges, tried, labels = None, None, None
@@ -363,4 +364,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("g").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        "text_hash",
     )
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that have the smallest id of their component, with all their columns."""
+    found = similar_groups(docs, id_col, text_col)
+    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id"), "text_hash")
+    named = docs.withColumn("__hash", F.xxhash64(text_of(docs, text_col)))
+    same = named[id_col].eqNullSafe(kept["__id"]) & (named["__hash"] == kept["text_hash"])
+    return named.join(kept, same, "left_semi").select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lurewatch import ship
-from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, jaccard_join, quality, token_counts, token_store, url_filter
+from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, jaccard_join, pitman_yor, quality, token_counts, token_store, url_filter
 from lurewatch.llm.common import table
 
 #: Vocabulary file of the token operators; it must lie at the same place on every executor.
@@ -35,6 +35,11 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+@register("op1_pitman_yor")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op2_token_store")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -345,8 +345,7 @@ def write_store(
 
 def look_up(keys: DataFrame, store: Store, id_col: str = "doc_id") -> DataFrame:
     """Places of each distinct key that the index holds: id, shard, first, copies."""
-    kind = keys.schema[id_col].dataType.simpleString()
-    folder = store.folder
+    kind, folder = keys.schema[id_col].dataType.simpleString(), store.folder
 
     def find(rows: pd.DataFrame) -> pd.DataFrame:
         part = IndexPart(folder, int(rows["part"].iloc[0]))
@@ -360,9 +359,11 @@ def look_up(keys: DataFrame, store: Store, id_col: str = "doc_id") -> DataFrame:
             {id_col: ids.repeat(n), "shard": part.shards[at].astype(np.int32), "first": part.firsts[at].astype(np.int64), "copies": part.copies[at].astype(np.int64)}
         )
 
-    distinct = keys.select(id_col).distinct().withColumn("key", _key(F.col(id_col)))
+    # ids travel as text: data frames would turn integers with nulls into floats
+    distinct = keys.select(F.col(id_col).cast("string").alias(id_col)).distinct().withColumn("key", _key(F.col(id_col)))
     dealt = distinct.withColumn("part", _part(F.col("key"), store.parts))
-    return dealt.groupBy("part").applyInPandas(find, f"`{id_col}` {kind}, shard int, first long, copies long")
+    found = dealt.groupBy("part").applyInPandas(find, f"`{id_col}` string, shard int, first long, copies long")
+    return found.withColumn(id_col, F.col(id_col).cast(kind))
 
 
 def read_records(places: DataFrame, store: Store, id_col: str = "doc_id", payload: bool = False) -> DataFrame:
@@ -379,7 +380,8 @@ def read_records(places: DataFrame, store: Store, id_col: str = "doc_id", payloa
                 row = (key, base + int(shard.offsets[record]), len(ids) // 4, zlib.crc32(ids))
                 out.append((*row, ids) if payload else row)
         names = [id_col, "start", "n_tokens", "ids_crc32", *(["ids"] if payload else [])]
-        return pd.DataFrame(out, columns=names).astype({id_col: rows[id_col].dtype})
+        return pd.DataFrame(out, columns=names)
 
-    schema = f"`{id_col}` {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * payload
-    return places.groupBy("shard").applyInPandas(read, schema)
+    schema = f"`{id_col}` string, start long, n_tokens long, ids_crc32 long" + ", ids binary" * payload
+    named = places.withColumn(id_col, F.col(id_col).cast("string"))
+    return named.groupBy("shard").applyInPandas(read, schema).withColumn(id_col, F.col(id_col).cast(kind))
