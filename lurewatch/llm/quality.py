@@ -6,8 +6,10 @@
    adds the index vectors of the neighbours to each number's context vector: tasks
    sum their own share, then blocks of numbers are summed in two levels, so no task
    ever holds more than a few such tables. These tables have a fixed size.
-2. A document is the mean of its words' vectors, the mean of their shapes' vectors
-   and the spread of the former.
+2. A document is the mean of its words' vectors, the mean of their shapes' vectors,
+   the spread of the former, and three products of index vectors that tell of
+   repetition: of neighbours, of the pooled index vector with itself for cores and
+   for shapes.
 3. A network of two layers is fitted on at most ``MAX_FIT`` labelled rows (those
    with the smallest hash of the id), four in five of them for the weights and the
    rest for the temperature that calibrates its probabilities.
@@ -38,9 +40,11 @@ from lurewatch.llm.bytebpe import Cache
 from lurewatch.llm.common import text_of
 
 BUCKETS, DIMS, NONZERO = 1 << 14, 64, 2
+#: Numbers that describe a document.
+WIDTH = 3 * DIMS + 3
 #: Labelled rows that the network may learn from.
 MAX_FIT = 20_000
-HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
+HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-2
 THRESHOLD = 0.3
 _BLOCK = 256
 
@@ -141,13 +145,17 @@ class Pooler:
     def pool(self, text: str) -> np.ndarray:
         cores, shapes = self.numbers.of(text)
         if not len(cores):
-            return np.zeros(3 * DIMS, dtype=np.float32)
+            return np.zeros(WIDTH, dtype=np.float32)
         kinds, n = np.unique(cores, return_counts=True)
         share = (n / len(cores)).astype(np.float32)
         mean = share @ self.vectors[kinds]
         spread = np.sqrt(np.maximum(share @ self.squares[kinds] - mean * mean, 0))
-        kinds, n = np.unique(shapes, return_counts=True)
-        return np.concatenate([mean, (n / len(shapes)).astype(np.float32) @ self.vectors[kinds], spread])
+        forms, n = np.unique(shapes, return_counts=True)
+        form_share = (n / len(shapes)).astype(np.float32)
+        # index vectors of different numbers are nearly orthogonal
+        repeated = np.mean(cores[1:] == cores[:-1]) if len(cores) > 1 else 0.0
+        again = np.asarray([repeated, share @ share, form_share @ form_share], dtype=np.float32)
+        return np.concatenate([mean, form_share @ self.vectors[forms], spread, again])
 
 
 # ---- network ---------------------------------------------------------------
@@ -172,8 +180,8 @@ class Network:
 
 def constant(share: float) -> Network:
     share = min(max(share, 1e-6), 1 - 1e-6)
-    zero = np.zeros(3 * DIMS)
-    return Network(zero, zero + 1, np.zeros((3 * DIMS, 1)), np.zeros(1), np.zeros(1), float(np.log(share / (1 - share))), 1.0)
+    zero = np.zeros(WIDTH)
+    return Network(zero, zero + 1, np.zeros((WIDTH, 1)), np.zeros(1), np.zeros(1), float(np.log(share / (1 - share))), 1.0)
 
 
 def fit_network(x: np.ndarray, y: np.ndarray, aside: np.ndarray) -> Network:
@@ -241,7 +249,7 @@ def fit_classifier(
     # at most max_fit small rows
     few = docs.select(docs[id_col].alias("__id"), text_of(docs, text_col).alias("t")).join(F.broadcast(chosen), "__id")
     rows = few.select("t", "y", "h").mapInArrow(pooled, "x binary, y int, h long").toArrow()
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), dtype="<f4").reshape(-1, 3 * DIMS)
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), dtype="<f4").reshape(-1, WIDTH)
     y, h = np.asarray(rows["y"].to_pylist(), dtype=np.int64), np.asarray(rows["h"].to_pylist(), dtype=np.int64)
     order = np.lexsort([*x[:, :2].T, h])
     return vectors, fit_network(x[order], y[order], (h[order] >> 7) % 5 == 0)
