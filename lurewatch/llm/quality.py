@@ -44,7 +44,9 @@ BUCKETS, DIMS, NONZERO = 1 << 14, 64, 2
 WIDTH = 3 * DIMS + 3
 #: Labelled rows that the network may learn from.
 MAX_FIT = 20_000
-HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-2
+HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-3
+#: Deviation of a pooled entry as the network sees it; the few products of index vectors have 1.
+POOLED = 0.1
 THRESHOLD = 0.3
 _BLOCK = 256
 
@@ -192,6 +194,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, aside: np.ndarray) -> Network:
         aside = np.zeros(len(y), dtype=bool)
     tx, ty = x[~aside].astype(np.float64), y[~aside].astype(np.float64)
     mean, scale = tx.mean(0), np.where(tx.std(0) > 1e-6, tx.std(0), 1.0)
+    scale[: 3 * DIMS] /= POOLED
     z, rng = (tx - mean) / scale, np.random.default_rng(3)
     params = [rng.normal(0, z.shape[1] ** -0.5, (z.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
