@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces that a worker keeps before it starts anew; about 150 MB.
+#: Pieces that a worker keeps in each of two generations; about 100 MB each.
 CACHE_PIECES = 500_000
 
 # fixed values: the pattern of byte-level BPE files and Unicode's White_Space
@@ -142,14 +142,25 @@ def packed(ids: list[int]) -> bytes:
 
 
 class Cache(dict):
-    """What each piece became; starts anew when it holds ``limit`` pieces."""
+    """What each piece became, in two generations of at most ``limit`` pieces.
+
+    When the young one is full it becomes the old one; pieces that are met again
+    come back from there, so the frequent ones are never made twice.
+    """
 
     def __init__(self, make, limit: int = CACHE_PIECES):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, piece):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[piece] = self.make(piece)
+        value = self.old.get(piece)
+        if value is None:
+            value = self.make(piece)
+        self.room(1)
+        self[piece] = value
         return value
+
+    def room(self, n: int) -> None:
+        if len(self) + n > self.limit:
+            self.old = dict(self)
+            self.clear()

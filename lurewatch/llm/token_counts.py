@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame
 from lurewatch.llm.bytebpe import PIECE, Cache, vocabulary
 from lurewatch.llm.common import text_of
 
-#: Pairs of tokens that a worker remembers.
-MEMO_PAIRS = 1_000_000
+#: Pairs of tokens that a worker remembers in each of two generations.
+MEMO_PAIRS = 500_000
 
 
 class PrefixCounter:

@@ -82,19 +82,22 @@ class LibraryEncoder:
         return [np.asarray(c.ids, dtype=self.kind).tobytes() for c in coded]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        split = [
-            None if any(s in t for s in self.specials) else PIECE.findall(t) for t in texts
-        ]
-        new = list({p for pieces in split if pieces for p in pieces if p not in self.known})
-        if len(self.known) + len(new) > self.known.limit:
-            held = {p for pieces in split if pieces for p in pieces}
-            self.known.clear()
-            new = list(held)
-        self.known.update(zip(new, self._many(new)))
-        known = self.known.__getitem__
+        get = self.known.get
+        split = [None if any(s in t for s in self.specials) else PIECE.findall(t) for t in texts]
+        coded = [list(map(get, pieces or ())) for pieces in split]
+        gaps = [[i for i, c in enumerate(ids) if c is None] for ids in coded]
+        wanted = {pieces[i] for pieces, own in zip(split, gaps) for i in own}
+        found = {p: c for p in wanted if (c := self.known.old.get(p)) is not None}
+        new = [p for p in wanted if p not in found]
+        found.update(zip(new, self._many(new)))
+        for pieces, ids, own in zip(split, coded, gaps):
+            for i in own:
+                ids[i] = found[pieces[i]]
+        self.known.room(len(found))
+        self.known.update(found)
         return [
-            (self._many([t])[0] if pieces is None else b"".join(map(known, pieces))) + self.end
-            for t, pieces in zip(texts, split)
+            (self._many([t])[0] if pieces is None else b"".join(ids)) + self.end
+            for t, pieces, ids in zip(texts, split, coded)
         ]
 
 
