@@ -85,9 +85,10 @@ def _cumulative(scores: DataFrame, label: str) -> DataFrame:
     """Distinct scores with running counts from the highest score down.
 
     Rows collapse per score first (map-side), then running sums are offset + window
-    inside a score bucket: no task ever sorts the whole table.
+    inside a score bucket: no task ever sorts the whole table. Scores count to nine
+    digits, so a bucket holds at most 10**9 / BUCKETS of them however they crowd.
     """
-    by_score = scores.groupBy("score").agg(
+    by_score = scores.groupBy(F.round("score", 9).alias("score")).agg(
         F.sum(label).alias("tp_here"), F.count("*").alias("n_here")
     )
     by_score = by_score.withColumn("bucket", F.floor(F.col("score") * BUCKETS))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lurewatch import lexicons as lex
-from lurewatch.operators.scoring import attribution_array, linear_score, triage
+from lurewatch.functions.text import clean_text, full_text
+from lurewatch.operators import highlight
+from lurewatch.operators.scoring import attribution_array, linear_score, strongest_terms, triage
 from lurewatch.schema import FEATURES
 from lurewatch.sources.weights import LinearScorer
 
@@ -130,15 +132,32 @@ def _as_rows(df: DataFrame) -> DataFrame:
     return rows.where(F.col("x").isNotNull()).select("mail_id", (F.col("pos") + 1).alias("rank"), "x.*")
 
 
-def explain_mail(mail: DataFrame, scorer: LinearScorer) -> DataFrame:
-    """One record per mail: score, verdict, summary, reasons and protective factors."""
-    scored = triage(linear_score(mail, scorer), scorer).withColumn("_phi", attribution_array(scorer))
+def explain_mail(
+    mail: DataFrame, scorer: LinearScorer, keep: tuple[str, ...] = ("mail_id",)
+) -> DataFrame:
+    """One record per mail: ``keep``, score, verdict, summary, reasons and protective factors."""
+    scored = triage(linear_score(mail, scorer, keep), scorer).withColumn("_phi", attribution_array(scorer))
     parts = scored.select(
-        "mail_id", "score", F.col("verdict").alias("label"),
+        *keep, "score", F.col("verdict").alias("label"),
         reasons(F.col("_phi")).alias("reasons"), protective(F.col("_phi")).alias("protective"),
     )
     text = summary(F.col("score"), F.col("label"), F.col("reasons"))
     return parts.select(
-        "mail_id", F.round("score", 4).alias("score"), "label", text.alias("summary"),
+        *keep, F.round("score", 4).alias("score"), "label", text.alias("summary"),
         "reasons", "protective",
     )
+
+
+def analyze_mail(mail: DataFrame, scorer: LinearScorer, terms: int = 8) -> DataFrame:
+    """The whole record of a mail in one row, without a shuffle.
+
+    Score, verdict, summary, reasons, protective factors, highlights in order, and
+    the ``terms`` strongest terms of the scorer with their contributions.
+    """
+    wide = mail.select(
+        "*", highlight.highlight_array(full_text()).alias("highlights"),
+        strongest_terms(scorer, clean_text(full_text()), terms).alias("nlp_terms"),
+    )
+    return explain_mail(wide, scorer, ("mail_id", "highlights", "nlp_terms")).select(
+        "mail_id", "score", "label", "summary", "reasons", "protective", "highlights", "nlp_terms"
+    )

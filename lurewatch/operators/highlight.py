@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lurewatch import lexicons as lex
 from lurewatch.functions import text as tx
+from lurewatch.functions.plan import let
 from lurewatch.functions.lexicon_scan import fold_text
 from lurewatch.operators.features import brand_distance
 
@@ -21,6 +22,16 @@ _SPAN = T.ArrayType(
 )
 
 
+def _places(text: str, folded: str) -> list[int] | None:
+    """Of each folded character the original one; nothing where both count alike.
+
+    Folding is done character by character, so the lengths of the pieces add up.
+    """
+    if len(folded) == len(text) and all(len(fold_text(c)) == 1 for c in set(text) if c > "\x7f"):
+        return None
+    return [i for i, c in enumerate(text) for _ in fold_text(c)]
+
+
 def _spans(text: str) -> list[dict]:
     folded, found = fold_text(text), set()
     for kind, terms in lex.FOLDED.items():
@@ -29,16 +40,19 @@ def _spans(text: str) -> list[dict]:
             while at >= 0:
                 found.add((at, at + len(term), kind))
                 at = folded.find(term, at + len(term))
-    # Offsets hold only where folding kept the length so far: walk the text once.
-    out, done, grown = [], 0, 0
-    for start, end, kind in sorted(found):
-        if not text.isascii():
-            grown += len(fold_text(text[done:start])) - (start - done)
-            done = start
-            if grown or len(fold_text(text[start:end])) != end - start:
-                continue
-        out.append({"start": start, "end": end, "kind": kind})
-    return out
+    if not found:
+        return []
+    places = None if text.isascii() else _places(text, folded)
+    if places is not None:
+        # a span covers whole characters, and the marks that follow the last one
+        def end(at: int) -> int:
+            last = places[at - 1] + 1
+            while last < len(text) and not fold_text(text[last]):
+                last += 1
+            return last
+
+        found = {(places[a], end(b), kind) for a, b, kind in found}
+    return [{"start": a, "end": b, "kind": k} for a, b, k in sorted(found)]
 
 
 @F.pandas_udf(_SPAN)
@@ -109,29 +123,44 @@ def _homoglyph_spans(text: Column) -> Column:
     return F.when(tx.has_homoglyph(text), spans)
 
 
-def highlight_spans(mail: DataFrame) -> DataFrame:
-    """``(mail_id, start, end, kind, snippet, note)``, one row per distinct span.
-
-    Stays inside the row up to the final explode; order within a mail is start
-    ascending, longer first.
-    """
-    base = mail.select("mail_id", tx.full_text().alias("text"))
-    urls = F.regexp_extract_all("text", F.lit(tx.URL), F.lit(0))
-    base = base.withColumn("urls", urls).withColumn("terms", _lexicon_spans("text"))
+def highlight_array(text: Column) -> Column:
+    """Distinct spans of a text as an array: start ascending, longer first, then kind."""
     notes = F.map_from_arrays(
         F.split(F.lit("\x01".join(lex.HIGHLIGHT_NOTES)), "\x01"),
         F.split(F.lit("\x01".join(lex.HIGHLIGHT_NOTES.values())), "\x01"),
     )
-    lexical = F.transform(
-        "terms",
-        lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
-            F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]).alias("snippet"),
-            F.element_at(notes, s["kind"]).alias("note"),
-        ),
-    )
-    glyphs = _homoglyph_spans(F.col("text"))
-    links = _url_spans(F.col("text"), F.col("urls"))
-    every = F.concat(links, lexical, F.coalesce(glyphs, F.slice(lexical, 1, 0)))
-    rows = base.select("mail_id", F.explode_outer(every).alias("s")).where(F.col("s").isNotNull())
-    return rows.select("mail_id", "s.*")
+
+    def lexical(terms):
+        return F.transform(
+            terms,
+            lambda s: F.struct(
+                s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
+                F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("snippet"),
+                F.element_at(notes, s["kind"]).alias("note"),
+            ),
+        )
+
+    def ordered(spans):
+        keyed = F.transform(
+            spans, lambda x: F.struct(x["start"].alias("a"), (-x["end"]).alias("b"), x["kind"].alias("k"), x.alias("s"))
+        )
+        return F.transform(F.array_sort(keyed), lambda x: x["s"])
+
+    def every(terms):
+        links = let(F.regexp_extract_all(text, F.lit(tx.URL), F.lit(0)), lambda urls: _url_spans(text, urls))
+        glyphs = _homoglyph_spans(text)
+        return let(F.concat(links, terms, F.coalesce(glyphs, F.slice(terms, 1, 0))), ordered)
+
+    return let(lexical(_lexicon_spans(text)), every)
+
+
+def highlight_spans(mail: DataFrame) -> DataFrame:
+    """``(mail_id, pos, start, end, kind, snippet, note)``, one row per distinct span.
+
+    Stays inside the row up to the final explode; ``pos`` counts from one in the order
+    start ascending, longer first, then kind.
+    """
+    spans = highlight_array(F.col("text"))
+    base = mail.select("mail_id", tx.full_text().alias("text")).select("mail_id", spans.alias("spans"))
+    rows = base.select("mail_id", F.posexplode_outer("spans").alias("i", "s")).where("s is not null")
+    return rows.select("mail_id", (F.col("i") + 1).alias("pos"), "s.*")

@@ -53,6 +53,24 @@ def tabular_logit(scorer: LinearScorer) -> Column:
     return total
 
 
+def _known_terms(scorer: LinearScorer, clean: Column) -> Column:
+    """The text's occurrences of the scorer's terms; few survive the hash-set filter."""
+    tokens = word_ngrams if any(" " in t for t in scorer.terms) else words
+    return F.filter(tokens(clean), lambda t: t.isin(*scorer.terms))
+
+
+def _term_value(scorer: LinearScorer, known: Column):
+    """term -> weight * idf * (1 + ln tf), counted among ``known``."""
+    value = {t: w * idf for t, (w, idf) in scorer.terms.items()}
+    table = F.map_from_arrays(
+        F.split(F.lit("\x01".join(value)), "\x01"),
+        F.split(F.lit(",".join(map(repr, value.values()))), ",").cast("array<double>"),
+    )
+    return lambda term: F.element_at(table, term) * (
+        1 + F.log(F.size(F.filter(known, lambda other: other == term)).cast("double"))
+    )
+
+
 def term_logit(scorer: LinearScorer, clean: Column) -> Column:
     """Sum of weight * idf * (1 + ln tf) over the scorer's terms present in the text.
 
@@ -60,22 +78,30 @@ def term_logit(scorer: LinearScorer, clean: Column) -> Column:
     """
     if not scorer.terms:
         return F.lit(0.0)
-    tokens = word_ngrams if any(" " in t for t in scorer.terms) else words
-    value = {t: w * idf for t, (w, idf) in scorer.terms.items()}
-    table = F.map_from_arrays(
-        F.split(F.lit("\x01".join(value)), "\x01"),
-        F.split(F.lit(",".join(map(repr, value.values()))), ",").cast("array<double>"),
-    )
 
-    # Few occurrences survive the hash-set filter, so counting them pairwise is cheap.
     def total(known):
-        def add(acc, term):
-            tf = F.size(F.filter(known, lambda other: other == term))
-            return acc + F.element_at(table, term) * (1 + F.log(tf.cast("double")))
+        value = _term_value(scorer, known)
+        return F.aggregate(F.array_distinct(known), F.lit(0.0), lambda acc, t: acc + value(t))
 
-        return F.aggregate(F.array_distinct(known), F.lit(0.0), add)
+    return let(_known_terms(scorer, clean), total)
+
+
+def strongest_terms(scorer: LinearScorer, clean: Column, n: int = 8) -> Column:
+    """The ``n`` terms of the text that weigh most either way: array of (term, weight)."""
+    kind = "array<struct<term:string,weight:double>>"
+    if not scorer.terms:
+        return F.array().cast(kind)
+
+    def ranked(known):
+        value = _term_value(scorer, known)
+        weighed = F.transform(
+            F.array_distinct(known),
+            lambda t: let(F.round(value(t), 9), lambda v: F.struct((-F.abs(v)).alias("k"), t.alias("term"), v.alias("weight"))),
+        )
+        top = F.slice(F.array_sort(weighed), 1, n)
+        return F.transform(top, lambda x: F.struct(x["term"].alias("term"), x["weight"].alias("weight")))
 
-    return let(F.filter(tokens(clean), lambda t: t.isin(*scorer.terms)), total)
+    return let(_known_terms(scorer, clean), ranked).cast(kind)
 
 
 def sigmoid(logit: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 CEILING = 0.95
 
@@ -85,17 +85,25 @@ def technique_trend(history: DataFrame) -> DataFrame:
     )
 
 
-def technique_forecast(history: DataFrame, horizon: int) -> DataFrame:
-    """History and forecast up to period ``horizon`` in one table, with the direction."""
+def technique_forecast(
+    history: DataFrame, horizon: int | None = None, ahead: int = 3
+) -> DataFrame:
+    """History and forecast in one table, with labels.
+
+    Forecasts reach period ``horizon``, or ``ahead`` periods beyond the last one of
+    any series; that maximum is a window over one row for each technique.
+    """
     names = F.map_from_arrays(
         F.split(F.lit("\x01".join(TECHNIQUE_LABELS)), "\x01"),
         F.split(F.lit("\x01".join(TECHNIQUE_LABELS.values())), "\x01"),
     )
-    ahead = technique_trend(history).where(F.col("last_period") < horizon).withColumn(
-        "period", F.explode(F.sequence(F.col("last_period") + 1, F.lit(horizon)))
+    last = F.max("last_period").over(Window.partitionBy()) + F.lit(ahead)
+    end = last if horizon is None else F.lit(horizon)
+    future = technique_trend(history).withColumn("end", end.cast("int")).where("last_period < end").withColumn(
+        "period", F.explode(F.sequence(F.col("last_period") + 1, F.col("end")))
     )
     p = F.lit(CEILING) / (1 + F.exp(-(F.col("k") * F.col("period") + F.col("b"))))
-    forecast = ahead.select(
+    forecast = future.select(
         "technique", "period",
         F.round(F.least(F.greatest(p, F.lit(0.0)), F.lit(0.99)), 3).alias("prevalence"),
         F.lit("forecast").alias("kind"),

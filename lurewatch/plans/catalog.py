@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lurewatch import lexicons as lex, ship
 from lurewatch.functions.text import host_of_url
 from lurewatch.operators import (
-    campaign, canonicalize, corpus, evaluate, explain, features as feat, highlight, model, perturb,
+    augment, campaign, canonicalize, evaluate, explain, features as feat, highlight, model, perturb,
     robustness, sampling, scoring, textvec, trend,
 )
 from lurewatch.plans import oracle_attack as oa, oracle_base as ob, oracle_model as om
 from lurewatch.schema import FEATURES, PHISHING_FAMILIES
-from lurewatch.sources import weights
-from lurewatch.sources.fixture import mail_stream_view, mail_view, mail_view_with_time, table
+from lurewatch.sources import mail as mail_source, weights
+from lurewatch.sources.fixture import event_times, mail_stream_view, mail_view, table
 from lurewatch.sources.reports import work_folder
 from lurewatch.streaming import jobs
 
@@ -144,18 +144,46 @@ def term_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(textvec.fit_text_space(clean).top_terms(clean, learnt))
 
 
+_LEX_ROWS = ", ".join(
+    "('{}', '{}', '{}')".format(k, t.replace("'", "''"), lex.HIGHLIGHT_NOTES[k].replace("'", "''"))
+    for k, ts in lex.FOLDED.items() for t in ts
+)
+_GLYPH_ROWS = ", ".join(f"('{c}', '{v}')" for c, v in lex.HOMOGLYPHS.items())
+_URL_HOST = "string_split(string_split(regexp_replace(url, '^https?://', ''), '/')[1], ':')[1]"
+_HIGHLIGHT_SQL = rf"""SELECT mail_id, row_number() OVER (PARTITION BY mail_id ORDER BY start, stop DESC, kind)::INT AS pos,
+  start::INT AS "start", stop::INT AS "end", kind, snippet, note FROM (
+SELECT DISTINCT mail_id, start, start + length(term) AS stop, kind, substr(text, start + 1, length(term)) AS snippet, note FROM (
+  SELECT mail_id, text, term, kind, note, list_sum(list_transform(parts[1:k], lambda p: length(p)))::BIGINT + (k - 1) * length(term) AS start
+  FROM (SELECT *, unnest(range(1, len(parts))) AS k FROM (
+    SELECT mail_id, text, term, kind, note, string_split(strip_accents(lower(text)), term) AS parts
+    FROM t, (VALUES {_LEX_ROWS}) l(kind, term, note))))
+UNION ALL SELECT mail_id, k - 1, k, 'homoglyph', c, 'Caractère trompeur ''' || c || ''' imitant ''' || latin || '''' FROM (
+  SELECT mail_id, unnest(string_split(text, '')) AS c, unnest(range(1, length(text) + 1)) AS k FROM t)
+  JOIN (VALUES {_GLYPH_ROWS}) g(c, latin) USING (c)
+UNION ALL SELECT mail_id, start, start + length(url), 'url', url, CASE
+  WHEN {ob.distance('host')} <= 2 THEN 'Domaine très proche d''une marque connue (' || dom || ') - possible typosquatting'
+  WHEN regexp_matches(dom, '\.({'|'.join(lex.NOTE_TLDS)})$') THEN 'Extension de domaine à risque (' || dom || ')'
+  WHEN regexp_matches(host, '^(\d{{1,3}}\.){{3}}\d{{1,3}}') THEN 'L''URL pointe vers une adresse IP brute'
+  WHEN starts_with(lower(url), 'http://') THEN 'Lien non chiffré (http) - destination à vérifier'
+  ELSE 'Lien présent dans le message' END FROM (SELECT *, {ob.last_two('host')} AS dom FROM (
+  SELECT mail_id, urls[k] AS url, {_URL_HOST.replace('url', 'urls[k]')} AS host, list_sum(list_transform(parts[1:k], lambda p: length(p))) +
+    coalesce(list_sum(list_transform(urls[1:k - 1], lambda p: length(p))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(urls) + 1)) AS k FROM (SELECT mail_id, regexp_extract_all(text, '{ob.URL_RE}') AS urls,
+    string_split_regex(text, '{ob.URL_RE}') AS parts FROM t)))))"""
+_TEXTS = "t AS (SELECT mail_id, subject || chr(10) || body AS text FROM mail)"
+
+
 # --- Linear scorer and explanations ---------------------------------------------------------
 
 
-def scorer_for(mail: DataFrame) -> weights.LinearScorer:
-    """The deployed coefficients, standardised on this population."""
-    return scoring.fitted_scorer(feat.mail_features(mail))
+#: The deployed scorer with its own mean and scale: a mail has one score in every table.
+DEPLOYED = weights.LinearScorer()
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     mail = mail_view(spark, sf_dir)
     keep = ("mail_id", "label", "noisy_label", "family")
-    return scoring.linear_score(mail, scorer_for(mail), keep).select(*keep, "score", "logit")
+    return scoring.linear_score(mail, DEPLOYED, keep).select(*keep, "score", "logit")
 
 
 @register(
@@ -201,12 +229,12 @@ def triage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _explained(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         mail = mail_view(spark, sf_dir)
-        return rounded(fn(feat.mail_features(mail), scorer_for(mail)))
+        return rounded(fn(feat.mail_features(mail), DEPLOYED))
 
     return run
 
 
-_PHI_CTES = (ob.features_ctes("mail", exact=True), om.FIT, om.PHI)
+_PHI_CTES = (ob.features_ctes("mail", exact=True), om.DEPLOYED, om.PHI)
 register(
     "attributions",
     ob.mail_query("SELECT mail_id, feature_idx, feature, round(phi, 6) AS phi FROM phi", *_PHI_CTES),
@@ -250,10 +278,79 @@ def explain_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def explain_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mail = mail_view(spark, sf_dir)
-    return explain.explain_mail(mail, scorer_for(mail)).select(
-        "mail_id", "score", "label", "summary",
-        F.size("reasons").alias("n_reasons"), F.size("protective").alias("n_protective"),
+    return explain.explain_mail(mail_view(spark, sf_dir), DEPLOYED).select(
+        "mail_id", "score", "label", "summary", _listed("reasons", "feature"), _listed("protective", "feature"),
+    )
+
+
+def _listed(array: str, field: str):
+    return F.array_join(F.transform(array, lambda x: x[field]), ",").alias(array)
+
+
+@register(
+    "analyze_mail",
+    ob.mail_query(
+        f"""SELECT x.*, coalesce(h.highlights, '') AS highlights, coalesce(nt.nlp_terms, '') AS nlp_terms FROM ({om.EXPLAIN}) x
+LEFT JOIN (SELECT mail_id, string_agg("start" || '-' || "end" || ':' || kind || ':' || snippet, ',' ORDER BY pos) AS highlights
+  FROM spans GROUP BY mail_id) h USING (mail_id)
+LEFT JOIN (SELECT mail_id, string_agg(term, ',' ORDER BY abs(v) DESC, term) AS nlp_terms FROM (SELECT *,
+  row_number() OVER (PARTITION BY mail_id ORDER BY abs(v) DESC, term) AS k FROM (
+  SELECT mail_id, term, round(w * idf * (1 + ln(count(*))), 9) AS v FROM tokens JOIN tw USING (term) GROUP BY mail_id, term, w, idf))
+  WHERE k <= 8 GROUP BY mail_id) nt USING (mail_id)""",
+        *om.SCORED, om.PHI, om.HUMAN, om.REASONS, om.CALM, om.PROTECTIVE, _TEXTS, f"spans AS ({_HIGHLIGHT_SQL})",
+    ),
+)
+def analyze_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main call: everything about a mail in one row (lists as text, for comparison)."""
+    mark = lambda h: F.concat(h["start"].cast("string"), F.lit("-"), h["end"].cast("string"), F.lit(":"), h["kind"], F.lit(":"), h["snippet"])
+    return explain.analyze_mail(mail_view(spark, sf_dir), DEPLOYED).select(
+        "mail_id", "score", "label", "summary", _listed("reasons", "feature"), _listed("protective", "feature"),
+        F.array_join(F.transform("highlights", mark), ",").alias("highlights"), _listed("nlp_terms", "term"),
+    )
+
+
+@register(
+    "parse_payloads",
+    """SELECT doc_id AS mail_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE text END AS body,
+  CASE doc_id % 3 WHEN 0 THEN 'fail' ELSE 'none' END AS spf, doc_id % 2 = 1 AS has_html,
+  CASE WHEN doc_id % 4 = 3 THEN 3 ELSE 1 END AS num_recipients, CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 0 END AS n_attachments
+FROM documents""",
+)
+def parse_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON payloads with fields left out, null, blank or zero, and read back."""
+    i, none = F.col("doc_id"), F.lit(None)
+    fields = F.struct(
+        i.alias("mail_id"), F.when(i % 5 != 0, F.col("text")).alias("body"),
+        F.when(i % 3 == 0, "fail").when(i % 3 == 1, "").alias("spf"),
+        F.when(i % 2 == 1, True).otherwise(none).alias("has_html"),
+        F.when(i % 4 == 3, 3).when(i % 4 == 2, 0).alias("num_recipients"),
+        F.when(i % 7 == 0, F.array(F.lit("a.pdf"), F.lit("b.exe"))).alias("attachments"),
+    )
+    payloads = table(spark, sf_dir, "documents").select(F.to_json(fields).alias("value"))
+    return mail_source.parse_payloads(payloads).select(
+        "mail_id", "body", "spf", "has_html", "num_recipients", F.size("attachments").alias("n_attachments")
+    )
+
+
+@register(
+    "coerce_csv",
+    """SELECT doc_id AS mail_id, text AS body, CASE WHEN doc_id % 3 = 0 THEN 'softfail' ELSE 'none' END AS dkim,
+  doc_id % 4 = 1 AS has_html, CASE doc_id % 5 WHEN 0 THEN 7 WHEN 1 THEN 2 ELSE 1 END AS num_recipients,
+  CASE WHEN doc_id % 6 < 3 THEN 1 ELSE 0 END AS label, CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 0 END AS n_attachments FROM documents""",
+)
+def coerce_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as all-text rows with numbers in every spelling, made typed mails."""
+    i = F.col("doc_id")
+    pick = lambda n, *values: F.get(F.array(*map(F.lit, values)), (i % n).cast("int"))
+    text = {c: F.lit("") for c in ("subject", "sender_display", "sender_email", "reply_to", "spf", "dmarc")}
+    raw = table(spark, sf_dir, "documents").select(
+        i.cast("string").alias("mail_id"), F.col("text").alias("body"), *[v.alias(c) for c, v in text.items()],
+        pick(3, "softfail", "", None).alias("dkim"), pick(4, "0", "1.0", "", "no").alias("has_html"),
+        pick(5, "7", " 2.0 ", "0", "", None).alias("num_recipients"),
+        pick(6, "1", "1.0", " 1e0", "0.0", "", None).alias("label"), pick(2, "a.png;b.txt", " ").alias("attachments"),
+    )
+    return mail_source.coerce_csv(raw).select(
+        "mail_id", "body", "dkim", "has_html", "num_recipients", "label", F.size("attachments").alias("n_attachments")
     )
 
 
@@ -376,7 +473,7 @@ def image_only_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _attacks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, weights.LinearScorer]:
     mail = mail_view(spark, sf_dir)
-    return mail.where(F.col("family").isin(*PHISHING_FAMILIES)), scorer_for(mail)
+    return mail.where(F.col("family").isin(*PHISHING_FAMILIES)), DEPLOYED
 
 
 @register("robustness_matrix", oa.robustness_sql())
@@ -422,17 +519,14 @@ def page_host_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "host", F.round(feat.entropy(label), 6).alias("entropy"))
 
 
-def _timed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.mail_features(mail_view_with_time(spark, sf_dir), ("mail_id", "received_at"))
-
-
 def _prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trend.technique_prevalence(_timed_features(spark, sf_dir), "day")
+    features = feat.mail_features(mail_view(spark, sf_dir))
+    return trend.technique_prevalence(features.join(event_times(spark, sf_dir), "mail_id"), "day")
 
 
 _TIMED = (
     """timed AS (SELECT mail.mail_id, date_diff('day', DATE '1970-01-01', ts::DATE)::INT AS period
-  FROM mail JOIN events ON event_id = 5 * mail.mail_id)""",
+  FROM mail JOIN events ON event_id % (SELECT count(*) FROM documents) = mail.mail_id)""",
     ob.features_ctes("mail"),
     """prev AS (SELECT technique, period, avg(v) AS prevalence, count(*) AS n FROM (
   SELECT period, 'url_shortener' AS technique, url_uses_shortener AS v FROM f JOIN timed USING (mail_id)
@@ -476,9 +570,8 @@ def technique_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = _prevalence(spark, sf_dir)
-    last = history.agg(F.max("period")).first()[0]  # one number: the forecast horizon
-    return trend.technique_forecast(history, last + 3)
+    # three periods beyond the last one of any series
+    return trend.technique_forecast(_prevalence(spark, sf_dir), ahead=3)
 
 
 @register(
@@ -546,37 +639,10 @@ def top_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Highlights ---------------------------------------------------------------------------------------
 
-_LEX_ROWS = ", ".join(
-    "('{}', '{}', '{}')".format(k, t.replace("'", "''"), lex.HIGHLIGHT_NOTES[k].replace("'", "''"))
-    for k, ts in lex.FOLDED.items() for t in ts
-)
-_GLYPH_ROWS = ", ".join(f"('{c}', '{v}')" for c, v in lex.HOMOGLYPHS.items())
-_URL_HOST = "string_split(string_split(regexp_replace(url, '^https?://', ''), '/')[1], ':')[1]"
-_HIGHLIGHT_SQL = rf"""SELECT mail_id, start::INT AS "start", stop::INT AS "end", kind, snippet, note FROM (
-SELECT DISTINCT mail_id, start, start + length(term) AS stop, kind, substr(text, start + 1, length(term)) AS snippet, note FROM (
-  SELECT mail_id, text, term, kind, note, list_sum(list_transform(parts[1:k], lambda p: length(p)))::BIGINT + (k - 1) * length(term) AS start
-  FROM (SELECT *, unnest(range(1, len(parts))) AS k FROM (
-    SELECT mail_id, text, term, kind, note, string_split(strip_accents(lower(text)), term) AS parts
-    FROM t, (VALUES {_LEX_ROWS}) l(kind, term, note))))
-UNION ALL SELECT mail_id, k - 1, k, 'homoglyph', c, 'Caractère trompeur ''' || c || ''' imitant ''' || latin || '''' FROM (
-  SELECT mail_id, unnest(string_split(text, '')) AS c, unnest(range(1, length(text) + 1)) AS k FROM t)
-  JOIN (VALUES {_GLYPH_ROWS}) g(c, latin) USING (c)
-UNION ALL SELECT mail_id, start, start + length(url), 'url', url, CASE
-  WHEN {ob.distance('host')} <= 2 THEN 'Domaine très proche d''une marque connue (' || dom || ') - possible typosquatting'
-  WHEN regexp_matches(dom, '\.({'|'.join(lex.NOTE_TLDS)})$') THEN 'Extension de domaine à risque (' || dom || ')'
-  WHEN regexp_matches(host, '^(\d{{1,3}}\.){{3}}\d{{1,3}}') THEN 'L''URL pointe vers une adresse IP brute'
-  WHEN starts_with(lower(url), 'http://') THEN 'Lien non chiffré (http) - destination à vérifier'
-  ELSE 'Lien présent dans le message' END FROM (SELECT *, {ob.last_two('host')} AS dom FROM (
-  SELECT mail_id, urls[k] AS url, {_URL_HOST.replace('url', 'urls[k]')} AS host, list_sum(list_transform(parts[1:k], lambda p: length(p))) +
-    coalesce(list_sum(list_transform(urls[1:k - 1], lambda p: length(p))), 0) AS start
-  FROM (SELECT *, unnest(range(1, len(urls) + 1)) AS k FROM (SELECT mail_id, regexp_extract_all(text, '{ob.URL_RE}') AS urls,
-    string_split_regex(text, '{ob.URL_RE}') AS parts FROM t)))))"""
-
-
 @register(
     "highlight_spans",
     ob.mail_query(
-        _HIGHLIGHT_SQL, "t AS (SELECT mail_id, subject || chr(10) || body AS text FROM mail)"
+        _HIGHLIGHT_SQL, _TEXTS
     ),
 )
 def highlight_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -587,9 +653,8 @@ def highlight_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    mail = mail_view(spark, sf_dir)
-    sides = sampling.stratified_split(mail.select("mail_id", "label")).select("mail_id", "split")
-    joined = mail.join(sides, "mail_id")
+    # the rows carry their side; joining it back would multiply equal ids
+    joined = sampling.stratified_split(mail_view(spark, sf_dir))
     return tuple(joined.where(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 
@@ -636,14 +701,13 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
         + ", ".join(
             f"count(*) FILTER (WHERE least(floor(score * 10), 9) = {b}) AS bin_{b}" for b in range(10)
         )
-        + " FROM scored JOIN events ON event_id = 5 * mail_id GROUP BY 1",
+        + " FROM scored JOIN events ON event_id % (SELECT count(*) FROM documents) = mail_id GROUP BY 1",
         *om.SCORED,
     ),
 )
 def drift_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mail = mail_view_with_time(spark, sf_dir)
-    scored = scoring.linear_score(mail, scorer_for(mail_view(spark, sf_dir)), ("mail_id", "received_at"))
-    return rounded(jobs.drift_windows(scored))
+    scored = scoring.linear_score(mail_view(spark, sf_dir), DEPLOYED).select("mail_id", "score")
+    return rounded(jobs.drift_windows(scored.join(event_times(spark, sf_dir), "mail_id")))
 
 
 @register(
@@ -660,19 +724,11 @@ FROM scored""",
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents read as a file stream, scored into parquet, read back."""
     folder = f"{work_folder(spark)}/score_stream_{uuid.uuid4().hex}"
-    scorer = scorer_for(mail_view(spark, sf_dir))
-    query = jobs.start_scoring(mail_stream_view(spark, sf_dir), scorer, f"{folder}/out", f"{folder}/cp")
+    query = jobs.start_scoring(mail_stream_view(spark, sf_dir), DEPLOYED, f"{folder}/out", f"{folder}/cp")
     query.awaitTermination()
     return rounded(spark.read.parquet(f"{folder}/out"))
 
 
-@register("expand_corpus")
-def expand_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("mail_id"))
-    mail = corpus.expand_corpus(ids)
-    return mail.withColumn("attachments", F.array_join("attachments", ";"))
-
-
 @register("augment_text")
 def augment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.augment_text(mail_view(spark, sf_dir)).select("mail_id", "body")
+    return augment.augment_text(mail_view(spark, sf_dir)).select("mail_id", "body")

@@ -52,6 +52,13 @@ FIT = (
 )
 
 
+DEPLOYED = (
+    "sc AS (SELECT "
+    + ", ".join(f"{m!r}::DOUBLE AS m_{f}, {s!r}::DOUBLE AS s_{f}" for f, (_, m, s) in wt.TAB_WEIGHTS.items())
+    + ")"
+)
+
+
 def _phi(feature: str) -> str:
     return f"({wt.TAB_WEIGHTS[feature][0]!r}::DOUBLE * ((f.{feature} - m_{feature}) / s_{feature}))"
 
@@ -72,7 +79,7 @@ def score_ctes(feat: str = "f", tokens: str = "tokens", name: str = "scored", ta
 {name} AS (SELECT mail_id, logit, round(1 / (1 + exp(-logit)), 9) AS score FROM {name}_l)"""
 
 
-SCORED = (ob.features_ctes("mail", exact=True), FIT, clean_cte("mail"), word_token_cte(), score_ctes())
+SCORED = (ob.features_ctes("mail", exact=True), DEPLOYED, clean_cte("mail"), word_token_cte(), score_ctes())
 SCORES = (*SCORED, """scores AS (SELECT scored.mail_id, score, label, noisy_label, family
   FROM scored JOIN mail USING (mail_id))""")
 
@@ -103,14 +110,14 @@ EXPLAIN = """SELECT s.mail_id, round(score, 4) AS score, label,
   CASE label WHEN 'phishing' THEN '⚠️ Risque élevé (' || pct || '%) - ce message présente plusieurs signaux d''attaque.'
    WHEN 'suspect' THEN 'Prudence (' || pct || '%) - ce message présente des éléments ambigus.'
    ELSE 'Risque faible (' || pct || '%) - aucun signal fort de phishing détecté.' END
-  || coalesce(' Principaux signaux : ' || t || '.', '') AS summary, coalesce(nr, 0) AS n_reasons,
-  coalesce(np, 0) AS n_protective
+  || coalesce(' Principaux signaux : ' || t || '.', '') AS summary, coalesce(nr, '') AS reasons,
+  coalesce(np, '') AS protective
 FROM (SELECT mail_id, score, round_even(score * 100, 0)::INT::VARCHAR AS pct,
   CASE WHEN score >= 0.7 THEN 'phishing' WHEN score >= 0.4 THEN 'suspect' ELSE 'benin' END AS label
   FROM scored) s
 LEFT JOIN (SELECT mail_id, string_agg(text, ' ; ' ORDER BY rank) FILTER (WHERE rank <= 2) AS t,
-  count(*) AS nr FROM reasons GROUP BY mail_id) r USING (mail_id)
-LEFT JOIN (SELECT mail_id, count(*) AS np FROM protective GROUP BY mail_id) p USING (mail_id)"""
+  string_agg(feature, ',' ORDER BY rank) AS nr FROM reasons GROUP BY mail_id) r USING (mail_id)
+LEFT JOIN (SELECT mail_id, string_agg(feature, ',' ORDER BY rank) AS np FROM protective GROUP BY mail_id) p USING (mail_id)"""
 
 BINARY = """SELECT label_kind, tn::BIGINT AS tn, fp::BIGINT AS fp, fn::BIGINT AS fn, tp::BIGINT AS tp,
   round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS precision,

@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lurewatch.sources.mail import attachment_list
 
-# ``{documents}`` is the table name (or a DataFrame parameter in Spark).
+# ``{documents}`` is the table name (or a DataFrame parameter in Spark). Every text is the
+# body of one mail; every 17th document gives a second, image-only mail under a negative id.
 MAIL_SQL = """
 SELECT
-  doc_id AS mail_id,
+  mail_id,
   CASE doc_id % 6
     WHEN 0 THEN 'URGENT: verify your account' WHEN 1 THEN 'Re: meeting notes'
     WHEN 2 THEN 'Your parcel is waiting' WHEN 3 THEN 'Invoice'
     WHEN 4 THEN 'Congratulations winner' ELSE 'Weekly newsletter' END AS subject,
-  CASE WHEN doc_id % 17 = 5 THEN '' ELSE
+  CASE WHEN mail_id < 0 THEN '' ELSE
     text || ' ' ||
     CASE doc_id % 9
       WHEN 0 THEN 'Dear customer, confirm your password now!!!'
@@ -67,7 +68,7 @@ SELECT
     WHEN doc_id % 20 = 4 THEN 'none' ELSE 'pass' END AS dkim,
   CASE WHEN doc_id % 5 < 2 THEN CASE WHEN doc_id % 5 = 0 THEN 'fail' ELSE 'none' END
     WHEN doc_id % 20 = 4 THEN 'none' ELSE 'pass' END AS dmarc,
-  CASE WHEN doc_id % 17 = 5 THEN 'message.png'
+  CASE WHEN mail_id < 0 THEN 'message.png'
     WHEN doc_id % 12 = 0 THEN 'invoice.pdf.exe' WHEN doc_id % 12 = 5 THEN 'report.pdf'
     WHEN doc_id % 12 = 7 THEN 'scan.png;notes.txt' ELSE '' END AS attachment_names,
   doc_id % 3 = 0 AS has_html,
@@ -79,7 +80,9 @@ SELECT
       ELSE 'delivery' END
     ELSE CASE doc_id % 4 WHEN 0 THEN 'newsletter' WHEN 1 THEN 'receipt'
       WHEN 2 THEN 'shipping' ELSE 'colleague' END END AS family
-FROM {documents}
+FROM (
+  SELECT doc_id, doc_id AS mail_id, text FROM {documents} UNION ALL
+  SELECT doc_id, -1 - doc_id AS mail_id, '' AS text FROM {documents} WHERE doc_id % 17 = 5) d
 """
 
 
@@ -87,16 +90,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan that is too small to fill the cores one task per core.
-
-    Only a scan with fewer splits than cores is shuffled, so tables of many files
-    are read as they lie.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def as_mail(documents: DataFrame) -> DataFrame:
     """Mail rows of a (batch or streaming) ``documents`` frame."""
     mail = documents.sparkSession.sql(MAIL_SQL, documents=documents)
@@ -106,7 +99,7 @@ def as_mail(documents: DataFrame) -> DataFrame:
 
 
 def mail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_mail(spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"))
+    return as_mail(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def mail_stream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,10 +109,9 @@ def mail_stream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_mail(spark.readStream.schema(schema).parquet(files).select("doc_id", "text"))
 
 
-def mail_view_with_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``mail`` plus ``received_at``, taken from the event five times the mail id."""
-    stamps = table(spark, sf_dir, "events").select(
-        (F.col("event_id") / 5).cast("bigint").alias("mail_id"),
-        F.col("ts").alias("received_at"),
-    ).where(F.col("event_id") % 5 == 0)
-    return mail_view(spark, sf_dir).join(stamps, "mail_id")
+def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mail_id, received_at) of every event: they are dealt to the mails in turn."""
+    return spark.sql(
+        "SELECT event_id % (SELECT count(*) FROM {documents}) AS mail_id, ts AS received_at FROM {events}",
+        documents=table(spark, sf_dir, "documents"), events=table(spark, sf_dir, "events"),
+    )

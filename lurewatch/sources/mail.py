@@ -23,37 +23,48 @@ def _or_default(name: str, default: str) -> Column:
     return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(default)).alias(name)
 
 
-def _row_id(df: DataFrame) -> Column:
-    """Id of a row that has none: its content. Survives retries and re-partitioning."""
-    cols = [F.col(c).cast("string") for c in sorted(df.columns) if c != "mail_id"]
-    return F.xxhash64(*cols)
+def _row_id() -> Column:
+    """Id of a row that has none: its place in the scan, so equal mails stay apart.
+
+    Store the rows once before joining on it: another scan may number them anew.
+    """
+    return F.monotonically_increasing_id()
+
+
+def _number(name: str, default: int) -> Column:
+    """``3``, ``3.0`` and ``3e0`` are three; blank or unreadable text is the default."""
+    value = F.col(name).cast("string").try_cast("double").try_cast("int")
+    return F.coalesce(value, F.lit(default))
+
+
+def _label(name: str) -> Column:
+    """A blank label is zero; one that is no number fails rather than turn benign."""
+    text = strip(F.coalesce(F.col(name).cast("string"), F.lit("")))
+    value = text.try_cast("double").try_cast("int")
+    wrong = F.raise_error(F.concat(F.lit(f"unreadable {name}: "), text)).cast("int")
+    return F.when(text == "", 0).when(value.isNull(), wrong).otherwise(value)
 
 
 def coerce_csv(df: DataFrame) -> DataFrame:
     """Typed mail rows from all-string CSV rows, blanks replaced by the field defaults."""
-    number = lambda name, default: F.coalesce(
-        F.try_to_number(F.nullif(strip(F.col(name)), F.lit("")), F.lit("9999999999")).cast("int"),
-        F.lit(default),
-    )
-    recipients = number("num_recipients", 1)
+    recipients = _number("num_recipients", 1)
     out = df.select(
         *([F.col("mail_id").cast("bigint")] if "mail_id" in df.columns else []),
         *[_or_default(c, d) for c, d in _TEXT_DEFAULTS.items()],
         attachment_list(F.col("attachments")).alias("attachments"),
-        (number("has_html", 0) != 0).alias("has_html"),
+        (_number("has_html", 0) != 0).alias("has_html"),
         F.when(recipients == 0, 1).otherwise(recipients).alias("num_recipients"),
-        *[
-            number(c, 0).alias(c)
-            for c in ("label", "noisy_label")
-            if c in df.columns
-        ],
+        *[_label(c).alias(c) for c in ("label", "noisy_label") if c in df.columns],
         *([_or_default("family", "")] if "family" in df.columns else []),
     )
-    return out if "mail_id" in out.columns else out.select(_row_id(out).alias("mail_id"), "*")
+    return out if "mail_id" in out.columns else out.select(_row_id().alias("mail_id"), "*")
 
 
 def read_mail(spark: SparkSession, path: str) -> DataFrame:
-    """CSV corpus scan. Bodies hold quotes and line breaks, so records span lines."""
+    """CSV corpus scan. Bodies hold quotes and line breaks, so records span lines.
+
+    One file is one task then: a big corpus comes in many files, or as parquet.
+    """
     raw = (
         spark.read.schema(MAIL_CSV_SCHEMA)
         .option("header", True)
@@ -95,8 +106,9 @@ def coerce_json(df: DataFrame) -> DataFrame:
         *(["received_at"] if "received_at" in df.columns else []),
     )
     if "mail_id" not in out.columns:
-        return out.select(_row_id(out).alias("mail_id"), "*")
-    return out.withColumn("mail_id", F.coalesce("mail_id", _row_id(out)))
+        return out.select(_row_id().alias("mail_id"), "*")
+    # below zero, where given ids are not
+    return out.withColumn("mail_id", F.coalesce("mail_id", -1 - _row_id()))
 
 
 def read_mail_json(spark: SparkSession, path: str) -> DataFrame:

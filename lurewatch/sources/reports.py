@@ -19,8 +19,15 @@ def read_report(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Shared folder the cluster names; a scratch folder only where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lurewatch-")
+    """Shared folder that the session names; on one machine a temporary one takes its place."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    named = tempfile.mkdtemp(prefix="lurewatch-")
+    spark.conf.set("spark.checkpoint.dir", named)
+    return named
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -43,67 +43,208 @@ TAB_WEIGHTS = {
 }
 INTERCEPT = -0.3217947084627873
 
-#: Its heaviest single words, word -> (weight, idf); the rest comes with an export file.
+#: Its 200 heaviest terms of one or two words, term -> (weight, idf); an export file brings all 400.
 TERM_WEIGHTS = {
     "82": (-1.3978608042517582, 6.329392009613412),
+    "33 82": (-1.2094501706740985, 7.492542819419093),
     "41": (-0.8468195589254955, 6.393930530750983),
+    "compte amazon": (-0.7936491568900691, 4.974846346808102),
+    "amazon ete": (-0.734307144019998, 6.704085459054823),
+    "monsieur vous": (-0.7213031121669727, 4.758175309999509),
+    "parametres google": (0.6904241849364666, 5.605473170386713),
+    "google consultez": (0.6904241849364666, 5.605473170386713),
+    "bonjour profitez": (-0.6843544272477944, 5.230779720945302),
+    "bonjour une": (-0.6757290599150004, 5.150737013271765),
     "alerte": (-0.6717848731693241, 3.2818978015008313),
+    "41 ou": (-0.6646335508796691, 7.15607058279788),
     "wonka": (-0.6616734855514054, 5.3643111135698245),
+    "cadeau google": (-0.6519461816949524, 6.537031374391656),
+    "google de": (-0.6514557349868051, 6.393930530750983),
     "50": (0.6290895639998925, 4.111548145074456),
+    "1000 reclamez": (0.6255368904346345, 4.9275934619575565),
+    "de 1000": (0.6255368904346345, 4.9275934619575565),
     "1000": (0.6255368904346345, 4.9275934619575565),
+    "humaines wonka": (-0.6180758366736642, 6.211608973957028),
+    "votre espace": (-0.6147621528791638, 3.1205665205987128),
+    "linkedin hello": (0.6078468015351918, 6.4629234022379345),
+    "client votre": (-0.6062771215227972, 4.69526148458894),
     "operation": (-0.604387419963504, 4.091345437756937),
+    "11h00 lieu": (0.6027115963355074, 6.537031374391656),
     "11h00": (0.6027115963355074, 6.537031374391656),
+    "2026 11h00": (0.6027115963355074, 6.537031374391656),
     "13": (-0.5816392409225899, 6.05745829412977),
+    "nouvelle operation": (-0.5676891130145312, 4.958846005461661),
+    "operation sur": (-0.5676891130145312, 4.958846005461661),
+    "alerte nouvelle": (-0.5676891130145312, 4.958846005461661),
+    "vos coordonnees": (0.5650232881277261, 3.7838607380089764),
+    "une adresse": (0.5598821819549408, 3.8086759071287006),
+    "adresse incomplete": (0.5598821819549408, 3.8086759071287006),
+    "14h bonjour": (0.5457018629764449, 6.393930530750983),
     "regles": (-0.542654666717764, 4.265698824901715),
+    "regles pour": (-0.542654666717764, 4.265698824901715),
+    "etre regles": (-0.542654666717764, 4.265698824901715),
+    "microsoft support": (-0.5419725583690541, 4.591121225336343),
+    "ici url_token": (0.5411380480313565, 2.84239926778827),
+    "mreci de": (-0.5377829421535424, 7.7156863707333025),
     "mreci": (-0.5377829421535424, 7.7156863707333025),
     "coordonnees": (0.5334236582172478, 3.028936197752788),
     "sncf": (0.531614299631196, 6.4629234022379345),
     "thomas": (0.5311916112935205, 5.464394572126807),
     "11": (-0.5286934135583626, 5.636244829053466),
+    "coordonnees bancaires": (0.528485852900736, 3.031243003850703),
     "sous": (0.5265717583874485, 2.2529144492197357),
     "sera": (0.5265717583874485, 2.2529144492197357),
+    "paie merci": (0.524610617320375, 3.7887747528114057),
     "demande": (-0.5222020887336359, 3.6682587282989534),
+    "url_token amazon": (0.5178074797785621, 5.575620207237032),
     "39": (-0.5124025582850457, 5.388408665148885),
     "fedex": (0.5111745003463013, 4.707531577180754),
+    "microsoft verification": (0.5045853559336796, 6.537031374391656),
+    "avez nouvelles": (0.5041636684690917, 5.388408665148885),
+    "nouvelles notifications": (0.5041636684690917, 5.388408665148885),
     "notifications": (0.5041636684690917, 5.388408665148885),
+    "confirmee cher": (0.50389219925526, 6.799395638859147),
     "30": (-0.5033612672541219, 6.393930530750983),
+    "us vons": (-0.5008758285836699, 6.4629234022379345),
     "vons": (-0.5008758285836699, 6.4629234022379345),
+    "vons temporairement": (-0.5008758285836699, 6.4629234022379345),
+    "google support": (0.49600823284992107, 4.9275934619575565),
     "cette": (-0.4899336111195229, 3.474359618162556),
     "32": (-0.4899326663832919, 6.704085459054823),
     "15": (-0.48896490851115076, 4.853485489803834),
+    "client nous": (0.4879324535914454, 3.4707689500318275),
+    "inhabituelle bonjour": (0.4835787193417169, 5.883104906984992),
+    "garcia consulte": (0.4834908521985894, 7.7156863707333025),
+    "notifications hello": (0.4805830305550836, 6.6170740820651925),
     "ici": (0.4775955840124255, 2.352049538064623),
+    "ameli verifiez": (0.47661960423203303, 6.268767387796977),
+    "24h voter": (-0.47599741184140276, 7.7156863707333025),
     "docusign": (-0.47420794081237294, 5.041537721306773),
     "92": (-0.4737110931157673, 6.268767387796977),
+    "ordinateur google": (0.4735604494315591, 4.9275934619575565),
+    "compte google": (0.47314999658948126, 4.825314612837138),
+    "40 cher": (-0.4718235789483762, 7.7156863707333025),
+    "microsoft cher": (0.46805882778165403, 6.6170740820651925),
     "89": (0.46568560520898217, 5.170155099128867),
     "garcia": (0.4630489838298617, 6.537031374391656),
+    "amazon hello": (0.45123387123401076, 7.7156863707333025),
+    "client us": (-0.4504344109989907, 6.268767387796977),
+    "dans votre": (-0.45014800655358184, 3.5035587728548183),
+    "expediteur amazon": (0.448242159337608, 5.518461793397083),
+    "amazon livraison": (0.448242159337608, 5.518461793397083),
     "aucune": (-0.4476773997521935, 3.378395629900812),
     "paie": (0.4461247526956645, 3.778970752714785),
+    "madame monsieur": (-0.4418985215530551, 3.038195523165585),
     "madame": (-0.4418985215530551, 3.038195523165585),
     "monsieur": (-0.4418985215530551, 3.038195523165585),
+    "voter compte": (-0.4406117075723101, 6.537031374391656),
+    "orange hello": (0.4406001149434067, 7.492542819419093),
+    "laura moreau": (-0.4368828553883173, 7.7156863707333025),
+    "compte sera": (0.43685682552451227, 2.7117400647878434),
+    "les tendances": (0.4365225596727537, 5.605473170386713),
     "tendances": (0.4365225596727537, 5.605473170386713),
+    "tendances du": (0.4365225596727537, 5.605473170386713),
     "us": (-0.43623976538800285, 5.734684901866719),
     "espace": (-0.4361344723637803, 3.1130193149633296),
+    "aucune action": (-0.43548757118944326, 3.3816689552457815),
+    "livraison madame": (-0.4343546814839318, 6.010938278494877),
+    "client laposte": (-0.43026446734002294, 5.605473170386713),
+    "spotify activite": (-0.4214165398268448, 7.022539190173357),
     "nouvelles": (0.420109784782343, 4.211631603631439),
+    "99 votre": (-0.4188029548441448, 4.784492618316882),
     "10": (0.41879459272445985, 6.211608973957028),
+    "compte orange": (0.4187057117582096, 5.076629041118044),
+    "requise hello": (-0.41807175280615255, 6.4629234022379345),
     "laura": (-0.4170441268763057, 4.943097648493521),
+    "de paie": (0.41409302405851234, 3.778970752714785),
     "12": (0.4117530452890619, 4.281699166248156),
+    "tout david": (0.410996894420624, 7.022539190173357),
+    "selection bonjour": (0.40866052499513367, 7.310221262625138),
+    "votre activite": (-0.4080095817967888, 5.464394572126807),
+    "recapitulatif de": (-0.4080095817967888, 5.464394572126807),
     "recapitulatif": (-0.4080095817967888, 5.464394572126807),
     "64": (0.4071596961888962, 6.537031374391656),
+    "espace client": (-0.405896037048429, 3.1256298225552595),
     "29": (0.40373457662748363, 5.464394572126807),
     "etes": (-0.40179349750896587, 3.1461433623883623),
+    "vous etes": (-0.40179349750896587, 3.1461433623883623),
+    "tout thomas": (0.40078411446581547, 7.310221262625138),
     "reglse": (0.39978486312731487, 7.7156863707333025),
+    "reglse pour": (0.39978486312731487, 7.7156863707333025),
+    "etre reglse": (0.39978486312731487, 7.7156863707333025),
     "google": (0.3996094747769569, 3.7220833783127336),
+    "url_token netflix": (-0.3989058169878696, 5.769776221677989),
     "facture": (0.3981252648642996, 3.70381803033544),
+    "votre achat": (-0.3956164669994382, 5.251833130143134),
+    "pour votre": (-0.3956164669994382, 5.251833130143134),
+    "merci pour": (-0.3956164669994382, 5.251833130143134),
     "achat": (-0.3956164669994382, 5.251833130143134),
+    "achat bonjour": (-0.3956164669994382, 5.251833130143134),
+    "fedex votre": (0.3953678438461359, 6.211608973957028),
+    "david petit": (-0.3914143825521994, 7.7156863707333025),
     "87": (0.3909499849153611, 6.4629234022379345),
+    "apple cher": (0.3906872239473255, 5.843884193831711),
     "adresse": (0.38971006545129977, 2.8893746361016746),
+    "71 ou": (-0.38816063306782483, 7.7156863707333025),
+    "25 07": (0.3880230784879535, 7.492542819419093),
+    "notifications cher": (0.3872198396583877, 7.310221262625138),
+    "client vous": (-0.386466722951982, 4.784492618316882),
+    "40 ou": (-0.3861753497666082, 7.7156863707333025),
+    "votre recu": (0.3849356795773073, 5.388408665148885),
+    "sophie nous": (0.38403530296979355, 7.15607058279788),
+    "bonjour sophie": (0.38403530296979355, 7.15607058279788),
+    "hello une": (0.3827134753567823, 5.388408665148885),
     "lyon": (0.38130928059907915, 5.4910628192089685),
+    "depuis lyon": (0.38130928059907915, 5.4910628192089685),
+    "lyon le": (0.38130928059907915, 5.4910628192089685),
+    "disponible cher": (0.38075091394514154, 7.15607058279788),
     "decouvrez": (-0.3803027213686025, 5.170155099128867),
     "une": (0.3793654120313505, 1.7393354614353687),
+    "500 reclamez": (-0.37934731908147995, 4.943097648493521),
+    "55 ou": (-0.37775359060629876, 7.7156863707333025),
     "129": (-0.3772526839840866, 5.189957726425047),
+    "04 2026": (-0.37608460704159047, 5.636244829053466),
     "04": (-0.37608460704159047, 5.636244829053466),
+    "date 22": (0.3756415369571445, 7.15607058279788),
+    "le 08": (0.3742322630631884, 7.15607058279788),
+    "tout maxime": (0.3739310774433237, 7.15607058279788),
+    "de 129": (-0.37150674222969826, 5.210160433742566),
+    "00 sur": (-0.37150674222969826, 5.210160433742566),
+    "129 00": (-0.37150674222969826, 5.210160433742566),
+    "date 12": (0.37146147112045136, 7.310221262625138),
     "49": (0.37111726548338336, 4.745271905163602),
+    "client apple": (-0.37095234959335865, 5.388408665148885),
     "hello": (0.3700583437304294, 2.975111547739008),
+    "33 45": (-0.36890069563464106, 7.492542819419093),
+    "commande bonjour": (-0.36796855996362127, 5.966486515924044),
+    "equipe microsoft": (0.3679132793597695, 4.882473026677086),
+    "vtore": (0.36655367123119903, 6.704085459054823),
+    "39 ou": (-0.36574371770362274, 7.7156863707333025),
+    "98": (-0.36572719675242493, 6.4629234022379345),
+    "google verification": (-0.3645548072051341, 5.966486515924044),
+    "expediteur chronopost": (-0.3642836098750403, 5.3643111135698245),
+    "chronopost livraison": (-0.3642836098750403, 5.3643111135698245),
+    "orange": (-0.3642566771036033, 3.8086759071287006),
+    "22": (0.36379285536897576, 5.923926901505247),
+    "simon": (-0.36338567815562367, 7.022539190173357),
+    "pu etre": (0.3632070236598522, 3.803663365305156),
+    "etre livre": (0.3632070236598522, 3.803663365305156),
+    "ameli": (0.3626254366014901, 4.771247391566861),
+    "le 12": (0.3624323573391392, 7.15607058279788),
+    "netflix cher": (0.3617384527368131, 6.268767387796977),
+    "suivi": (-0.361658916969855, 3.507269352251354),
+    "utilisateur nous": (0.36130607810129184, 3.849707303806563),
+    "cher utilisateur": (0.36130607810129184, 3.849707303806563),
+    "utilisateur": (0.36130607810129184, 3.849707303806563),
+    "de verifier": (-0.3590197783504645, 3.4286574646817005),
+    "rapidement madame": (-0.3575050541862858, 7.492542819419093),
+    "colis pas": (0.35582245984620336, 3.8086759071287006),
+    "presence john": (0.35488389796017916, 7.15607058279788),
+    "bonjour vous": (0.3540055553141633, 4.118374110144856),
+    "stark": (0.3538844491211313, 5.3407806161596305),
+    "47": (0.35316119024598464, 6.329392009613412),
+    "dhl": (-0.35297907035656606, 4.365782283458698),
+    "le 10": (0.35262643440156677, 7.492542819419093),
 }
 # --- End of fixed values. ---
 

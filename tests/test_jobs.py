@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lurewatch.operators import (
-    campaign, corpus, evaluate, explain, features, highlight, perturb, robustness, sampling,
+    campaign, evaluate, explain, features, highlight, perturb, robustness, sampling,
     scoring, trend,
 )
 from lurewatch.schema import FEATURES, MAIL_COLUMNS
@@ -127,8 +127,21 @@ def test_highlight_offsets_point_at_their_text(mail):
     assert {r.kind for r in spans.select("kind").distinct().collect()} >= {"url", "urgency", "homoglyph"}
 
 
+def test_highlights_are_whole_and_in_order(spark):
+    """Characters that fold to none or several keep later spans in place."""
+    body = "urgent\u2026 \ufb01n e\u0301t\u00e9: Confirmez, cli\u0301ck http://a.tk now urg\u0065\u0301nt"
+    mail = spark.createDataFrame([(1, "\ufb01n", body)], "mail_id long, subject string, body string")
+    got = highlight.highlight_spans(mail).orderBy("pos").collect()
+    text = "\ufb01n\n" + body
+    assert [r.pos for r in got] == list(range(1, len(got) + 1))
+    assert [(r.start, -r.end) for r in got] == sorted((r.start, -r.end) for r in got)
+    assert all(text[r.start : r.end] == r.snippet for r in got)
+    found = {r.snippet for r in got}
+    assert {"urgent", "now", "urg\u0065\u0301nt", "http://a.tk"} <= found
+
+
 def test_explanations(mail):
-    got = explain.explain_mail(mail, scoring.fitted_scorer(features.mail_features(mail))).collect()
+    got = explain.explain_mail(mail, weights.LinearScorer()).collect()
     for r in got:
         assert len(r.reasons) <= 6 and len(r.protective) <= 3
         assert [x.weight for x in r.reasons] == sorted((x.weight for x in r.reasons), reverse=True)
@@ -146,14 +159,27 @@ def test_stream_equals_batch(spark, mail, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(batch)
 
 
-def test_corpus_is_reproducible_and_plausible(spark):
-    ids = spark.range(2000).withColumnRenamed("id", "mail_id")
-    mail = corpus.expand_corpus(ids).cache()
-    assert rows(mail.limit(50)) == rows(corpus.expand_corpus(ids).limit(50))
-    assert mail.where(F.col("body").contains("{")).count() == 0
-    assert 800 < mail.where("label = 1").count() < 1200
-    assert mail.select("family").distinct().count() == 20
-    feats = features.mail_features(mail, ("label",))
-    rate = {r.label: r.u for r in feats.groupBy("label").agg(F.avg("urgency_term_count").alias("u")).collect()}
-    assert rate[1] > rate[0]
-    assert len(feats.columns) == 1 + len(FEATURES)
+def test_equal_mails_keep_their_rows(spark, tmp_path):
+    row = '"hi","same",,,,,,,,0,1,{},"account"\n'
+    head = "subject,body,sender_display,sender_email,reply_to,spf,dkim,dmarc,attachments,has_html,num_recipients,label,family\n"
+    (tmp_path / "c.csv").write_text(head + "".join(row.format(x) for x in ("1", "1.0", " 1e0 ", "", "0.0")) + row.format("1") * 7)
+    mail = sources.read_mail(spark, str(tmp_path / "c.csv")).cache()
+    assert mail.count() == mail.select("mail_id").distinct().count() == 12
+    assert mail.where("label = 1").count() == 10
+    assert sampling.stratified_split(mail).count() == sampling.kfold_assign(mail).count() == 12
+    (tmp_path / "bad.csv").write_text(head + row.format("spam"))
+    with pytest.raises(Exception, match="unreadable label"):
+        sources.read_mail(spark, str(tmp_path / "bad.csv")).collect()
+
+
+def test_whole_record_of_a_mail(mail):
+    scorer = weights.LinearScorer()
+    got = {r.mail_id: r for r in explain.analyze_mail(mail, scorer).collect()}
+    plain = {r.mail_id: r for r in explain.explain_mail(mail, scorer).collect()}
+    spans = highlight.highlight_spans(mail).groupBy("mail_id").count().collect()
+    assert set(got) == set(plain)
+    assert all((got[k].score, got[k].summary, got[k].reasons) == (plain[k].score, plain[k].summary, plain[k].reasons) for k in got)
+    assert all(len(got[r.mail_id].highlights) == r["count"] for r in spans)
+    for r in got.values():
+        assert len(r.nlp_terms) <= 8
+        assert [abs(t.weight) for t in r.nlp_terms] == sorted((abs(t.weight) for t in r.nlp_terms), reverse=True)
