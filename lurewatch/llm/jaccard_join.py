@@ -12,9 +12,10 @@ if only those with l matches are.
 2. Prefix shingles of the nodes are dealt by shingle and sorted; only entries whose
    shingle another node holds are kept. Shingles that the sketch takes for very
    frequent are dealt over several tasks.
-3. Twice, every node is compared with one hub of each of its shingles, which costs as
-   many comparisons as entries, and components of the links are formed. Groups of
-   near copies, however large, collapse here.
+3. Twice, every node is compared with hubs of its shingles, if it meets one hub at as
+   many shingles as the smaller of their levels; that is fewer comparisons than
+   entries. Components of the links are formed, and groups of near copies, however
+   large, collapse here.
 4. What is left are pairs of nodes in different components. They are joined by
    shingle, counted, and those with enough matches are compared. So no pair that could
    add a link is left out, and no pair inside a component is formed.
@@ -31,6 +32,8 @@ columns besides id and text are not read. Texts are read whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +62,7 @@ class Shingler:
     def __init__(self, words: int = WORDS):
         import xxhash
 
-        self.words, self.known = words, Cache(xxhash.xxh3_64_intdigest)
+        self.words, self.known = words, Cache(xxhash.xxh3_64_intdigest, 250_000)
 
     def __call__(self, text: str) -> np.ndarray:
         # on bytes: lower() changes A-Z only, split() cuts at the six ASCII spaces only
@@ -258,10 +261,11 @@ def _entries(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFrame
     # a node needs as many shared shingles as some level asks for
     counts = [F.count_if(F.col("at") <= k).alias(f"m{k}") for k in range(len(LEVELS))]
     enough = [(F.col("own") >= k) & (F.col(f"m{k}") >= level) for k, level in enumerate(LEVELS)]
-    able = F.array(*enough)
-    nodes = entries.groupBy("g", "own").agg(*counts).select("g", able.alias("able")).where(F.array_contains("able", True))
-    joined = entries.join(nodes, "g")
-    return joined
+    able = reduce(or_, enough)
+    nodes = entries.groupBy("g", "own").agg(*counts).where(able).select("g")
+    kept = stored(entries.join(nodes, "g", "left_semi"), "jaccard-able")
+    drop_stored(entries)
+    return kept
 
 
 # ---- pairs ------------------------------------------------------------------
@@ -277,12 +281,18 @@ def _hub_pairs(entries: DataFrame, labels: DataFrame | None, turn: int) -> DataF
         entries = entries.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))
     else:
         entries = entries.withColumn("c", F.col("g"))
-    hub = F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"), F.col("able").alias("hub_able"))
+    hub = F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"), F.col("own").alias("hub_own"))
     hubs = entries.groupBy("token").agg(F.min(hub).alias("x"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
     met = entries.join(hubs.select("token", "x.*"), "token").where(f"c <> hub_c and {_sizes_fit('n', 'hub_n')}")
-    # some level must suit both
-    both = F.exists(F.zip_with("able", "hub_able", lambda p, q: p & q), lambda x: x)
-    return met.where(both).select(F.least("g", "hub").alias("a"), F.greatest("g", "hub").alias("b")).distinct()
+    level = F.least("own", "hub_own")
+    pairs = met.groupBy(F.least("g", "hub").alias("a"), F.greatest("g", "hub").alias("b"), level.alias("level"))
+    # pairs that meet too seldom at hubs are left to the last step, which counts all matches
+    return _enough(pairs.agg(F.count(F.lit(1)).alias("matches")))
+
+
+def _enough(pairs: DataFrame) -> DataFrame:
+    need = F.get(F.array(*map(F.lit, LEVELS)), F.col("level").cast("int"))
+    return pairs.where(F.col("matches") >= need).select("a", "b")
 
 
 def _rest_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -300,27 +310,35 @@ def _rest_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
         .groupBy(F.col("g_a").alias("a"), F.col("g_b").alias("b"), level.alias("level"))
         .agg(F.count(F.lit(1)).alias("matches"))
     )
-    need = F.get(F.array(*map(F.lit, LEVELS)), F.col("level").cast("int"))
-    return pairs.where(F.col("matches") >= need).select("a", "b")
+    return _enough(pairs)
 
 
 def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """g, s (shingles) of the wanted nodes; reps: id, g. Only rows that a bitmap lets through are shingled."""
+    """g, s (shingles) of the wanted nodes, and of a few others; some may come twice.
+
+    reps: id, g. Only rows that a bitmap of the wanted ids lets through are shingled.
+    """
     from lurewatch.llm.exact_dedup import FILTER_BITS, maybe_in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler()
+        shingles, seen = Shingler(), set()
         for batch in batches:
-            found = [shingles(t.as_py()) for t in batch.column(0)]
-            keys = [set_key(s) for s in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["g", "s"]
-            )
+            for start in range(0, batch.num_rows, 500):
+                found = {}
+                for text in batch.column(0).slice(start, 500):
+                    s = shingles(text.as_py())
+                    if len(s) and (key := set_key(s)) not in seen:
+                        found[key] = s.view(np.int64)
+                if len(seen) >= 1_000_000:
+                    seen.clear()
+                seen.update(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.binary()), pa.array(found.values(), pa.list_(pa.int64()))], ["g", "s"]
+                )
 
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("t"))
     near = maybe_in(rows, reps.select("id"), "id", FILTER_BITS)
-    found = near.select("t").mapInArrow(run, "g binary, s array<bigint>")
-    return found.join(reps.select("g"), "g", "left_semi").groupBy("g").agg(F.first("s").alias("s"))
+    return near.select("t").mapInArrow(run, "g binary, s array<bigint>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -332,6 +350,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         both.select("a", "b", same.alias("i"), (F.size("s_a") + F.size("s_b")).alias("n"))
         .where(f"100 * i >= {SIMILAR} * (n - i)")
         .select(F.col("a").alias("u"), F.col("b").alias("v"))
+        .distinct()
     )
 
 
@@ -342,7 +361,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per row: id, n_shingles, component_id (smallest id reachable by links), text_hash."""
     rows = _documents(docs, id_col, text_col)
     table = rows.where("block is null").select("id", "text_hash", "n", "g")
-    entries = stored(_entries(docs, _sketch(rows), text_col), "jaccard-able")
+    entries = _entries(docs, _sketch(rows), text_col)
     reps = table.where("g is not null").groupBy("g").agg(F.min("id").alias("id"))
     edges, tried, labels = None, None, None
     for turn in range(HUB_ROUNDS + 1):
