@@ -26,10 +26,13 @@ _SPACE_CLASS = (
 WORD = r"[\p{L}\p{N}_]"
 NON_WORD_RUN = r"[^\p{L}\p{N}_]+"
 
+# --- Fixed values: patterns. The scheme is spelled in both cases, with the long s that a
+# Unicode-aware ignore-case match takes for s; the flag itself would slow every class. ---
 URL = r"[hH][tT][tT][pP][sS\x{17f}]?://[^" + _SPACE_CLASS + r"<>\"')]+"
 EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 HOST_IN_URL = r"https?://([^/" + _SPACE_CLASS + r":]+)"
 ANCHOR = r"(?is)<a[^>]+href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>"
+# --- End of fixed values. ---
 
 
 def word_bounded(body: str) -> str:

@@ -1,27 +1,10 @@
-"""Lever-weighted risk ranking of scenarios, before and after training."""
+"""Lever-weighted risk, before and after training."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# --- Fixed values: scenario catalogue, lever weights, training effects. ---
-SCENARIOS = {
-    "facture": ("Fausse facture / paiement échoué", ["urgence", "autorite", "peur_financiere"],
-                "Comptabilité, dirigeants, achats"),
-    "reinit_mdp": ("Réinitialisation de mot de passe", ["urgence", "autorite", "peur"],
-                   "Tous les employés"),
-    "rh_paie": ("Fraude RH / bulletin de paie", ["autorite", "appat_financier"],
-                "Salariés, service RH"),
-    "livraison": ("Échec de livraison de colis", ["curiosite", "urgence", "preuve_sociale"],
-                  "Grand public, tous services"),
-    "compte_bloque": ("Compte suspendu / activité suspecte", ["peur", "urgence", "autorite"],
-                      "Utilisateurs de services en ligne"),
-    "fraude_president": ("Fraude au président (BEC)", ["autorite", "urgence", "confidentialite"],
-                         "Finance, assistants de direction"),
-    "gain_loterie": ("Faux gain / loterie", ["appat_financier", "urgence"], "Grand public"),
-    "support_it": ("Faux support informatique", ["autorite", "serviabilite"],
-                   "Tous les employés"),
-}
+# --- Fixed values: lever weights, training effects. ---
 LEVER_WEIGHTS = {
     "urgence": 0.55, "autorite": 0.60, "peur": 0.45, "peur_financiere": 0.50,
     "appat_financier": 0.50, "curiosite": 0.40, "preuve_sociale": 0.35, "confidentialite": 0.45,
@@ -35,21 +18,6 @@ TRAINING_LEVELS = {
 
 DEFAULT_WEIGHT, DISCOUNT, MIDPOINT, STEEPNESS = 0.3, 0.85, 1.35, 1.7
 
-#: Scenario a mail family trains for.
-SCENARIO_OF_FAMILY = {
-    "invoice": "facture", "reset": "reinit_mdp", "hr": "rh_paie", "delivery": "livraison",
-    "account": "compte_bloque", "ceo": "fraude_president", "prize": "gain_loterie",
-    "support": "support_it",
-}
-
-
-def scenarios(spark: SparkSession) -> DataFrame:
-    rows = [(k, title, levers, target) for k, (title, levers, target) in SCENARIOS.items()]
-    return spark.createDataFrame(
-        rows, "scenario string, title string, levers array<string>, target string"
-    )
-
-
 def _double_map(values: dict[str, float]) -> Column:
     return F.map_from_arrays(
         F.split(F.lit(",".join(values)), ","),
@@ -72,7 +40,7 @@ def campaign_risk(table: DataFrame, levels: tuple[str, ...] = tuple(TRAINING_LEV
     """Expected click rate of every row with a ``levers`` array, per training level.
 
     The lever table is ten literals and a row emits one line per level, so the job
-    stays map-only up to the final ranking.
+    is map-only; whoever wants a ranking orders the rows that they show.
     """
     score = persuasion(F.col("levers"))
     base = 1 / (1 + F.exp(-F.lit(STEEPNESS) * (score - F.lit(MIDPOINT))))
@@ -87,7 +55,6 @@ def campaign_risk(table: DataFrame, levels: tuple[str, ...] = tuple(TRAINING_LEV
         rated.select("*", F.inline(reductions))
         .withColumn("adjusted_rate", F.col("base_rate") * (1 - F.col("cut")))
         .drop("cut")
-        .orderBy(F.col("base_rate").desc(), "scenario", "training")
     )
 
 

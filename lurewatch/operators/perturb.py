@@ -109,6 +109,7 @@ def obfuscate_urls(body: Column, seed: Column) -> Column:
     return tx.replace_urls(body, rewrite)
 
 
+# --- Fixed values: what the polished variant looks for and puts in its place. ---
 _GREETING = (
     rf"(?iu)(?<!{tx.WORD})(?:cher|chère)[{tx._SPACE_CLASS}]+"
     rf"(?:client|utilisateur|membre|abonné)e?(?!{tx.WORD})[ ,:]*"
@@ -116,17 +117,20 @@ _GREETING = (
 _PRESSURE = "(?iu)" + tx.word_bounded(
     "urgent|immédiatement|tout de suite|sous 24h|maintenant"
 )
+_NEW_GREETING, _NEW_PRESSURE = "Bonjour Camille, ", "dans les meilleurs délais"
+_SIGNED = " Cordialement, le service client."
+# --- End of fixed values. ---
 
 
 def polish_body(body: Column) -> Column:
     """Remove the crude markers: generic greeting, pressure words, runs of ``!``."""
-    out = F.regexp_replace(body, _GREETING, "Bonjour Camille, ")
-    out = F.regexp_replace(out, _PRESSURE, "dans les meilleurs délais")
+    out = F.regexp_replace(body, _GREETING, _NEW_GREETING)
+    out = F.regexp_replace(out, _PRESSURE, _NEW_PRESSURE)
     out = F.regexp_replace(out, "!{2,}", ".")
     out = tx.strip(F.regexp_replace(out, f"[{tx._SPACE_CLASS}]+", " "))
 
     def sign(t):
-        signed = F.concat(t, F.lit(" Cordialement, le service client."))
+        signed = F.concat(t, F.lit(_SIGNED))
         return F.when(F.lower(t).contains("cordialement"), t).otherwise(signed)
 
     return let(out, sign)

@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CEILING = 0.95
 
-# --- Fixed values: yearly prevalence 2019..2025 and display names. ---
-FIRST_YEAR = 2019
-HISTORY = {
-    "url_shortener": [0.20, 0.27, 0.33, 0.38, 0.42, 0.45, 0.47],
-    "lookalike_domain": [0.35, 0.40, 0.46, 0.52, 0.57, 0.61, 0.64],
-    "homoglyph": [0.05, 0.08, 0.12, 0.18, 0.24, 0.30, 0.35],
-    "ai_polished": [0.02, 0.03, 0.05, 0.10, 0.22, 0.38, 0.52],
-    "qr_code": [0.01, 0.02, 0.04, 0.09, 0.17, 0.27, 0.36],
-    "mfa_bypass": [0.02, 0.04, 0.08, 0.14, 0.22, 0.31, 0.40],
-}
+# --- Fixed values: display names. ---
 TECHNIQUE_LABELS = {
     "url_shortener": "Raccourcisseurs d'URL",
     "lookalike_domain": "Domaines sosies (typosquat)",
@@ -27,12 +18,6 @@ TECHNIQUE_LABELS = {
 # --- End of fixed values. ---
 
 
-def published_history(spark: SparkSession) -> DataFrame:
-    """The published yearly series as ``(technique, period, prevalence)``."""
-    rows = [(t, FIRST_YEAR + i, v) for t, vs in HISTORY.items() for i, v in enumerate(vs)]
-    return spark.createDataFrame(rows, "technique string, period int, prevalence double")
-
-
 def _period(stamp: Column, unit: str) -> Column:
     """Running number of a calendar period."""
     if unit == "year":

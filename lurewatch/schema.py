@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- Fixed values, a contract with files and models: field and feature names in order,
+# families and thresholds. ---
+
 #: Fields of a raw mail, in file order. ``attachments`` is ``;``-joined in CSV.
 MAIL_CSV_SCHEMA = T.StructType(
     [
@@ -70,3 +73,5 @@ BENIGN_FAMILIES = [
 PHISH_THRESHOLD = 0.70
 SUSPECT_THRESHOLD = 0.40
 DECISION_THRESHOLD = 0.50
+
+# --- End of fixed values. ---

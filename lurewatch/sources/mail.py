@@ -23,11 +23,14 @@ def _or_default(name: str, default: str) -> Column:
     return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(default)).alias(name)
 
 
-def _row_id() -> Column:
-    """Id of a row that has none: its place in the scan, so equal mails stay apart.
+def _row_id(df: DataFrame) -> Column:
+    """Id of a row that has none, so that equal mails stay apart.
 
-    Store the rows once before joining on it: another scan may number them anew.
+    Its place in the scan, or a random number in a stream. Store the rows once
+    before joining on it: another scan may number them anew.
     """
+    if df.isStreaming:
+        return F.shiftrightunsigned(F.xxhash64(F.uuid()), 1)
     return F.monotonically_increasing_id()
 
 
@@ -57,7 +60,7 @@ def coerce_csv(df: DataFrame) -> DataFrame:
         *[_label(c).alias(c) for c in ("label", "noisy_label") if c in df.columns],
         *([_or_default("family", "")] if "family" in df.columns else []),
     )
-    return out if "mail_id" in out.columns else out.select(_row_id().alias("mail_id"), "*")
+    return out if "mail_id" in out.columns else out.select(_row_id(out).alias("mail_id"), "*")
 
 
 def read_mail(spark: SparkSession, path: str) -> DataFrame:
@@ -106,9 +109,9 @@ def coerce_json(df: DataFrame) -> DataFrame:
         *(["received_at"] if "received_at" in df.columns else []),
     )
     if "mail_id" not in out.columns:
-        return out.select(_row_id().alias("mail_id"), "*")
+        return out.select(_row_id(out).alias("mail_id"), "*")
     # below zero, where given ids are not
-    return out.withColumn("mail_id", F.coalesce("mail_id", -1 - _row_id()))
+    return out.withColumn("mail_id", F.coalesce("mail_id", -1 - _row_id(out)))
 
 
 def read_mail_json(spark: SparkSession, path: str) -> DataFrame:
