@@ -205,11 +205,13 @@ def observed_label(mail: DataFrame) -> str:
 def fit_vectors(
     mail: DataFrame, space: DesignSpace, folds: int = 3
 ) -> DataFrame:
-    """Stored training vectors with label ``y`` and stratified ``fold``."""
-    y = F.col(observed_label(mail)).alias("y")
-    vectors = space.transform(mail.withColumn("y", y), ("mail_id", "y"))
-    ids = kfold_assign(mail.select("mail_id", y), folds, "y").select("mail_id", "fold")
-    return stored(vectors.join(ids, "mail_id"), "vectors")
+    """Stored training vectors with label ``y`` and stratified ``fold``.
+
+    Rows get their fold before they become vectors, and nothing is joined back on
+    the id: mails that share one stay apart, and no wide vector is shuffled.
+    """
+    rows = kfold_assign(mail.withColumn("y", F.col(observed_label(mail))), folds, "y")
+    return stored(space.transform(rows, ("mail_id", "y", "fold")), "vectors")
 
 
 def fit_calibrated(
