@@ -104,16 +104,14 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, cells, empty = Shingler(), np.zeros(1 << CELL_BITS, dtype=np.int64), True
         for batch in batches:
-            n, keys, all_cells = [], [], []
-            for text in batch.column(2):
-                s = shingles(text.as_py())
-                n.append(len(s))
-                keys.append(set_key(s) if len(s) else None)
-                all_cells.append(_cell(s))
-            if all_cells:
-                cells += np.bincount(np.concatenate(all_cells), minlength=len(cells))
+            for start in range(0, batch.num_rows, 500):
+                some = batch.slice(start, 500)
+                found = [shingles(text.as_py()) for text in some.column(2)]
+                cells += np.bincount(_cell(np.concatenate(found)), minlength=len(cells))
                 empty = False
-            yield rows(batch.column(0), batch.column(1), n, keys, [None] * len(n), [None] * len(n))
+                keys = [set_key(s) if len(s) else None for s in found]
+                none = [None] * len(found)
+                yield rows(some.column(0), some.column(1), list(map(len, found)), keys, none, none)
         if not empty:
             parts = cells.reshape(-1, _BLOCK)
             none = [None] * len(parts)
