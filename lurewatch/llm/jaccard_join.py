@@ -1,8 +1,9 @@
 """Jaccard join of word shingles with adaptive multi-match prefixes.
 
 A document is the set of its distinct runs of five words. All sets are sorted by one
-order of shingles: those that a sketch of all shingle counts takes for frequent come
-last, others by hash. Two sets with a Jaccard similarity of t or more share at least
+order of shingles: those that come again and again inside single tasks' shares of the
+corpus are frequent and come last (a sketch of fixed size sums their counts), others
+by hash. Two sets with a Jaccard similarity of t or more share at least
 ``l`` shingles of their prefixes of length ``n - ceil(t n) + l``, for every l. A
 longer prefix thus asks for more shared shingles, and each document chooses its l by
 estimated cost: entries that its prefix meets, plus the sets that must be compared
@@ -44,15 +45,17 @@ from lurewatch.llm.common import drop_stored, stored, text_of
 from lurewatch.llm.components import components
 
 WORDS, SIMILAR = 5, 75
-#: Cells of the sketch: 4 MB to broadcast, whatever the input.
-CELL_BITS = 20
+#: Cells of the sketch: 16 MB to broadcast, whatever the input.
+CELL_BITS = 22
+#: Shingles that a task counts at a time, and the least count that makes one frequent.
+CHUNK, FREQUENT = 4_000_000, 8
 LEVELS = (1, 2, 4, 8, 16)
 #: Share of shingles assumed to be held by one more document than the sketch can tell.
 PRIOR = 0.02
 #: Shingles estimated above this many documents are dealt over several tasks.
 HOT = 20_000
 HUB_ROUNDS = 2
-_BLOCK = 1 << 14
+_BLOCK = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,20 +105,28 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, text_hash, n, g (key of the set) of each row, and the tasks' sketches: block, cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, cells, empty = Shingler(), np.zeros(1 << CELL_BITS, dtype=np.int64), True
+        shingles, cells, seen = Shingler(), np.zeros(1 << CELL_BITS, dtype=np.int32), set()
+        held, size = [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 some = batch.slice(start, 500)
                 found = [shingles(text.as_py()) for text in some.column(2)]
-                cells += np.bincount(_cell(np.concatenate(found)), minlength=len(cells))
-                empty = False
                 keys = [set_key(s) if len(s) else None for s in found]
+                for key, s in zip(keys, found):
+                    if key is not None and key not in seen:
+                        seen.add(key)
+                        held.append(s)
+                        size += len(s)
+                if size >= CHUNK:
+                    _add_repeated(cells, held)
+                    held, size, seen = [], 0, set()
                 none = [None] * len(found)
                 yield rows(some.column(0), some.column(1), list(map(len, found)), keys, none, none)
-        if not empty:
-            parts = cells.reshape(-1, _BLOCK)
-            none = [None] * len(parts)
-            yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, range(len(parts)), [p.astype("<i8").tobytes() for p in parts])
+        _add_repeated(cells, held)
+        parts = [(k, p) for k, p in enumerate(cells.reshape(-1, _BLOCK)) if p.any()]
+        if parts:
+            none, blocks, raw = [None] * len(parts), [k for k, _ in parts], [p.astype("<i4").tobytes() for _, p in parts]
+            yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, blocks, raw)
 
     def rows(ids, hashes, n, keys, blocks, cells) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -132,11 +143,18 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g binary, block int, cells binary"), "jaccard-documents")
 
 
+def _add_repeated(cells: np.ndarray, sets: list[np.ndarray]) -> None:
+    """Count the shingles that several of the sets hold."""
+    if sets:
+        shingles, n = np.unique(np.concatenate(sets), return_counts=True)
+        np.add.at(cells, _cell(shingles[n > 1]), n[n > 1].astype(np.int32))
+
+
 def _sum_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-            value = np.frombuffer(raw.as_py(), dtype="<i8")
+            value = np.frombuffer(raw.as_py(), dtype="<i4")
             sums[block] = sums[block] + value if block in sums else value
     if sums:
         values = pa.array([v.tobytes() for v in sums.values()], pa.binary())
@@ -144,15 +162,15 @@ def _sum_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
-    """Estimated documents of the shingles of each cell, above what cells hold anyway."""
+    """Estimated documents of the shingles of each cell: one, unless it stands out as frequent."""
     parts = rows.where("block is not null").select("block", "cells")
     n = (1 << CELL_BITS) // _BLOCK
     for salt in (F.floor(F.rand(7) * 16), F.lit(0)):
         parts = parts.repartition(n, "block", salt).mapInArrow(_sum_cells, "block int, cells binary")
-    cells = np.zeros(1 << CELL_BITS, dtype=np.int64)
+    cells = np.zeros(1 << CELL_BITS, dtype=np.int32)
     for row in parts.collect():  # 2**CELL_BITS numbers in all
-        cells[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(row["cells"], dtype="<i8")
-    return np.maximum(cells - 2 * int(np.median(cells)), 1).astype(np.int32)
+        cells[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(row["cells"], dtype="<i4")
+    return np.where(cells >= FREQUENT + 2 * cells.mean(), cells, 1).astype(np.int32)
 
 
 # ---- prefixes ---------------------------------------------------------------
