@@ -48,7 +48,7 @@ WORDS, SIMILAR = 5, 75
 #: Cells of the sketch: 16 MB to broadcast, whatever the input.
 CELL_BITS = 22
 #: Shingles that a task counts at a time, and the least count that makes one frequent.
-CHUNK, FREQUENT = 4_000_000, 8
+CHUNK, FREQUENT = 2_000_000, 8
 LEVELS = (1, 2, 4, 8, 16)
 #: Share of shingles assumed to be held by one more document than the sketch can tell.
 PRIOR = 0.02
@@ -65,7 +65,7 @@ class Shingler:
     def __init__(self, words: int = WORDS):
         import xxhash
 
-        self.words, self.known = words, Cache(xxhash.xxh3_64_intdigest, 250_000)
+        self.words, self.known = words, Cache(xxhash.xxh3_64_intdigest, 150_000)
 
     def __call__(self, text: str) -> np.ndarray:
         # on bytes: lower() changes A-Z only, split() cuts at the six ASCII spaces only
@@ -146,8 +146,11 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _add_repeated(cells: np.ndarray, sets: list[np.ndarray]) -> None:
     """Count the shingles that several of the sets hold."""
     if sets:
-        shingles, n = np.unique(np.concatenate(sets), return_counts=True)
-        np.add.at(cells, _cell(shingles[n > 1]), n[n > 1].astype(np.int32))
+        found = np.concatenate(sets)
+        found.sort()
+        starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        n = np.diff(starts, append=len(found)).astype(np.int32)
+        np.add.at(cells, _cell(found[starts[n > 1]]), n[n > 1])
 
 
 def _sum_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,6 +378,8 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links), text_hash."""
+    # whole texts go to Python a thousand at a time, not ten thousand
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
     rows = _documents(docs, id_col, text_col)
     table = rows.where("block is null").select("id", "text_hash", "n", "g")
     entries = _entries(docs, _sketch(rows), text_col)
