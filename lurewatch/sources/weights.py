@@ -43,7 +43,7 @@ TAB_WEIGHTS = {
 }
 INTERCEPT = -0.3217947084627873
 
-#: Its 200 heaviest terms of one or two words, term -> (weight, idf); an export file brings all 400.
+#: Its 400 exported terms of one or two words, term -> (weight, idf).
 TERM_WEIGHTS = {
     "82": (-1.3978608042517582, 6.329392009613412),
     "33 82": (-1.2094501706740985, 7.492542819419093),
@@ -245,6 +245,206 @@ TERM_WEIGHTS = {
     "47": (0.35316119024598464, 6.329392009613412),
     "dhl": (-0.35297907035656606, 4.365782283458698),
     "le 10": (0.35262643440156677, 7.492542819419093),
+    "depuis berlin": (-0.35141751874101784, 5.843884193831711),
+    "berlin le": (-0.35141751874101784, 5.843884193831711),
+    "berlin": (-0.35141751874101784, 5.843884193831711),
+    "99 hello": (-0.3511883526346469, 6.904756154516973),
+    "bonjour sarah": (0.3511421064857317, 7.022539190173357),
+    "sarah nous": (0.3511421064857317, 7.022539190173357),
+    "33 30": (-0.35105635121668016, 7.310221262625138),
+    "expediteur laposte": (0.3502510660128908, 5.636244829053466),
+    "laposte livraison": (0.3502510660128908, 5.636244829053466),
+    "cet": (-0.350135653030667, 3.5109937513423364),
+    "requis": (0.34989242195164477, 3.604812506559991),
+    "33 14": (-0.3496347351543221, 7.7156863707333025),
+    "40 sont": (0.3489854897949818, 5.170155099128867),
+    "de 49": (0.34895098204360314, 4.797915638649023),
+    "reglement": (0.34796861780255445, 3.8655387690232437),
+    "cet email": (-0.3467793328967001, 3.5147320734529437),
+    "ordinateur microsoft": (-0.34648702552203453, 4.580192154804153),
+    "de paiement": (-0.34616226809272765, 3.881624906774868),
+    "bien": (-0.345339429777096, 2.7303688846213365),
+    "url_token vous": (-0.3450153283126583, 3.5147320734529437),
+    "client netflix": (0.3444536789217795, 5.438419085723546),
+    "simon directeur": (-0.34348135210359604, 7.15607058279788),
+    "merci sophie": (-0.34307863664702626, 7.022539190173357),
+    "requise": (-0.3398605003465944, 3.2613390744797948),
+    "agissez pas": (0.33961143183256465, 3.7887747528114057),
+    "48h": (0.33961143183256465, 3.7887747528114057),
+    "verrouille equipe": (0.33961143183256465, 3.7887747528114057),
+    "equipe de": (0.33961143183256465, 3.7887747528114057),
+    "verrouille": (0.33961143183256465, 3.7887747528114057),
+    "agissez": (0.33961143183256465, 3.7887747528114057),
+    "compte pour": (0.33961143183256465, 3.7887747528114057),
+    "maintenant cliquez": (0.33961143183256465, 3.7887747528114057),
+    "vous agissez": (0.33961143183256465, 3.7887747528114057),
+    "securite vous": (0.33961143183256465, 3.7887747528114057),
+    "sous 48h": (0.33961143183256465, 3.7887747528114057),
+    "sera verrouille": (0.33961143183256465, 3.7887747528114057),
+    "pas sous": (0.33961143183256465, 3.7887747528114057),
+    "bonjour je": (0.3387070588683265, 4.580192154804153),
+    "hello vous": (0.3383208842848635, 4.636072613198609),
+    "hello dans": (0.33712614723586926, 5.4910628192089685),
+    "amazon par": (-0.3366983856908809, 5.273339335364098),
+    "securite amazon": (-0.3366983856908809, 5.273339335364098),
+    "suite": (0.33668910659398527, 3.7548732011357244),
+    "suite une": (0.33668910659398527, 3.7548732011357244),
+    "le 09": (0.33660409866073415, 6.904756154516973),
+    "commande madame": (0.33550099037434244, 6.904756154516973),
+    "equipe apple": (-0.33420230760783465, 4.882473026677086),
+    "de 50": (0.33355332880392136, 4.486860215011934),
+    "bancaires": (0.332933867092191, 3.026634700764509),
+    "une connexion": (0.33207710154311787, 3.798675823794117),
+    "connexion inhabituelle": (0.33207710154311787, 3.798675823794117),
+    "reste": (0.3318953011657592, 3.1723915884632983),
+    "nouvelle": (-0.3313882632571271, 3.7083531855008314),
+    "monsieur nous": (-0.3303839181670906, 4.5068608817186036),
+    "point": (-0.32912656865617734, 5.076629041118044),
+    "reinitialiser url_token": (0.32842868970601696, 3.7937130344519883),
+    "est en": (-0.32840594327832223, 3.914594926012438),
+    "lien": (-0.32787020901744995, 4.234446281397611),
+    "question": (0.3267494278517607, 5.464394572126807),
+    "question sur": (0.3267494278517607, 5.464394572126807),
+    "securite spotify": (-0.3265665161689391, 5.605473170386713),
+    "confidentiel hello": (-0.3263415649914656, 7.022539190173357),
+    "inchange equipe": (-0.3258909292796397, 4.234446281397611),
+    "inchange": (-0.3258909292796397, 4.234446281397611),
+    "email votre": (-0.3258909292796397, 4.234446281397611),
+    "securite ce": (-0.3258909292796397, 4.234446281397611),
+    "cette demande": (-0.3258909292796397, 4.234446281397611),
+    "ce lien": (-0.3258909292796397, 4.234446281397611),
+    "etes pas": (-0.3258909292796397, 4.234446281397611),
+    "pas origine": (-0.3258909292796397, 4.234446281397611),
+    "60 minutes": (-0.3258909292796397, 4.234446281397611),
+    "minutes": (-0.3258909292796397, 4.234446281397611),
+    "minutes cliquez": (-0.3258909292796397, 4.234446281397611),
+    "de cette": (-0.3258909292796397, 4.234446281397611),
+    "le mot": (-0.3258909292796397, 4.234446281397611),
+    "dans 60": (-0.3258909292796397, 4.234446281397611),
+    "origine": (-0.3258909292796397, 4.234446281397611),
+    "origine de": (-0.3258909292796397, 4.234446281397611),
+    "54": (0.3258798825939531, 6.537031374391656),
+    "fedex nous": (0.32586966495872616, 7.310221262625138),
+    "equipe fedex": (0.32586966495872616, 7.310221262625138),
+    "recu spotify": (0.3256669125631335, 7.15607058279788),
+    "spotify commande": (0.3256669125631335, 7.15607058279788),
+    "monsieur profitez": (0.32534044539184837, 5.806143865848864),
+    "vous devez": (0.32532899657063, 3.798675823794117),
+    "devez": (0.32532899657063, 3.798675823794117),
+    "33 27": (-0.3251135239940193, 7.492542819419093),
+    "reinitialisation": (0.32427353441797796, 4.219178809266822),
+    "reinitialisation de": (0.32427353441797796, 4.219178809266822),
+    "voter": (-0.32358374044302773, 5.769776221677989),
+    "pour recevoir": (0.32264516146662664, 3.1281711199839317),
+    "recevoir": (0.32264516146662664, 3.1281711199839317),
+    "reinitialiser votre": (-0.32178100839837587, 4.242168327491521),
+    "avons temporairement": (0.3216810782035915, 3.828981173289446),
+    "inhabituelle votre": (0.3210739861009806, 3.803663365305156),
+    "99": (-0.32079852369281747, 2.9971874994382075),
+    "expire dans": (-0.3199031718770735, 4.2499504679335764),
+    "lien expire": (-0.3199031718770735, 4.2499504679335764),
+    "attente des": (-0.3198552005992962, 4.242168327491521),
+    "06 2026": (-0.319362361964576, 5.769776221677989),
+    "06": (-0.319362361964576, 5.769776221677989),
+    "passe restera": (-0.317882661394322, 4.2499504679335764),
+    "restera inchange": (-0.317882661394322, 4.2499504679335764),
+    "restera": (-0.317882661394322, 4.2499504679335764),
+    "connexion bonjour": (-0.3178739150285819, 6.010938278494877),
+    "votre remboursement": (0.3175473836642899, 5.3643111135698245),
+    "disponible felicitations": (0.3175473836642899, 5.3643111135698245),
+    "de 128": (0.3175473836642899, 5.3643111135698245),
+    "remboursement de": (0.3175473836642899, 5.3643111135698245),
+    "128": (0.3175473836642899, 5.3643111135698245),
+    "128 50": (0.3175473836642899, 5.3643111135698245),
+    "remboursement": (0.3175473836642899, 5.3643111135698245),
+    "50 est": (0.3175473836642899, 5.3643111135698245),
+    "mise": (0.3173458949327779, 3.778970752714785),
+    "passe url_token": (-0.3172007150282485, 4.242168327491521),
+    "reinitialiser le": (-0.3168804567715611, 4.2499504679335764),
+    "vandelay": (0.3167461846417972, 5.388408665148885),
+    "securite": (-0.3164979133683576, 2.4752629826041685),
+    "48h votre": (0.31638609181025285, 3.803663365305156),
+    "avant": (0.3162234673042858, 3.133273171867827),
+    "confiance netflix": (-0.31543170325227526, 5.769776221677989),
+    "33 78": (-0.315233097240233, 7.492542819419093),
+    "alerte de": (-0.3144144949574039, 3.4852096341866217),
+    "jour de": (0.3141506118397576, 3.7838607380089764),
+    "mise jour": (0.3141506118397576, 3.7838607380089764),
+    "compte bonjour": (-0.3136897696508373, 5.636244829053466),
+    "89 90": (0.3135962927274533, 5.295318242082873),
+    "de 89": (0.3135962927274533, 5.295318242082873),
+    "avez demande": (-0.31339209588570277, 4.2499504679335764),
+    "sera retourne": (0.31264592446812167, 3.803663365305156),
+    "raison": (0.31264592446812167, 3.803663365305156),
+    "sous 72h": (0.31264592446812167, 3.803663365305156),
+    "72h": (0.31264592446812167, 3.803663365305156),
+    "livre en": (0.31264592446812167, 3.803663365305156),
+    "incomplete": (0.31264592446812167, 3.803663365305156),
+    "72h votre": (0.31264592446812167, 3.803663365305156),
+    "url_token sans": (0.31264592446812167, 3.803663365305156),
+    "expediteur": (0.31264592446812167, 3.803663365305156),
+    "retourne expediteur": (0.31264592446812167, 3.803663365305156),
+    "retourne": (0.31264592446812167, 3.803663365305156),
+    "en raison": (0.31264592446812167, 3.803663365305156),
+    "incomplete des": (0.31264592446812167, 3.803663365305156),
+    "raison une": (0.31264592446812167, 3.803663365305156),
+    "maintenant bonjour": (-0.3121892504120985, 6.329392009613412),
+    "de votre": (-0.3118363418389927, 2.8215848928929983),
+    "suivre": (-0.3113915214086503, 4.2499504679335764),
+    "90 ou": (-0.3107037369089594, 7.310221262625138),
+    "facturation paypal": (0.3101640307544627, 5.464394572126807),
+    "rib": (0.31015601798902204, 3.778970752714785),
+    "salaire": (0.31015601798902204, 3.778970752714785),
+    "depuis votre": (-0.30986610081121185, 4.2499504679335764),
+    "daily": (0.30960680135837276, 5.546632670363779),
+    "sujet daily": (0.30960680135837276, 5.546632670363779),
+    "daily date": (0.30960680135837276, 5.546632670363779),
+    "tout": (-0.30950484773549586, 3.4707689500318275),
+    "hello je": (-0.3086991947574912, 5.3643111135698245),
+    "devez verifier": (0.308268074125215, 3.8086759071287006),
+    "presence daniel": (0.30820851891412976, 6.799395638859147),
+    "frais ici": (0.30795759617271806, 3.8086759071287006),
+    "reglez les": (-0.3071612061088787, 4.2499504679335764),
+    "et reglez": (-0.3071612061088787, 4.2499504679335764),
+    "colis tout": (-0.30702290818478134, 4.2499504679335764),
+    "depuis": (-0.3067911739524502, 3.4459889210333405),
+    "suivre votre": (-0.3067763912325186, 4.257793645394601),
+    "colis suivi": (-0.3067078339144523, 4.257793645394601),
+    "passe maintenant": (0.3064486543344833, 3.798675823794117),
+    "35": (0.3062437715578879, 6.537031374391656),
+    "frais url_token": (-0.3058061522309636, 4.2499504679335764),
+    "doivent etre": (-0.3057997249220589, 4.257793645394601),
+    "doivent": (-0.3057997249220589, 4.257793645394601),
+    "finaliser la": (-0.30537626677171587, 4.2499504679335764),
+    "37": (0.3053611219709777, 6.537031374391656),
+    "et payez": (0.30531959982037404, 3.8086759071287006),
+    "payez": (0.30531959982037404, 3.8086759071287006),
+    "payez les": (0.30531959982037404, 3.8086759071287006),
+    "sujet retrospective": (-0.30509014387583977, 5.4910628192089685),
+    "retrospective": (-0.30509014387583977, 5.4910628192089685),
+    "retrospective date": (-0.30509014387583977, 5.4910628192089685),
+    "colis sera": (0.30489083123261945, 3.8086759071287006),
+    "96 ou": (-0.30456395722179336, 7.492542819419093),
+    "demande reinitialiser": (-0.3043118684914968, 4.265698824901715),
+    "moreau": (-0.3038936031528712, 6.704085459054823),
+    "securite microsoft": (0.30388418915390164, 5.734684901866719),
+    "du mois": (0.30384772676163124, 3.8187770031152044),
+    "action requise": (-0.30383028392639017, 4.548103840252653),
+    "vous pouvez": (-0.30364305775405304, 4.2499504679335764),
+    "pouvez": (-0.30364305775405304, 4.2499504679335764),
+    "passe de": (-0.3033963304116097, 4.257793645394601),
+    "38": (-0.3032341999639013, 7.15607058279788),
+    "ignorez": (-0.3028781096118122, 4.2499504679335764),
+    "demande ignorez": (-0.3028781096118122, 4.2499504679335764),
+    "ignorez cet": (-0.3028781096118122, 4.2499504679335764),
+    "10h00": (0.3025839546870109, 7.022539190173357),
+    "2026 10h00": (0.3025839546870109, 7.022539190173357),
+    "10h00 lieu": (0.3025839546870109, 7.022539190173357),
+    "colis madame": (0.30223426553331806, 6.6170740820651925),
+    "securite linkedin": (0.3016550970426291, 5.438419085723546),
+    "url_token orange": (-0.30162498370446683, 5.438419085723546),
+    "sans": (0.3009070719211484, 3.0833875173569583),
+    "martin": (-0.300751189423982, 6.704085459054823),
 }
 # --- End of fixed values. ---
 

@@ -122,6 +122,18 @@ def test_csv_round_trip_and_defaults(spark, mail, tmp_path):
     assert (r.body, r.spf, r.attachments, r.has_html, r.num_recipients) == ("", "none", [], False, 1)
 
 
+def test_deployed_scorer_holds_every_exported_term(spark):
+    scorer = weights.LinearScorer()
+    assert len(scorer.terms) == 400
+    # light terms too: a mail of one of them is scored with it, once and twice
+    got = spark.createDataFrame([(0, "martin"), (1, "martin et martin"), (2, "personne")], "i int, t string")
+    logits = [r[1] for r in sorted(got.select("i", scoring.term_logit(scorer, F.col("t"))).collect())]
+    w, idf = -0.300751189423982, 6.704085459054823
+    assert logits[0] == pytest.approx(w * idf)
+    assert logits[1] == pytest.approx(w * idf * 1.6931471805599454)
+    assert logits[2] == 0
+
+
 def test_reports_and_weights_round_trip(spark, tmp_path):
     scorer = weights.LinearScorer()
     weights.write_scorer(spark, scorer, str(tmp_path / "w"))
