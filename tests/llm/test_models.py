@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lurewatch.llm import jaccard_join, pitman_yor, quality
+from lurewatch.llm import jaccard_join, ngram_model, pitman_yor, quality
 from lurewatch.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -101,6 +101,77 @@ def test_model_beats_the_base_on_texts_held_out(spark):
     assert scored(docs) == sorted(brute_base([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]), key=str)
 
 
+def test_trigram_predictions_sum_to_one():
+    rng = np.random.default_rng(3)
+    block = ngram_model.Block()
+    for k in range(40):
+        block.add(k, False, " ".join(f"w{j}" for j in rng.integers(0, 12, 30)))
+    _, requests = block.close(1, {})
+    part = ngram_model.Part([r for _, r in requests], {})
+    one, two = part.shared()
+    part.take(one, two, np.minimum(two, 1))
+    types = len(part.t0)
+    model = ngram_model.Model(int(part.customers.sum()), types, (0.7, 0.6, 0.5), *part.begin)
+    logs = [pitman_yor.stirling(d, pitman_yor.EXACT) for d in model.discounts]
+    for _ in range(2):
+        part.sweep(model, logs, rng)
+        p0, p1, p2 = part.predict(model)
+        t3, c2, t2, c0, customers, tables = part.totals(model)
+        unknown = (1 + 0.5 * tables) / (types + 1) / (1 + customers)
+        assert math.isclose(p0.sum() + unknown, 1.0, rel_tol=1e-9)
+        for context in (0, 50, part.ends[0] - 1):
+            own = part.context == context
+            last = part.last[part.up[own][0]]
+            behind = (1 + 0.6 * t2[last]) / (1 + c2[last])
+            after = behind * p0
+            mine = part.last == last
+            after[part.word[mine]] = p1[mine]
+            shown = (1 + 0.7 * t3[context]) / (1 + part.held[context])
+            everything = shown * after
+            everything[part.word[part.up[own]]] = p2[own]
+            assert math.isclose(everything.sum() + shown * behind * unknown, 1.0, rel_tol=1e-9)
+
+
+def test_repeated_passages_raise_the_score(spark):
+    """Words that end alike: only their sequence tells the passage from its words in another order."""
+    held = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 == 2]
+    words = [f"w{j}aa" for j in range(60)]
+    rng = np.random.default_rng(0)
+    rows = [(k, " ".join(words)) for k in range(1000, 1040)]
+    rows += [(held[0], " ".join(words)), (held[1], " ".join(rng.permutation(words)))]
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]] > got[held[1]] + 30
+
+
+def test_spread_contexts_are_shared_by_parts():
+    """Totals of a context dealt over parts by word equal those of one part."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{j}" for j in rng.integers(0, 9, 50) * rng.integers(0, 2, 50)) for _ in range(30)]
+
+    def parts(n, slices):
+        block = ngram_model.Block()
+        for k, t in enumerate(texts):
+            block.add(k, False, t)
+        return [ngram_model.Part([r], slices) for _, r in block.close(n, slices)[1]]
+
+    whole, spread = parts(1, {})[0], parts(8, {int(h): 8 for h in ngram_model.hashed([b"w0"])})
+    assert sum(len(p.open2) for p in spread) > 1
+    sums = {}
+    for p in spread:
+        for key, one, two in zip(p.keys, *p.shared()):
+            sums[key] = tuple(np.add(sums.get(key, (0, 0)), (one, two)))
+    want = dict(zip(whole.keys, zip(*whole.shared())))
+    assert all(sums[k] == v for k, v in want.items())
+    for p in spread:
+        one, two = (np.asarray([sums[k][j] for k in p.keys]) for j in (0, 1))
+        p.take(one, two, np.minimum(two, 1))
+    model = ngram_model.Model(0, len(whole.t0), (0.7, 0.6, 0.5), 0, 0)
+    at = [p.totals(model)[2][p.open2] for p in spread if len(p.open2)]
+    w0 = np.flatnonzero(whole.hashes == ngram_model.hashed([b"w0"])[0])[0]
+    assert w0 >= 0 and all(x[0] == at[0][0] for x in at)
+    assert whole.own()[2].max() == at[0][0]
+
+
 # ---- classifier ------------------------------------------------------------
 
 
