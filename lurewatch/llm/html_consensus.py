@@ -2,8 +2,12 @@
 
 1. Each page's containers are scored: a block of text counts fully for the
    container that holds it, half for the next one up, and so on; text inside
-   links does not count. Menus, adverts and the like are left out by tag and by
-   the words of class and id.
+   links does not count. Lists, tables, quotes and the like belong to what is around
+   them, all inside an article to the article, and a container to the one around it
+   that holds paragraphs or headings of its own (``_levels``). Menus, adverts and
+   the like are left out by tag and by the words of class and id; a container with
+   such words stays if it holds most of the page's text, unless it is named after
+   comments, cookies or the like.
 2. The pages of a host vote, with the share of the score, for container paths whose
    steps are tag and classes without digits. Spark sums the votes by host and path
    (a third of all pages on one host leave each task as a few rows).
@@ -55,14 +59,24 @@ _LEFT_OUT_WORDS = frozenset(
     "share sharing social newsletter subscribe subscription signup login search pagination pager widget toolbar "
     "complementary contentinfo".split()
 )
+#: Words that leave text out however much it is; the others are weighed against it.
+_STRICT_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising cookie cookies consent popup modal overlay nav navbar navigation "
+    "comment comments disqus respond reply replies".split()
+)
+#: Classes that tell what stands beside the container.
+_BESIDE = re.compile(r"(?:has|have|with|without|no)[-_]")
+#: Containers that never are the article by themselves.
+_WRAPPERS = frozenset("header ul ol dl li table tbody tr blockquote figure fieldset details center".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
 _CLOSED_BY_SAME = frozenset(("li", "tr", "td", "th", "option"))
 
 
 class Block:
-    __slots__ = ("steps", "out", "text", "linked")
+    __slots__ = ("steps", "out", "text", "linked", "prose")
 
-    def __init__(self, steps: tuple[str, ...], out: bool, text: str, linked: int):
-        self.steps, self.out, self.text, self.linked = steps, out, text, linked
+    def __init__(self, steps: tuple[str, ...], out: bool, text: str, linked: int, prose: bool):
+        self.steps, self.out, self.text, self.linked, self.prose = steps, out, text, linked, prose
 
 
 def _step(tag: str, attrs: str) -> tuple[str, set[str]]:
@@ -70,7 +84,7 @@ def _step(tag: str, attrs: str) -> tuple[str, set[str]]:
     words, classes = set(), []
     for name, value in _NAMED.findall(attrs):
         value = value.strip("\"'").lower()
-        words.update(re.findall(r"[a-z]+", value))
+        words.update(w for token in value.split() if not _BESIDE.match(token) for w in re.findall(r"[a-z]+", token))
         if name.lower() == "class":
             classes = sorted({re.sub(r"\d+", "#", c) for c in value.split()})
     return ".".join([tag, *classes]), words
@@ -79,15 +93,18 @@ def _step(tag: str, attrs: str) -> tuple[str, set[str]]:
 def page_blocks(source: str) -> list[Block]:
     """Blocks of text in page order with the path of the container that holds each."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool]] = [("", (), False)]
+    # left out for good; numbers of the containers around that are weighed
+    stack: list[tuple[str, tuple[str, ...], bool, tuple[int, ...]]] = [("", (), False, ())]
+    weighed: list[tuple[int, ...]] = []
     parts: list[str] = []
-    in_link, linked, at = 0, 0, 0
+    in_link, linked, at, prose, doubtful = 0, 0, 0, False, 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            blocks.append(Block(stack[-1][1], stack[-1][2], text, min(linked, len(text))))
+            blocks.append(Block(stack[-1][1], stack[-1][2], text, min(linked, len(text)), prose))
+            weighed.append(stack[-1][3])
         parts.clear()
         linked = 0
 
@@ -109,6 +126,7 @@ def page_blocks(source: str) -> list[Block]:
             in_link = 0 if m["close"] else 1
         elif tag in _BLOCKS:
             flush()
+            prose = tag in _PROSE and not m["close"]
             if tag not in _CONTAINERS:
                 continue
             if m["close"]:
@@ -120,24 +138,66 @@ def page_blocks(source: str) -> list[Block]:
                 if tag in _CLOSED_BY_SAME and stack[-1][0] == tag:
                     stack.pop()
                 step, words = _step(tag, m["attrs"] or "")
-                _, steps, out = stack[-1]
+                _, steps, out, doubts = stack[-1]
                 # a header inside the article holds its title
                 header = tag == "header" and not any(s.split(".")[0] == "article" for s in steps)
-                left = tag in _LEFT_OUT_TAGS or header or (tag not in ("html", "body", "article", "main") and words & _LEFT_OUT_WORDS)
-                stack.append((tag, (*steps, step), bool(out or left)))
+                left = tag in _LEFT_OUT_TAGS or header
+                if tag not in ("html", "body", "article", "main"):
+                    left = left or words & _STRICT_WORDS
+                    if words & _LEFT_OUT_WORDS:
+                        doubts, doubtful = (*doubts, doubtful), doubtful + 1
+                stack.append((tag, (*steps, step), bool(out or left), doubts))
     if at < len(source):
         add(source[at:])
     flush()
+    holds, total = [0] * doubtful, 0
+    for b, doubts in zip(blocks, weighed):
+        if not b.out:
+            total += len(b.text) - b.linked
+            for k in doubts:
+                holds[k] += len(b.text) - b.linked
+    for b, doubts in zip(blocks, weighed):
+        b.out = b.out or any(2 * holds[k] <= total for k in doubts)
     return blocks
 
 
+def _tag(step: str) -> str:
+    return step.split(".", 1)[0]
+
+
+def _levels(steps: tuple[str, ...], direct: set[tuple[str, ...]]) -> list[int]:
+    """Depths of the containers that may be the article of a block, the nearest first.
+
+    ``direct`` names the containers with paragraphs or headings of their own.
+    """
+    levels = [d for d in range(len(steps), 0, -1) if _tag(steps[d - 1]) not in _WRAPPERS]
+    article = next((d for d in levels if _tag(steps[d - 1]) == "article"), 0)
+    if article:
+        return [d for d in levels if d <= article]
+    while len(levels) > 1:
+        inner, outer = _tag(steps[levels[0] - 1]), _tag(steps[levels[1] - 1])
+        page = outer in ("html", "body")
+        own = steps[: levels[1]] in direct
+        # cells side by side may lay out the page, and body holds more than the article
+        if own and (not page or inner in ("section", "td", "th")) or inner == "section" and not page:
+            levels.pop(0)
+        else:
+            break
+    return levels or [1] * bool(steps)
+
+
 def container_scores(blocks: list[Block]) -> dict[str, float]:
     scores: dict[str, float] = {}
+    direct = set()
+    for b in blocks:
+        if b.prose and not b.out and len(b.text) > b.linked:
+            depth = next((d for d in range(len(b.steps), 0, -1) if _tag(b.steps[d - 1]) not in _WRAPPERS), 0)
+            direct.add(b.steps[:depth])
     for b in blocks:
         if b.out:
             continue
         share = float(len(b.text) - b.linked)
-        for depth in range(len(b.steps), 0, -1):
+        for depth in _levels(b.steps, direct):
             path = "/".join(b.steps[:depth])
             scores[path] = scores.get(path, 0.0) + share
             share /= 2

@@ -124,6 +124,31 @@ def test_hosts_agree_on_a_path(spark):
     assert got[9] == "brief"
 
 
+@pytest.mark.parametrize("inside", [
+    "<section><p>{}</p></section><section><p>{}</p></section>",
+    "<section class=a><p>{}</p></section><section class=b><p>{}</p></section>",
+    "<ul><li>{}<li>{}</ul>",
+    "<table><tr><td>{}</td><td>{}</td></tr></table>",
+    "<blockquote><p>{}</p></blockquote><div class=more><p>{}</p></div>",
+])
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div class='content has-sidebar'>{}</div>", "<div class=share-page>{}</div>"])
+def test_article_with_all_its_parts(inside, around):
+    """Title and introduction stay however much text lists, cells or sections hold."""
+    long = "words of the part " * 20
+    page = around.format("<h1>Title</h1><p>Intro.</p>" + inside.format(long, long))
+    page = f"<body><div class=sidebar><p>{'beside ' * 9}</p></div>{page}<div class=related>Other</div></body>"
+    blocks = html_consensus.page_blocks(page)
+    scores = html_consensus.container_scores(blocks)
+    winner = min(scores, key=lambda p: (-scores[p], p))
+    want = "\n\n".join(["Title", "Intro.", long.strip(), long.strip()])
+    assert html_consensus.article_text(blocks, winner) == want
+
+
+def test_long_comments_stay_out():
+    page = f"<body><div class=post><p>Short text.</p></div><div id=comments><p>{'a reader said ' * 50}</p></div></body>"
+    assert html_consensus.article_text(html_consensus.page_blocks(page), None) == "Short text."
+
+
 def test_articles_of_the_sample_pages(spark):
     import html
 
