@@ -660,34 +660,30 @@ def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @register("fit_calibrated")
 def fit_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Logistic model on all three blocks (10 iterations); scores of the test side."""
+    """Logistic model on all three blocks; scores of the test side."""
     train, test = _split(spark, sf_dir)
-    spec = model.ModelSpec("logreg", max_iter=10)
-    scored = model.train(train, spec).score_mail(test, ("mail_id", "label"))
+    scored = model.train(train, model.ModelSpec("logreg")).score_mail(test, ("mail_id", "label"))
     return rounded(scored, 4)
 
 
 @register("export_weights")
 def export_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 400 heaviest word weights of the fitted linear model."""
+    """The 400 heaviest word weights of the linear model fitted on all three blocks."""
     train, _ = _split(spark, sf_dir)
-    spec = model.ModelSpec("logreg", max_iter=10)
-    scorer = model.train(train, spec, ("tab", "word")).linear_scorer()
+    scorer = model.train(train, model.ModelSpec("logreg")).linear_scorer()
     return rounded(weights.top_weights(scorer.term_frame(spark), 400), 4)
 
 
 @register("compare_models")
 def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three model kinds on the tabular block, ensembles at 20 trees / 10 rounds."""
-    specs = [
-        model.ModelSpec(k, trees=20, rounds=10, max_iter=100) for k in ("logreg", "rf", "gbt")
-    ]
-    return rounded(model.compare_models(*_split(spark, sf_dir), specs, ("tab",)), 4)
+    """Three model kinds on all three blocks."""
+    specs = [model.ModelSpec(k) for k in ("logreg", "rf", "gbt")]
+    return rounded(model.compare_models(*_split(spark, sf_dir), specs), 4)
 
 
 @register("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(model.feature_importance(mail_view(spark, sf_dir), trees=50), 4)
+    return rounded(model.feature_importance(mail_view(spark, sf_dir)), 4)
 
 
 # --- Streaming and corpus ---------------------------------------------------------------------------------

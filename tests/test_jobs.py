@@ -134,6 +134,37 @@ def test_deployed_scorer_holds_every_exported_term(spark):
     assert logits[2] == 0
 
 
+def test_registered_fits_are_full_size(spark, monkeypatch):
+    """The queries fit all blocks at the sizes of ModelSpec."""
+    from inspect import signature
+
+    from conftest import SF
+    from lurewatch.operators import model
+    from lurewatch.plans.catalog import CATALOG
+
+    seen = {}
+
+    def noted(fn):
+        def run(*args, **named):
+            bound = signature(fn).bind(*args, **named)
+            bound.apply_defaults()
+            seen.update(bound.arguments)
+            raise InterruptedError
+
+        return run
+
+    for name in ("train", "compare_models", "feature_importance"):
+        monkeypatch.setattr(model, name, noted(getattr(model, name)))
+    for query in ("fit_calibrated", "export_weights", "compare_models", "feature_importance"):
+        seen.clear()
+        with pytest.raises(InterruptedError):
+            CATALOG[query][0](spark, SF)
+        assert seen.get("blocks", model.ALL_BLOCKS) == ("tab", "word", "char")
+        assert seen.get("trees", 250) == 250
+        specs = seen.get("specs") or [seen.get("spec", model.ModelSpec())]
+        assert all((s.trees, s.rounds, s.max_iter) == (300, 400, 2000) for s in specs)
+
+
 def test_reports_and_weights_round_trip(spark, tmp_path):
     scorer = weights.LinearScorer()
     weights.write_scorer(spark, scorer, str(tmp_path / "w"))
