@@ -7,7 +7,8 @@ the benchmark at all. For a document and an item that share seeds, tiling marks
 the longest common run, then the next longest that overlaps neither a marked word
 of the document nor one of the item, until no run of ``min_match`` words is left.
 The share of the item's words under tiles is its coverage, so passages whose
-sentences were put in another order are found as well as whole ones.
+sentences were put in another order are found as well as whole ones. A long quote,
+``QUOTED`` words in tiles of at least ``QUOTE``, counts under any share.
 
 The benchmark is the query set: it is read in blocks of bounded size, each block is
 broadcast, and one map-only pass over the documents meets all of it. Documents are
@@ -37,6 +38,8 @@ from lurewatch.llm.common import text_of
 MIN_MATCH = 5
 #: Share of an item's words that must lie under tiles.
 COVERAGE = 0.5
+#: Words under tiles of at least QUOTE words that count whatever the item's length.
+QUOTED, QUOTE = 50, 13
 #: Bytes of benchmark text in a broadcast block, on average.
 BLOCK_BYTES = 16 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -163,7 +166,7 @@ class Matcher:
         for item, length, doc_at, item_at in self.seeds.shared(ids):
             found = tiles(doc_at, item_at, length)
             covered = sum(n for _, _, n in found) / len(self.seeds.items[item])
-            if covered >= self.coverage:
+            if covered >= self.coverage or sum(n for _, _, n in found if n >= QUOTE) >= QUOTED:
                 out.append((self.seeds.names[item], covered, len(found), max(n for _, _, n in found)))
         return out
 

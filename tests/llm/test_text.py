@@ -252,6 +252,17 @@ def test_tiling_equals_brute_force():
         assert got == brute_tiles(doc, item, 5)
 
 
+def test_long_quotes_under_half_an_item_are_found(spark):
+    words = [f"w{j}" for j in range(400)]
+    once, pieces, few = words[100:150], words[:20] + ["x"] + words[30:50] + ["y"] + words[60:70 + 5], words[100:149]
+    short = [w for k in range(0, 100, 10) for w in (*words[k : k + 6], "z")]
+    docs = spark.createDataFrame([(k, "before " + " ".join(t) + " after") for k, t in enumerate((once, pieces, few, short))], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = decontaminate.contaminated(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["coverage"], r["longest_tile"]) for r in got) == [(0, 0.125, 50), (1, 0.1375, 20)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, benchmark).collect()) == [2, 3]
+
+
 def test_reordered_passages_are_found(spark):
     sentences = [[f"s{k}w{j}" for j in range(8)] for k in range(4)]
     item = ". ".join(" ".join(s) for s in sentences)
