@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lurewatch import ship
-from lurewatch.llm import bpe_codec, decontaminate, exact_dedup, html_consensus, jaccard_join, pitman_yor, quality, token_counts, token_store, url_filter
+from lurewatch.llm import (
+    bpe_codec, decontaminate, exact_dedup, html_consensus, jaccard_join, language, phrases, pitman_yor, quality, resample,
+    token_counts, token_store, url_filter,
+)
 from lurewatch.llm.common import table
 
 #: Vocabulary file of the token operators; it must lie at the same place on every executor.
@@ -87,3 +90,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_html_consensus")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_consensus.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@register("op11_phrases", phrases.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict_languages(docs, language.fit_languages(docs))
+
+
+@register("op13_resample", resample.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
