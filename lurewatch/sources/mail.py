@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lurewatch.functions.text import strip
 from lurewatch.schema import MAIL_CSV_SCHEMA, MAIL_JSON_SCHEMA
+from lurewatch.sources import records
 
 _TEXT_DEFAULTS = {
     "subject": "", "body": "", "sender_display": "", "sender_email": "", "reply_to": "",
@@ -23,15 +24,16 @@ def _or_default(name: str, default: str) -> Column:
     return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(default)).alias(name)
 
 
-def _row_id(df: DataFrame) -> Column:
-    """Id of a row that has none, so that equal mails stay apart.
+def _with_row_id(df: DataFrame) -> DataFrame:
+    """Number rows that have no id, so that equal mails stay apart.
 
-    Its place in the scan, or a random number in a stream. Store the rows once
-    before joining on it: another scan may number them anew.
+    A batch row's id follows from its content and a running number among equal rows, the
+    same in every scan; a stream has no equal rows to count, so its ids are random.
+    Readers of files number rows by their place instead.
     """
     if df.isStreaming:
-        return F.shiftrightunsigned(F.xxhash64(F.uuid()), 1)
-    return F.monotonically_increasing_id()
+        return df.select(F.shiftrightunsigned(F.xxhash64(F.uuid()), 1).alias("mail_id"), "*")
+    return records.numbered_copies(df, "mail_id")
 
 
 def _number(name: str, default: int) -> Column:
@@ -60,23 +62,17 @@ def coerce_csv(df: DataFrame) -> DataFrame:
         *[_label(c).alias(c) for c in ("label", "noisy_label") if c in df.columns],
         *([_or_default("family", "")] if "family" in df.columns else []),
     )
-    return out if "mail_id" in out.columns else out.select(_row_id(out).alias("mail_id"), "*")
+    return out if "mail_id" in out.columns else _with_row_id(out)
 
 
 def read_mail(spark: SparkSession, path: str) -> DataFrame:
     """CSV corpus scan. Bodies hold quotes and line breaks, so records span lines.
 
-    One file is one task then: a big corpus comes in many files, or as parquet.
+    Many tasks read one big file. ``mail_id`` is the place of the record in the files,
+    the same in every scan of them (``records.read_records``).
     """
-    raw = (
-        spark.read.schema(MAIL_CSV_SCHEMA)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
-    return coerce_csv(raw)
+    raw = records.read_csv(spark, path, MAIL_CSV_SCHEMA)
+    return coerce_csv(raw.withColumnRenamed("record_id", "mail_id"))
 
 
 def write_mail_csv(df: DataFrame, path: str) -> None:
@@ -109,14 +105,19 @@ def coerce_json(df: DataFrame) -> DataFrame:
         *(["received_at"] if "received_at" in df.columns else []),
     )
     if "mail_id" not in out.columns:
-        return out.select(_row_id(out).alias("mail_id"), "*")
+        return _with_row_id(out)
+    if out.isStreaming:
+        return out.withColumn("mail_id", F.coalesce("mail_id", -1 - F.shiftrightunsigned(F.xxhash64(F.uuid()), 1)))
     # below zero, where given ids are not
-    return out.withColumn("mail_id", F.coalesce("mail_id", -1 - _row_id(out)))
+    unnamed = _with_row_id(out.where("mail_id IS NULL").drop("mail_id"))
+    return out.where("mail_id IS NOT NULL").unionByName(unnamed.withColumn("mail_id", -1 - F.col("mail_id")))
 
 
 def read_mail_json(spark: SparkSession, path: str) -> DataFrame:
-    """One payload per line."""
-    return coerce_json(spark.read.schema(MAIL_JSON_SCHEMA).json(path))
+    """One payload per line; a payload without an id gets one below zero from its place in the files."""
+    lines = records.read_records(spark, path, quoted=False)
+    parsed = lines.select("record_id", F.from_json("record", MAIL_JSON_SCHEMA).alias("p")).select("record_id", "p.*")
+    return coerce_json(parsed.withColumn("mail_id", F.coalesce("mail_id", -1 - F.col("record_id"))).drop("record_id"))
 
 
 def parse_payloads(df: DataFrame, column: str = "value") -> DataFrame:
