@@ -116,6 +116,13 @@ def fold(text: Column) -> Column:
     return let(F.lower(text), unaccent)
 
 
+@lru_cache(maxsize=None)
+def uneven_class() -> str:
+    """Characters that ``fold`` drops or spells out as several."""
+    src, dst, expand = _fold_tables()
+    return "[" + _char_class([*src[len(dst):], *expand]) + "]"
+
+
 @lru_cache(maxsize=None)
 def nfkc_stable_class() -> str:
     """Class of characters that NFKC can never touch, alone or next to others.

@@ -2,8 +2,7 @@
 
 No block shuffles: URL facts are higher-order functions over the row's own URL
 array and the look-alike distance runs against the literal brand list, so a host
-that a third of all mails share costs no more than any other. The only Python
-step is the lexicon scan, which an Arrow batch does in one pass over the text.
+that a third of all mails share costs no more than any other.
 """
 
 from __future__ import annotations

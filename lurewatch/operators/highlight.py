@@ -2,62 +2,64 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lurewatch import lexicons as lex
 from lurewatch.functions import text as tx
 from lurewatch.functions.plan import let
-from lurewatch.functions.lexicon_scan import fold_text
+from lurewatch.functions.lexicon_scan import occurrences
 from lurewatch.operators.features import brand_distance
 
-_SPAN = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("start", T.IntegerType()),
-            T.StructField("end", T.IntegerType()),
-            T.StructField("kind", T.StringType()),
-        ]
-    )
-)
+#: Longest folding of one character.
+_WIDEST = 20
 
 
-def _places(text: str, folded: str) -> list[int] | None:
-    """Of each folded character the original one; nothing where both count alike.
+def _lexicon_spans(text: Column) -> Column:
+    """Distinct ``(start, end, kind)`` of the lexicon terms of a text.
 
-    Folding is done character by character, so the lengths of the pieces add up.
+    Terms are found in the folded text; where folding drops or spells out a character, a
+    table of each folded character's origin leads back. A span covers whole characters,
+    and the marks that follow the last one.
     """
-    if len(folded) == len(text) and all(len(fold_text(c)) == 1 for c in set(text) if c > "\x7f"):
-        return None
-    return [i for i, c in enumerate(text) for _ in fold_text(c)]
-
-
-def _spans(text: str) -> list[dict]:
-    folded, found = fold_text(text), set()
+    kinds: dict[str, list[str]] = {}
     for kind, terms in lex.FOLDED.items():
         for term in terms:
-            at = folded.find(term)
-            while at >= 0:
-                found.add((at, at + len(term), kind))
-                at = folded.find(term, at + len(term))
-    if not found:
-        return []
-    places = None if text.isascii() else _places(text, folded)
-    if places is not None:
-        # a span covers whole characters, and the marks that follow the last one
-        def end(at: int) -> int:
-            last = places[at - 1] + 1
-            while last < len(text) and not fold_text(text[last]):
-                last += 1
-            return last
-
-        found = {(places[a], end(b), kind) for a, b, kind in found}
-    return [{"start": a, "end": b, "kind": k} for a, b, k in sorted(found)]
-
-
-@F.pandas_udf(_SPAN)
-def _lexicon_spans(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: _spans(t or ""))
+            if kind not in kinds.setdefault(term, []):
+                kinds[term].append(kind)
+    names = F.map_from_arrays(
+        F.split(F.lit("\x01".join(kinds)), "\x01"),
+        F.transform(F.split(F.lit("\x01".join(",".join(k) for k in kinds.values())), "\x01"), lambda k: F.split(k, ",")),
+    )
+
+    def spans(found: Column) -> Column:
+        each = F.transform(found, lambda x: F.transform(F.element_at(names, x["term"]), lambda kind: F.struct(
+            x["start"].alias("start"), (x["start"] + F.length(x["term"])).alias("end"), kind.alias("kind")
+        )))
+        return F.array_distinct(F.flatten(each))
+
+    def led_back(plain: Column) -> Column:
+        widths = F.transform(F.split(text, ""), lambda c: F.length(tx.fold(c)))
+        places = F.flatten(F.transform(widths, lambda w, i: F.array_repeat(i, w)))
+
+        def origin(table: Column) -> Column:
+            def span(s):
+                last = F.get(table, s["end"] - 1)
+                after = F.filter(F.slice(table, s["end"] + 1, F.lit(_WIDEST)), lambda at: at > last)
+                return F.struct(
+                    F.get(table, s["start"]).alias("start"),
+                    F.coalesce(F.get(after, F.lit(0)), F.length(text)).alias("end"), s["kind"].alias("kind"),
+                )
+
+            return F.array_distinct(F.transform(plain, span))
+
+        return let(places, origin)
+
+    def of_folded(folded: Column) -> Column:
+        return let(spans(occurrences(folded, kinds)), lambda plain: F.when(
+            (F.size(plain) == 0) | tx.is_ascii(text) | ~text.rlike(tx.uneven_class()), plain
+        ).otherwise(led_back(plain)))
+
+    return let(tx.fold(text), of_folded)
 
 
 def url_note(url: Column) -> Column:

@@ -98,18 +98,33 @@ def test_folding_agrees_where_it_can_matter(texts):
     assert [ascii_only(g) for g in got] == [ascii_only(lex.fold(v)) for v in values]
 
 
-def test_lexicon_scan_is_plain_counting():
+def lexicon_texts():
     rng = random.Random(7)
-    terms = [t for ts in lex.FOLDED.values() for t in ts] + ["expirexpire", "cvcvc", "Immédiat", " "]
-    for _ in range(300):
-        text = "".join(rng.choice(terms) for _ in range(rng.randint(0, 12)))
+    terms = [t for ts in lex.FOLDED.values() for t in ts] + ["expirexpire", "cvcvc", "cvcvcvcvc", "Immédiat", " ", "paypal", "\U0001f600"]
+    return ["".join(rng.choice(terms) for _ in range(rng.randint(0, 12))) for _ in range(300)] + ["know", "immediat", "blocked", ""]
+
+
+def test_lexicon_scan_is_plain_counting(texts):
+    values = lexicon_texts()
+    for text, got in zip(values, texts(values, lexicon_scan.lexicon_hits(T))):
         folded = lex.fold(text)
-        want = [
-            sum(folded.count(t) for t in lex.FOLDED.get(k, lex.BRANDS)) for k in lexicon_scan.KINDS
-        ]
-        assert lexicon_scan._hits(text) == want
-    assert lexicon_scan._hits("know")[0] == 1
-    assert lexicon_scan._hits("immediat")[0] == 2 and lexicon_scan._hits("blocked")[0] == 2
+        want = [sum(folded.count(t) for t in lex.FOLDED.get(k, lex.BRANDS)) for k in lexicon_scan.KINDS]
+        assert list(got) == want[:3] + [w > 0 for w in want[3:]], text
+    got = texts([None, "immediat"], lexicon_scan.lexicon_hits(T))
+    assert got[0].urgency == 0 and got[1].urgency == 2
+
+
+def test_occurrences_are_those_from_left_to_right(texts):
+    terms = [*lex.FOLDED["urgency"], *lex.FOLDED["credential"], "cvc", "aa", "aab", "a"]
+    values = [lex.fold(t) for t in lexicon_texts()] + ["aaaaab", "cvc" * 700]
+    for text, got in zip(values, texts(values, lexicon_scan.occurrences(T, terms))):
+        want = set()
+        for term in terms:
+            at = text.find(term)
+            while at >= 0:
+                want.add((term, at))
+                at = text.find(term, at + len(term))
+        assert sorted((x.term, x.start) for x in got) == sorted(want)
 
 
 def test_ngrams_match_brute_force(texts):
