@@ -1,10 +1,15 @@
-"""Evaluation reports over a score table ``(mail_id, score, label[, noisy_label, family])``."""
+"""Evaluation reports over a score table ``(mail_id, score, label[, noisy_label, family])``.
+
+Rank reports (AUC, curve points, calibration) read one small stored table of how many
+mails have each score; ``score_counts`` makes it once for several reports.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lurewatch.schema import DECISION_THRESHOLD, PHISHING_FAMILIES
+from lurewatch.sources.reports import stored
 
 #: Score buckets of the distributed prefix sums; bounds every single-task window.
 BUCKETS = 4096
@@ -81,6 +86,19 @@ def class_weights(mail: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
+def score_counts(scores: DataFrame, label: str = "label") -> DataFrame:
+    """``(score, tp_here, n_here)``: mails of each score, stored, so the mails are scored once.
+
+    Scores count to nine digits. Every rank report accepts this table in place of scores.
+    """
+    if "n_here" in scores.columns:
+        return scores
+    counts = scores.groupBy(F.round("score", 9).alias("score")).agg(
+        F.sum(label).alias("tp_here"), F.count("*").alias("n_here")
+    )
+    return stored(counts, "score_counts")
+
+
 def _cumulative(scores: DataFrame, label: str) -> DataFrame:
     """Distinct scores with running counts from the highest score down.
 
@@ -88,9 +106,7 @@ def _cumulative(scores: DataFrame, label: str) -> DataFrame:
     inside a score bucket: no task ever sorts the whole table. Scores count to nine
     digits, so a bucket holds at most 10**9 / BUCKETS of them however they crowd.
     """
-    by_score = scores.groupBy(F.round("score", 9).alias("score")).agg(
-        F.sum(label).alias("tp_here"), F.count("*").alias("n_here")
-    )
+    by_score = score_counts(scores, label)
     by_score = by_score.withColumn("bucket", F.floor(F.col("score") * BUCKETS))
     above = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     totals = by_score.groupBy("bucket").agg(
