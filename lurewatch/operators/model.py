@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
-    RandomForestClassificationModel, RandomForestClassifier,
+    GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from lurewatch.functions.plan import pinned
 from lurewatch.functions.text import clean_text, full_text
-from lurewatch.operators import evaluate
+from lurewatch.functions.draws import ROW_SPAN, row_draw
+from lurewatch.operators import evaluate, logistic
 from lurewatch.operators.features import mail_features
 from lurewatch.operators.sampling import kfold_assign
 from lurewatch.operators.scoring import fit_scaler, sigmoid
@@ -26,6 +33,33 @@ from lurewatch.sources.weights import LinearScorer
 
 ALL_BLOCKS = ("tab", "word", "char")
 
+#: Labelled mails a model learns from, those with the smallest draws; all beyond stay out.
+MAX_ROWS = 200_000
+#: Vectors in one partition of the store that fits read.
+PART_ROWS = 4096
+#: Steps in which draws are cut off at ``MAX_ROWS``.
+DRAW_SLOTS = 1 << 14
+#: Fits that run side by side; each is a chain of small jobs that leaves most cores idle.
+CONCURRENT = 6
+
+
+def side_by_side(jobs: Iterable[Callable], spark: SparkSession) -> list:
+    """Results of jobs that run in threads of the driver, each in a scheduler pool of its own.
+
+    The pools share a cluster evenly where ``spark.scheduler.mode`` is FAIR.
+    """
+
+    def pooled(job: Callable, name: str) -> Callable:
+        def run():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+            return job()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(CONCURRENT) as threads:
+        running = [threads.submit(pooled(job, f"fit_{i}")) for i, job in enumerate(jobs)]
+        return [r.result() for r in running]
+
 
 @dataclass(frozen=True)
 class DesignSpace:
@@ -36,13 +70,16 @@ class DesignSpace:
 
     @staticmethod
     def fit(mail: DataFrame, blocks: tuple[str, ...] = ALL_BLOCKS) -> "DesignSpace":
-        rows = fit_scaler(mail_features(mail)).collect()
         clean = with_clean_text(mail).select("clean")
         kinds = [b for b in ("word", "char") if b in blocks]
-        return DesignSpace(
-            {r["feature"]: (r["mean"], r["scale"]) for r in rows},
-            {k: fit_text_space(clean, k) for k in kinds},
-        )
+        jobs = [lambda: fit_scaler(mail_features(mail)).collect()]
+        jobs += [lambda k=k: fit_text_space(clean, k) for k in kinds]
+        rows, *texts = side_by_side(jobs, mail.sparkSession)
+        return DesignSpace({r["feature"]: (r["mean"], r["scale"]) for r in rows}, dict(zip(kinds, texts)))
+
+    @property
+    def width(self) -> int:
+        return len(self.scaler) + sum(len(s.terms) for s in self.texts.values())
 
     def transform(self, mail: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         """``keep`` + ``x``; map-only."""
@@ -70,14 +107,9 @@ class ModelSpec:
     max_iter: int = 2000
     seed: int = 42
 
-    def estimator(self, weight_sum: float):
+    def estimator(self):
+        """Estimator of an ensemble; linear models are fitted by ``logistic``."""
         common = {"featuresCol": "x", "labelCol": "y"}
-        if self.kind == "logreg":
-            # Mean loss + lambda/2 |w|^2 equals C * sum of losses + 1/2 |w|^2 for this lambda.
-            return LogisticRegression(
-                maxIter=self.max_iter, regParam=1.0 / (self.c * weight_sum), elasticNetParam=0.0,
-                standardization=False, weightCol="w", **common,
-            )
         if self.kind == "rf":
             return RandomForestClassifier(
                 numTrees=self.trees, maxDepth=30, minInstancesPerNode=2, weightCol="w",
@@ -91,26 +123,28 @@ class ModelSpec:
         raise ValueError(f"unknown model kind: {self.kind}")
 
 
-_LOADERS = {
-    "logreg": LogisticRegressionModel, "rf": RandomForestClassificationModel,
-    "gbt": GBTClassificationModel,
-}
+_LOADERS = {"rf": RandomForestClassificationModel, "gbt": GBTClassificationModel}
 
 
-def _margin(kind: str) -> Column:
-    """What calibration maps: the linear margin, or the ensemble's probability."""
-    source = "rawPrediction" if kind == "logreg" else "probability"
-    return vector_to_array(F.col(source))[1]
+def with_margins(rows: DataFrame, kind: str, models: list) -> DataFrame:
+    """Add ``margins``: of each model what its calibration maps, the linear margin or the ensemble's probability."""
+    if kind == "logreg":
+        return rows.withColumn("margins", logistic.margins(models))
+    out = rows
+    for i, model in enumerate(models):
+        out = model.transform(out).withColumn(f"_m{i}", vector_to_array(F.col("probability"))[1])
+        out = out.drop("rawPrediction", "probability", "prediction")
+    return out.withColumn("margins", F.array(*[f"_m{i}" for i in range(len(models))])).select(*rows.columns, "margins")
 
 
-def _balanced(rows: DataFrame, balanced: bool) -> tuple[DataFrame, float]:
-    """Add class weight ``w``; returns the table and the sum of weights."""
+def _balanced(rows: DataFrame, balanced: bool) -> DataFrame:
+    """Add class weight ``w``."""
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     if not balanced:
-        return rows.withColumn("w", F.lit(1.0)), float(total)
+        return rows.withColumn("w", F.lit(1.0))
     pos, neg = (total / (2.0 * max(counts.get(k, 0), 1)) for k in (1, 0))
-    return rows.withColumn("w", F.when(F.col("y") == 1, pos).otherwise(neg)), float(total)
+    return rows.withColumn("w", F.when(F.col("y") == 1, pos).otherwise(neg))
 
 
 def _platt(margins: DataFrame) -> tuple[float, float]:
@@ -140,20 +174,16 @@ class CalibratedModel:
     kind: str
     space: DesignSpace
     members: list[tuple[object, float, float]]
+    #: Of each member of a fit, its iterations and the objective after each (linear models).
+    history: list[list[float]] = field(default_factory=list)
 
     def score_vectors(self, rows: DataFrame) -> DataFrame:
         """Add ``score`` to a table that holds ``x``."""
-        kept, total = rows.columns, F.lit(0.0)
-        out = rows
-        for i, (model, slope, intercept) in enumerate(self.members):
-            scored = model.transform(out)
-            probability = sigmoid(F.lit(slope) * _margin(self.kind) + F.lit(intercept))
-            out = scored.withColumn(f"_p{i}", probability).drop(
-                "rawPrediction", "probability", "prediction"
-            )
-            total = total + F.col(f"_p{i}")
-        mean = {"score": total / len(self.members)}
-        return pinned(out, mean).select(*kept, "score")
+        out = with_margins(rows, self.kind, [m for m, _, _ in self.members])
+        total = F.lit(0.0)
+        for i, (_, slope, intercept) in enumerate(self.members):
+            total = total + sigmoid(F.lit(slope) * F.col("margins")[i] + F.lit(intercept))
+        return pinned(out, {"score": total / len(self.members)}).select(*rows.columns, "score")
 
     def score_mail(self, mail: DataFrame, keep: tuple[str, ...] = ("mail_id",)) -> DataFrame:
         return self.score_vectors(self.space.transform(mail, keep)).drop("x")
@@ -163,7 +193,7 @@ class CalibratedModel:
         if self.kind != "logreg":
             raise ValueError("only a linear model exports weights")
         n = len(self.members)
-        coef = sum(m.coefficients.toArray() for m, _, _ in self.members) / n
+        coef = sum(m.coefficients for m, _, _ in self.members) / n
         intercept = sum(m.intercept for m, _, _ in self.members) / n
         tab = {f: (float(coef[i]), *self.space.scaler[f]) for i, f in enumerate(FEATURES)}
         word = self.space.texts["word"]
@@ -174,27 +204,48 @@ class CalibratedModel:
         return LinearScorer(tab=tab, terms=terms, intercept=float(intercept))
 
     def save(self, spark: SparkSession, path: str) -> None:
+        """Publish the model as a folder that is whole or refused.
+
+        Everything goes to a private folder first; the manifest, written last, names it.
+        A reader sees the old model, or the new one, or none.
+        """
+        place = f"parts_{uuid.uuid4().hex}"
         for i, (model, _, _) in enumerate(self.members):
-            model.write().save(f"{path}/fold_{i}")
+            if self.kind == "logreg":
+                row = [(model.coefficients.tolist(), model.intercept, list(model.history))]
+                frame = spark.createDataFrame(row, "coefficients array<double>, intercept double, history array<double>")
+                frame.coalesce(1).write.parquet(f"{path}/{place}/fold_{i}")
+            else:
+                model.write().save(f"{path}/{place}/fold_{i}")
         meta = {
             "kind": self.kind,
+            "parts": place,
             "scaler": self.space.scaler,
             "texts": {k: [s.terms, s.idf] for k, s in self.space.texts.items()},
             "sigmoids": [[a, b] for _, a, b in self.members],
         }
         frame = spark.createDataFrame([(json.dumps(meta),)], "value string")
-        frame.coalesce(1).write.text(f"{path}/meta")
+        frame.coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "CalibratedModel":
-        meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
+        try:
+            meta = json.loads(spark.read.text(f"{path}/manifest").first()["value"])
+        except (AnalysisException, TypeError) as missing:
+            raise ValueError(f"no published model at {path}") from missing
         texts = {k: TextSpace(k, terms, idf) for k, (terms, idf) in meta["texts"].items()}
         space = DesignSpace({f: tuple(v) for f, v in meta["scaler"].items()}, texts)
-        loader = _LOADERS[meta["kind"]]
-        members = [
-            (loader.load(f"{path}/fold_{i}"), a, b) for i, (a, b) in enumerate(meta["sigmoids"])
-        ]
-        return CalibratedModel(meta["kind"], space, members)
+        members, history = [], []
+        for i, (a, b) in enumerate(meta["sigmoids"]):
+            fold = f"{path}/{meta['parts']}/fold_{i}"
+            if meta["kind"] == "logreg":
+                row = spark.read.parquet(fold).first()
+                model = logistic.LinearModel(np.asarray(row["coefficients"]), row["intercept"], row["history"])
+                history.append(model.history)
+            else:
+                model = _LOADERS[meta["kind"]].load(fold)
+            members.append((model, a, b))
+        return CalibratedModel(meta["kind"], space, members, history)
 
 
 def observed_label(mail: DataFrame) -> str:
@@ -202,37 +253,90 @@ def observed_label(mail: DataFrame) -> str:
     return "noisy_label" if "noisy_label" in mail.columns else "label"
 
 
-def fit_vectors(
-    mail: DataFrame, space: DesignSpace, folds: int = 3
-) -> DataFrame:
-    """Stored training vectors with label ``y`` and stratified ``fold``.
+def bounded_rows(mail: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """The mails of the smallest draws, ``max_rows`` at most and all if there are no more; and how many."""
+    drawn = mail.withColumn("_slot", F.floor(row_draw("fit", F.col("mail_id")) / (ROW_SPAN // DRAW_SLOTS)))
+    n, last = 0, -1
+    for row in sorted(drawn.groupBy("_slot").agg(F.count("*").alias("n")).collect()):  # at most DRAW_SLOTS rows
+        if n + row["n"] > max_rows:
+            break
+        n, last = n + row["n"], row["_slot"]
+    return drawn.where(F.col("_slot") <= last).drop("_slot"), n
+
 
-    Rows get their fold before they become vectors, and nothing is joined back on
-    the id: mails that share one stay apart, and no wide vector is shuffled.
+def learned_rows(mail: DataFrame, folds: int = 3, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The mails a model learns from with label ``y`` and stratified ``fold``, stored once in even parts.
+
+    Every later step reads this table, and nothing is joined back on the id: mails that
+    share one stay apart, and no wide vector is shuffled.
     """
-    rows = kfold_assign(mail.withColumn("y", F.col(observed_label(mail))), folds, "y")
+    rows, n = bounded_rows(mail, max_rows)
+    rows = kfold_assign(rows.withColumn("y", F.col(observed_label(mail))), folds, "y")
+    parts = max(mail.sparkSession.sparkContext.defaultParallelism, -(-n // PART_ROWS))
+    return stored(rows.repartition(parts, F.xxhash64("mail_id")), "learned")
+
+
+def fit_vectors(rows: DataFrame, space: DesignSpace) -> DataFrame:
+    """Stored training vectors of ``learned_rows``."""
     return stored(space.transform(rows, ("mail_id", "y", "fold")), "vectors")
 
 
+def _fit_ensemble(vectors: DataFrame, spec: ModelSpec, fold: int):
+    """An ensemble of all folds but one."""
+    train = _balanced(vectors.where(F.col("fold") != fold), spec.kind != "gbt").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return spec.estimator().fit(train)
+    finally:
+        train.unpersist()
+
+
+def fit_all(
+    vectors: DataFrame, space: DesignSpace, specs: list[ModelSpec], folds: int = 3
+) -> list[CalibratedModel]:
+    """Calibrated models of all specs, fitted side by side.
+
+    Folds of a linear spec share their passes; each ensemble is a job of its own. Then
+    every member's sigmoid is fitted on the fold it did not see.
+    """
+    spark = vectors.sparkSession
+    jobs, owners = [], []
+    for spec in specs:
+        if spec.kind == "logreg":
+            jobs.append(lambda s=spec: logistic.fit_folds(vectors, space.width, list(range(folds)), s.c, s.max_iter))
+            owners.append((spec, None))
+        else:
+            jobs += [lambda s=spec, k=k: _fit_ensemble(vectors, s, k) for k in range(folds)]
+            owners += [(spec, k) for k in range(folds)]
+    fitted: dict[int, list] = {id(s): [] for s in specs}
+    for (spec, fold), result in zip(owners, side_by_side(jobs, spark)):
+        fitted[id(spec)] += result if fold is None else [result]
+
+    def calibrated(spec: ModelSpec, fold: int):
+        held = with_margins(vectors.where(F.col("fold") == fold), spec.kind, [fitted[id(spec)][fold]])
+        return _platt(held.select("y", F.col("margins")[0].alias("margin")))
+
+    sigmoids = iter(side_by_side([lambda s=s, k=k: calibrated(s, k) for s in specs for k in range(folds)], spark))
+    models = []
+    for spec in specs:
+        members = [(m, *next(sigmoids)) for m in fitted[id(spec)]]
+        history = [m.history for m in fitted[id(spec)]] if spec.kind == "logreg" else []
+        models.append(CalibratedModel(spec.kind, space, members, history))
+    return models
+
+
 def fit_calibrated(
     vectors: DataFrame, space: DesignSpace, spec: ModelSpec = ModelSpec(), folds: int = 3
 ) -> CalibratedModel:
     """Fit on all folds but one, calibrate on the one left out, keep every pair."""
-    members = []
-    for k in range(folds):
-        train, total = _balanced(vectors.where(F.col("fold") != k), spec.kind != "gbt")
-        model = spec.estimator(total).fit(train)
-        held = model.transform(vectors.where(F.col("fold") == k))
-        slope, intercept = _platt(held.select("y", _margin(spec.kind).alias("margin")))
-        members.append((model, slope, intercept))
-    return CalibratedModel(spec.kind, space, members)
+    return fit_all(vectors, space, [spec], folds)[0]
 
 
 def train(
     mail: DataFrame, spec: ModelSpec = ModelSpec(), blocks: tuple[str, ...] = ALL_BLOCKS
 ) -> CalibratedModel:
-    space = DesignSpace.fit(mail, blocks)
-    return fit_calibrated(fit_vectors(mail, space), space, spec)
+    rows = learned_rows(mail)
+    space = DesignSpace.fit(rows, blocks)
+    return fit_calibrated(fit_vectors(rows, space), space, spec)
 
 
 def metric_rows(scores: DataFrame, model: str, position: int) -> DataFrame:
@@ -263,17 +367,17 @@ def compare_models(
     blocks: tuple[str, ...] = ALL_BLOCKS,
 ) -> DataFrame:
     """Train every spec on the same vectors and report its test metrics."""
-    space = DesignSpace.fit(train_mail, blocks)
-    vectors = fit_vectors(train_mail, space)
+    rows = learned_rows(train_mail)
+    space = DesignSpace.fit(rows, blocks)
+    vectors = fit_vectors(rows, space)
     keep = ("mail_id", *[c for c in ("label", "noisy_label") if c in test_mail.columns])
     test = stored(space.transform(test_mail, keep), "test_vectors")
     report = None
-    for position, spec in enumerate(specs):
-        model = fit_calibrated(vectors, space, spec)
+    for position, (spec, model) in enumerate(zip(specs, fit_all(vectors, space, specs))):
         scores = stored(model.score_vectors(test).drop("x"), f"scores_{spec.kind}")
         rows = metric_rows(scores, spec.kind, position)
         report = rows if report is None else report.unionByName(rows)
-    return report
+    return with_choice(stored(report, "report"))
 
 
 def deployed_choice(report: DataFrame) -> DataFrame:
@@ -284,6 +388,12 @@ def deployed_choice(report: DataFrame) -> DataFrame:
     return evaluate.best_model(best)
 
 
+def with_choice(report: DataFrame) -> DataFrame:
+    """Add ``chosen``: whether a row is of the model that gets deployed."""
+    best = deployed_choice(report).select(F.col("best_model").alias("_best")).scalar()
+    return report.withColumn("chosen", F.col("model") == best)
+
+
 def feature_importance(mail: DataFrame, trees: int = 250, top: int = 15) -> DataFrame:
     """Impurity importances of a forest on the tabular block, largest first."""
     y = F.col(observed_label(mail)).cast("double").alias("y")

@@ -17,7 +17,7 @@ from lurewatch.plans import oracle_attack as oa, oracle_base as ob, oracle_model
 from lurewatch.schema import FEATURES, PHISHING_FAMILIES
 from lurewatch.sources import mail as mail_source, weights
 from lurewatch.sources.fixture import event_times, mail_stream_view, mail_view, table
-from lurewatch.sources.reports import work_folder
+from lurewatch.sources.reports import stored, work_folder
 from lurewatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -654,7 +654,7 @@ def highlight_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     # the rows carry their side; joining it back would multiply equal ids
-    joined = sampling.stratified_split(mail_view(spark, sf_dir))
+    joined = stored(sampling.stratified_split(mail_view(spark, sf_dir)), "split")
     return tuple(joined.where(F.col("split") == s).drop("split") for s in ("train", "test"))
 
 
