@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lurewatch import lexicons as lex
 from lurewatch.functions import text as tx
@@ -187,3 +187,32 @@ def occurrences(folded: Column, terms) -> Column:
         lambda x: placed(x["hits"], x["starts"]),
     )
     return F.when(folded.rlike(longest_of(terms)), found.cast(kind)).otherwise(F.array().cast(kind))
+
+
+#: Terms that a lexicon table may hold: they become one pattern of the plan.
+MAX_TERMS = 20_000
+
+
+def coverage(mail: DataFrame, lexicon: DataFrame, kinds: tuple[str, ...] = tuple(lex.FOLDED)) -> DataFrame:
+    """``(kind, term_norm, mails, hits)`` of every term of a lexicon table that some mail holds.
+
+    The table is read when the query is planned. A mail counts its terms itself, so a
+    term that a third of all mails hold is one row of the shuffle for each task.
+    """
+    rows = lexicon.where(F.col("kind").isin(*kinds)).select("kind", "term_norm").distinct().limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms")
+    terms = sorted({r["term_norm"] for r in rows if r["term_norm"]})
+    if not terms:
+        return lexicon.select("kind", "term_norm", F.lit(0).cast("long").alias("mails"), F.lit(0).cast("long").alias("hits")).where("false")
+
+    def counted(found: Column) -> Column:
+        return F.transform(F.array_distinct(F.transform(found, lambda x: x["term"])), lambda t: F.struct(
+            t.alias("term"), F.size(F.filter(found, lambda x: x["term"] == t)).alias("n")
+        ))
+
+    per_mail = mail.select(let(tx.fold(tx.full_text()), lambda folded: let(occurrences(folded, terms), counted)).alias("c"))
+    held = per_mail.select(F.inline_outer("c")).where("term IS NOT NULL")
+    sums = held.groupBy(F.col("term").alias("term_norm")).agg(F.count("*").alias("mails"), F.sum("n").alias("hits"))
+    named = mail.sparkSession.createDataFrame([(r["kind"], r["term_norm"]) for r in rows], "kind string, term_norm string")
+    return sums.join(F.broadcast(named), "term_norm").select("kind", "term_norm", "mails", "hits")

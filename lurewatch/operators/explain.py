@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lurewatch import lexicons as lex
 from lurewatch.functions.text import clean_text, full_text
 from lurewatch.operators import highlight
-from lurewatch.operators.scoring import attribution_array, linear_score, strongest_terms, triage
+from lurewatch.operators.scoring import attribution_array, Scorer, score_mail, strongest_terms, triage
 from lurewatch.schema import FEATURES
 from lurewatch.sources.weights import LinearScorer
 
@@ -133,14 +133,22 @@ def _as_rows(df: DataFrame) -> DataFrame:
 
 
 def explain_mail(
-    mail: DataFrame, scorer: LinearScorer, keep: tuple[str, ...] = ("mail_id",)
+    mail: DataFrame, scorer: Scorer, keep: tuple[str, ...] = ("mail_id",)
 ) -> DataFrame:
-    """One record per mail: ``keep``, score, verdict, summary, reasons and protective factors."""
-    scored = triage(linear_score(mail, scorer, keep), scorer).withColumn("_phi", attribution_array(scorer))
-    parts = scored.select(
-        *keep, "score", F.col("verdict").alias("label"),
-        reasons(F.col("_phi")).alias("reasons"), protective(F.col("_phi")).alias("protective"),
-    )
+    """One record per mail: ``keep``, score, verdict, summary, reasons and protective factors.
+
+    Attributions of a fitted linear model are those of its fold-averaged coefficients.
+    Ensembles have none: the active features are the reasons, and nothing protects.
+    """
+    linear = scorer if isinstance(scorer, LinearScorer) else scorer.linear_scorer() if scorer.kind == "logreg" else None
+    scored = triage(score_mail(mail, scorer, keep), scorer)
+    if linear is None:
+        why = rule_reasons()
+        eased = F.slice(why, 1, 0)
+    else:
+        scored = scored.withColumn("_phi", attribution_array(linear))
+        why, eased = reasons(F.col("_phi")), protective(F.col("_phi"))
+    parts = scored.select(*keep, "score", F.col("verdict").alias("label"), why.alias("reasons"), eased.alias("protective"))
     text = summary(F.col("score"), F.col("label"), F.col("reasons"))
     return parts.select(
         *keep, F.round("score", 4).alias("score"), "label", text.alias("summary"),

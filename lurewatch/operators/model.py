@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.ml.classification import (
     GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -27,7 +27,7 @@ from lurewatch.operators.features import mail_features
 from lurewatch.operators.sampling import kfold_assign
 from lurewatch.operators.scoring import fit_scaler, sigmoid
 from lurewatch.operators.textvec import TextSpace, fit_text_space, with_clean_text
-from lurewatch.schema import FEATURES
+from lurewatch.schema import FEATURES, PHISH_THRESHOLD, SUSPECT_THRESHOLD
 from lurewatch.sources.reports import stored
 from lurewatch.sources.weights import LinearScorer
 
@@ -81,19 +81,21 @@ class DesignSpace:
     def width(self) -> int:
         return len(self.scaler) + sum(len(s.terms) for s in self.texts.values())
 
-    def transform(self, mail: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-        """``keep`` + ``x``; map-only."""
+    def transform(self, mail: DataFrame, keep: tuple[str, ...], features: bool = False) -> DataFrame:
+        """``keep``, the thirty features if asked for, and ``x``; map-only."""
         wide = mail.withColumn("clean", clean_text(full_text()))
         scaled = F.array(
             *[(F.col(f) - F.lit(m)) / F.lit(s) for f, (m, s) in self.scaler.items()]
         )
-        out = mail_features(wide, (*keep, "clean")).select(
-            *keep, "clean", array_to_vector(scaled).alias("tab")
-        )
+        held = (*keep, *FEATURES) if features else keep
+        out = mail_features(wide, (*keep, "clean")).select(*held, "clean", array_to_vector(scaled).alias("tab"))
         for kind, space in self.texts.items():
             out = space.transform(out, kind)
-        parts = ["tab", *self.texts]
-        return VectorAssembler(inputCols=parts, outputCol="x").transform(out).select(*keep, "x")
+        sizes = {"tab": len(self.scaler)} | {k: len(t.terms) for k, t in self.texts.items()}
+        for part, size in sizes.items():
+            # a known size spares the assembler a look at the data, and lets it work on streams
+            out = VectorSizeHint(inputCol=part, size=size, handleInvalid="optimistic").transform(out)
+        return VectorAssembler(inputCols=list(sizes), outputCol="x").transform(out).select(*held, "x")
 
 
 @dataclass(frozen=True)
@@ -176,6 +178,8 @@ class CalibratedModel:
     members: list[tuple[object, float, float]]
     #: Of each member of a fit, its iterations and the objective after each (linear models).
     history: list[list[float]] = field(default_factory=list)
+    phish_threshold: float = PHISH_THRESHOLD
+    suspect_threshold: float = SUSPECT_THRESHOLD
 
     def score_vectors(self, rows: DataFrame) -> DataFrame:
         """Add ``score`` to a table that holds ``x``."""
@@ -188,6 +192,11 @@ class CalibratedModel:
     def score_mail(self, mail: DataFrame, keep: tuple[str, ...] = ("mail_id",)) -> DataFrame:
         return self.score_vectors(self.space.transform(mail, keep)).drop("x")
 
+    def score_features(self, mail: DataFrame, keep: tuple[str, ...] = ("mail_id",)) -> DataFrame:
+        """``keep``, thirty features and ``score``, rounded like a linear export's."""
+        rows = self.space.transform(mail, keep, features=True)
+        return self.score_vectors(rows).drop("x").withColumn("score", F.round("score", 9))
+
     def linear_scorer(self) -> LinearScorer:
         """Fold-averaged coefficients of a linear model in the export layout."""
         if self.kind != "logreg":

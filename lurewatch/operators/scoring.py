@@ -6,6 +6,8 @@ literals: scoring a table of mails is one map-only pass.
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lurewatch.functions.plan import let, pinned
@@ -136,7 +138,21 @@ def linear_score(
     return scored.drop("_clean", "_terms", "_logit")
 
 
-def triage(scored: DataFrame, scorer: LinearScorer | None = None) -> DataFrame:
+class Scorer(Protocol):
+    """What scores mails: the coefficients of an export, or a fitted model."""
+
+    phish_threshold: float
+    suspect_threshold: float
+
+
+def score_mail(mail: DataFrame, scorer: Scorer, keep: tuple[str, ...] = ("mail_id",)) -> DataFrame:
+    """``keep``, thirty features and ``score`` under a linear export or any fitted model."""
+    if isinstance(scorer, LinearScorer):
+        return linear_score(mail, scorer, keep)
+    return scorer.score_features(mail, keep)
+
+
+def triage(scored: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """Add the verdict, the 0.5 decision and the uncertainty band to a score table."""
     s = scorer or LinearScorer()
     return scored.select(

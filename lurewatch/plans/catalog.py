@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lurewatch import lexicons as lex, ship
+from lurewatch.functions import lexicon_scan
 from lurewatch.functions.text import host_of_url
 from lurewatch.operators import (
     augment, campaign, canonicalize, evaluate, explain, features as feat, highlight, model, perturb,
@@ -16,7 +17,7 @@ from lurewatch.operators import (
 from lurewatch.plans import oracle_attack as oa, oracle_base as ob, oracle_model as om
 from lurewatch.schema import FEATURES, PHISHING_FAMILIES
 from lurewatch.sources import mail as mail_source, weights
-from lurewatch.sources.fixture import event_times, mail_stream_view, mail_view, table
+from lurewatch.sources.fixture import RECEIVED_STEP, mail_stream_view, mail_view, table, with_event_times
 from lurewatch.sources.reports import stored, work_folder
 from lurewatch.streaming import jobs
 
@@ -494,6 +495,24 @@ def baseline_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(robustness.baseline_detection(*_attacks(spark, sf_dir)))
 
 
+_TERM_ROWS = ", ".join(
+    f"('{kind}', '{term.replace(chr(39), chr(39) * 2)}')" for kind, terms in lex.FOLDED.items() for term in dict.fromkeys(terms)
+)
+
+
+@register(
+    "lexicon_coverage",
+    ob.mail_query(
+        f"""SELECT kind, term_norm, count(*) AS mails, sum((length(folded) - length(replace(folded, term_norm, ''))) // length(term_norm))::BIGINT AS hits
+FROM (SELECT strip_accents(lower(subject || chr(10) || body)) AS folded FROM mail) t, (VALUES {_TERM_ROWS}) AS l(kind, term_norm)
+WHERE contains(folded, term_norm) GROUP BY kind, term_norm""",
+    ),
+)
+def lexicon_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many mails hold each term of the lexicon table, and how often."""
+    return lexicon_scan.coverage(mail_view(spark, sf_dir), lex.lexicon_dim(spark))
+
+
 # --- Hosts, prevalence, risk -------------------------------------------------------------------------
 
 
@@ -521,12 +540,13 @@ def page_host_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = feat.mail_features(mail_view(spark, sf_dir))
-    return trend.technique_prevalence(features.join(event_times(spark, sf_dir), "mail_id"), "day")
+    return trend.technique_prevalence(with_event_times(features, spark, sf_dir), "day")
 
 
+_RECEIVED = f"""received AS (SELECT mail_id, a + to_seconds(((mail_id * {RECEIVED_STEP}) % span + span) % span) AS ts FROM mail,
+  (SELECT date_trunc('second', min(ts)) AS a, date_diff('second', date_trunc('second', min(ts)), max(ts)) + 1 AS span FROM events))"""
 _TIMED = (
-    """timed AS (SELECT mail.mail_id, date_diff('day', DATE '1970-01-01', ts::DATE)::INT AS period
-  FROM mail JOIN events ON event_id % (SELECT count(*) FROM documents) = mail.mail_id)""",
+    _RECEIVED + """, timed AS (SELECT mail_id, date_diff('day', DATE '1970-01-01', ts::DATE)::INT AS period FROM received)""",
     ob.features_ctes("mail"),
     """prev AS (SELECT technique, period, avg(v) AS prevalence, count(*) AS n FROM (
   SELECT period, 'url_shortener' AS technique, url_uses_shortener AS v FROM f JOIN timed USING (mail_id)
@@ -697,13 +717,43 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
         + ", ".join(
             f"count(*) FILTER (WHERE least(floor(score * 10), 9) = {b}) AS bin_{b}" for b in range(10)
         )
-        + " FROM scored JOIN events ON event_id % (SELECT count(*) FROM documents) = mail_id GROUP BY 1",
-        *om.SCORED,
+        + " FROM scored JOIN received USING (mail_id) GROUP BY 1",
+        *om.SCORED, _RECEIVED,
     ),
 )
 def drift_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = scoring.linear_score(mail_view(spark, sf_dir), DEPLOYED).select("mail_id", "score")
-    return rounded(jobs.drift_windows(scored.join(event_times(spark, sf_dir), "mail_id")))
+    return rounded(jobs.drift_windows(_timed_scores(spark, sf_dir)))
+
+
+def _timed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mail = with_event_times(mail_view(spark, sf_dir), spark, sf_dir)
+    return scoring.linear_score(mail, DEPLOYED, ("mail_id", "received_at")).select("mail_id", "received_at", "score")
+
+
+_BINS = ", ".join(f"count(*) FILTER (WHERE bin = {b}) AS n{b}" for b in range(10))
+
+
+@register(
+    "drift_psi",
+    ob.mail_query(
+        "SELECT window_start, n, round(" + " + ".join(
+            f"(greatest(n{b} / n, 1e-4::DOUBLE) - greatest(e{b}, 1e-4::DOUBLE)) "
+            f"* ln(greatest(n{b} / n, 1e-4::DOUBLE) / greatest(e{b}, 1e-4::DOUBLE))" for b in range(10)
+        ) + ", 6) AS psi FROM days, base",
+        *om.SCORED, _RECEIVED,
+        "binned AS (SELECT date_trunc('day', ts) AS window_start, least(floor(score * 10), 9) AS bin FROM scored JOIN received USING (mail_id))",
+        f"days AS (SELECT window_start, count(*) AS n, {_BINS} FROM binned GROUP BY 1)",
+        "base AS (SELECT " + ", ".join(f"avg((bin = {b})::INT) AS e{b}" for b in range(10))
+        + " FROM binned WHERE window_start < (SELECT min(window_start) + INTERVAL 7 DAY FROM binned))",
+    ),
+)
+def drift_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day against the first week."""
+    scores = stored(_timed_scores(spark, sf_dir), "timed_scores")
+    day = F.date_trunc("day", F.col("received_at"))
+    week = scores.agg(F.min(day)).scalar() + F.make_interval(days=F.lit(7))
+    baseline = jobs.baseline_histogram(scores.where(day < week))
+    return rounded(jobs.population_stability(jobs.drift_windows(scores), baseline).select("window_start", "n", "psi"))
 
 
 @register(
@@ -725,6 +775,22 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{folder}/out"))
 
 
-@register("augment_text")
+_AUGMENTED = f"""w AS (SELECT mail_id, string_split(body, ' ') AS w, body FROM (SELECT mail_id, replace(body, 'Bonjour,',
+  ['Bonjour,', 'Bonjour, ', 'Madame, Monsieur,', 'Cher client,', 'Hello,'][{om.draw('hello', 'mail_id')} % 5 + 1]) AS body FROM mail)),
+at AS (SELECT *, {om.draw('typo_word', 'mail_id')} % greatest(len(w), 1) AS k FROM w),
+picked AS (SELECT *, w[k + 1] AS word, {om.draw('typo_at', 'mail_id')} % greatest(length(w[k + 1]) - 2, 1) + 1 AS j FROM at),
+typo AS (SELECT mail_id, CASE WHEN {om.draw('typo', 'mail_id')} < {int(0.3 * (1 << 32))} AND len(w) > 8 AND length(word) > 4
+  AND regexp_full_match(word, '\\p{{L}}+') THEN array_to_string(list_concat(w[1:k], [substr(word, 1, j) || substr(word, j + 2, 1)
+  || substr(word, j + 1, 1) || substr(word, j + 3)], w[k + 2:]), ' ') ELSE body END AS body FROM picked)"""
+
+
+@register(
+    "augment_text",
+    ob.mail_query(
+        f"""SELECT mail_id, CASE WHEN {om.draw('squeeze', 'mail_id')} < {int(0.25 * (1 << 32))}
+  THEN trim(replace(body, chr(10) || chr(10), chr(10)), ' ' || chr(10) || chr(9) || chr(13)) ELSE body END AS body FROM typo""",
+        _AUGMENTED,
+    ),
+)
 def augment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return augment.augment_text(mail_view(spark, sf_dir)).select("mail_id", "body")

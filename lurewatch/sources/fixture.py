@@ -109,9 +109,15 @@ def mail_stream_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_mail(spark.readStream.schema(schema).parquet(files).select("doc_id", "text"))
 
 
-def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(mail_id, received_at) of every event: they are dealt to the mails in turn."""
-    return spark.sql(
-        "SELECT event_id % (SELECT count(*) FROM {documents}) AS mail_id, ts AS received_at FROM {events}",
-        documents=table(spark, sf_dir, "documents"), events=table(spark, sf_dir, "events"),
-    )
+#: Seconds from the first event after which a mail came in, before they wrap at the last one.
+RECEIVED_STEP = 7919
+
+
+def with_event_times(mail: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Add ``received_at``: every mail, whatever its id, falls between the first and the last event."""
+    events = table(spark, sf_dir, "events")
+    first, last = F.date_trunc("second", F.min("ts")), F.max("ts")
+    span = events.agg(first.alias("a"), last.alias("b")).select(F.timestamp_diff("SECOND", F.col("a"), F.col("b")) + 1)
+    start = events.agg(first).scalar()
+    after = F.pmod(F.col("mail_id") * RECEIVED_STEP, span.scalar())
+    return mail.withColumn("received_at", F.timestamp_add("SECOND", after, start))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lurewatch.operators.scoring import linear_score, triage
+from lurewatch.operators.scoring import Scorer, score_mail, triage
 from lurewatch.schema import MAIL_JSON_SCHEMA
 from lurewatch.sources.mail import coerce_json
-from lurewatch.sources.weights import LinearScorer
 
 SCORE_BINS = 10
 
@@ -18,21 +17,52 @@ def mail_stream(spark: SparkSession, path: str) -> DataFrame:
     return coerce_json(spark.readStream.schema(MAIL_JSON_SCHEMA).json(path))
 
 
-def scored_stream(
-    mail: DataFrame, scorer: LinearScorer, keep: tuple[str, ...] = ("mail_id",)
-) -> DataFrame:
+def scored_stream(mail: DataFrame, scorer: Scorer, keep: tuple[str, ...] = ("mail_id",)) -> DataFrame:
     """Stateless scoring: no shuffle, no state, identical to the batch job."""
-    return triage(linear_score(mail, scorer, keep), scorer).select(
+    return triage(score_mail(mail, scorer, keep), scorer).select(
         *keep, "score", "verdict", "predicted", "confidence"
     )
 
 
+def delivered_once(mail: DataFrame, late: str) -> DataFrame:
+    """Of payloads with one ``mail_id`` only the first; a copy must follow within ``late``.
+
+    A mail without ``received_at`` counts as received now.
+    """
+    stamped = mail.withColumn("received_at", F.coalesce("received_at", F.current_timestamp()))
+    return stamped.withWatermark("received_at", late).dropDuplicatesWithinWatermark(["mail_id"])
+
+
 def start_scoring(
-    mail: DataFrame, scorer: LinearScorer, out: str, checkpoint: str
+    mail: DataFrame, scorer: Scorer, out: str, checkpoint: str, late: str | None = None
+) -> StreamingQuery:
+    """Scores what is there and stops.
+
+    The sink lists its files by batch, so a batch that is run again, because the stream
+    stopped between writing and committing, leaves one copy of its rows. With ``late`` a
+    payload delivered twice within that time is scored once.
+    """
+    source = mail if late is None else delivered_once(mail, late)
+    return (
+        scored_stream(source, scorer)
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def start_drift(
+    scores: DataFrame, baseline: DataFrame, out: str, checkpoint: str, late: str = "2 days", width: str = "1 day"
 ) -> StreamingQuery:
-    """Exactly-once parquet sink; processes what is there and stops."""
+    """Stability index of every closed window of a score stream, written once each, and stops.
+
+    A window closes when a row ``late`` after its end has come; rows of closed windows
+    are dropped. ``baseline`` is read when the stream starts.
+    """
     return (
-        scored_stream(mail, scorer)
+        population_stability(drift_windows(scores, late, width), baseline)
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
@@ -59,16 +89,21 @@ def drift_windows(scores: DataFrame, late: str = "2 days", width: str = "1 day")
              *[f"bin_{b}" for b in range(SCORE_BINS)])
 
 
-def population_stability(windows: DataFrame, floor: float = 1e-4) -> DataFrame:
-    """Add ``psi`` of each window against the histogram of all windows (one row, inlined)."""
-    names = [f"bin_{b}" for b in range(SCORE_BINS)]
-    base = windows.agg(
-        F.array(*[F.sum(c) / F.sum("n") for c in names]).alias("base")
-    ).scalar()
-    rows = windows.withColumn("_base", base)
+def baseline_histogram(scores: DataFrame) -> DataFrame:
+    """``(bin, share)`` of a score table: ten rows to store and compare later windows with."""
+    bin_of = F.least(F.floor(F.col("score") * SCORE_BINS), F.lit(SCORE_BINS - 1)).cast("int")
+    counts = scores.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"))
+    every = scores.sparkSession.range(SCORE_BINS).select(F.col("id").cast("int").alias("bin"))
+    total = F.sum("n").over(Window.partitionBy())  # ten rows
+    return every.join(counts, "bin", "left").select("bin", F.coalesce(F.col("n") / total, F.lit(0.0)).alias("share"))
+
+
+def population_stability(windows: DataFrame, baseline: DataFrame, floor: float = 1e-4) -> DataFrame:
+    """Add ``psi`` of each window against a baseline's shares (ten numbers of the plan)."""
+    shares = {r["bin"]: r["share"] for r in baseline.collect()}
     psi = F.lit(0.0)
-    for i, c in enumerate(names):
-        actual = F.greatest(F.col(c) / F.col("n"), F.lit(floor))
-        expected = F.greatest(F.get("_base", F.lit(i)), F.lit(floor))
-        psi = psi + (actual - expected) * F.log(actual / expected)
-    return rows.withColumn("psi", psi).drop("_base")
+    for b in range(SCORE_BINS):
+        actual = F.greatest(F.col(f"bin_{b}") / F.col("n"), F.lit(floor))
+        expected = max(shares.get(b, 0.0), floor)
+        psi = psi + (actual - F.lit(expected)) * F.log(actual / F.lit(expected))
+    return windows.withColumn("psi", psi)
