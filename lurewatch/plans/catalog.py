@@ -777,8 +777,8 @@ def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _AUGMENTED = f"""w AS (SELECT mail_id, string_split(body, ' ') AS w, body FROM (SELECT mail_id, replace(body, 'Bonjour,',
   ['Bonjour,', 'Bonjour, ', 'Madame, Monsieur,', 'Cher client,', 'Hello,'][{om.draw('hello', 'mail_id')} % 5 + 1]) AS body FROM mail)),
-at AS (SELECT *, {om.draw('typo_word', 'mail_id')} % greatest(len(w), 1) AS k FROM w),
-picked AS (SELECT *, w[k + 1] AS word, {om.draw('typo_at', 'mail_id')} % greatest(length(w[k + 1]) - 2, 1) + 1 AS j FROM at),
+spots AS (SELECT *, {om.draw('typo_word', 'mail_id')} % greatest(len(w), 1) AS k FROM w),
+picked AS (SELECT *, w[k + 1] AS word, {om.draw('typo_at', 'mail_id')} % greatest(length(w[k + 1]) - 2, 1) + 1 AS j FROM spots),
 typo AS (SELECT mail_id, CASE WHEN {om.draw('typo', 'mail_id')} < {int(0.3 * (1 << 32))} AND len(w) > 8 AND length(word) > 4
   AND regexp_full_match(word, '\\p{{L}}+') THEN array_to_string(list_concat(w[1:k], [substr(word, 1, j) || substr(word, j + 2, 1)
   || substr(word, j + 1, 1) || substr(word, j + 3)], w[k + 2:]), ' ') ELSE body END AS body FROM picked)"""
