@@ -8,11 +8,13 @@ punctuation; its suffixes, truncated to three words, are what a phrase counts.
 2. Vertical partitioning: a suffix belongs to the subtree of its first word. Words
    are dealt to as many groups as hold about ``GROUP_SUFFIXES`` suffixes each; the
    subtree of a word above an eighth of that budget is too large for one group, so
-   its prefix is extended to the whole depth and its branches are dealt out apart.
+   its prefix is extended by the next word and its branches are dealt out apart. A
+   pair counts no more than either word, so only a pair of two such words may still
+   be too large; it is extended to three.
 3. Tasks cut texts into suffixes, merge equal ones and send each group one block of
    them: a short table of words and rows of places in it.
 4. Each group sorts its suffixes by itself: leaves are runs of equal ones, a node's
-   count is the total of its leaves. Branches of one prefix in several groups add up.
+   count is the total of its leaves. Branches of one pair in several groups add up.
 5. Small joins give every phrase the counts of its parts, its score and its longer
    phrases; the best of each language are kept.
 
@@ -181,27 +183,45 @@ def _blocks(ids: np.ndarray, table: np.ndarray, large: np.ndarray, groups: int)
     a, b, c, n = _merged(a[real], b[real], c[real], np.ones(int(real.sum()), dtype=np.int64))
     if not len(a):
         return
-    extended = np.isin(table, large)[a]
+    too_large = np.isin(table, large)
+    longer, whole = too_large[a], too_large[a] & too_large[b]
     group = _mix(table[a])
-    group[extended] = _mix(table[a[extended]], table[b[extended]], table[c[extended]])
+    group[longer] = _mix(table[a[longer]], table[b[longer]])
+    group[whole] = _mix(table[a[whole]], table[b[whole]], table[c[whole]])
     group = (group % np.uint64(groups)).astype(np.int64)
     order = np.argsort(group, kind="stable")
     starts = np.flatnonzero(np.diff(group[order], prepend=-1))
     for lo, hi in zip(starts, [*starts[1:], len(order)]):
         rows = order[lo:hi]
-        three = np.stack([a[rows], b[rows], c[rows]])
-        used, places = np.unique(three, return_inverse=True)
+        used, places = np.unique(np.stack([a[rows], b[rows], c[rows]]), return_inverse=True)
+        # rows are in order: first words are told by the lengths of their runs
+        first, second, third = places.reshape(3, -1)
+        runs = np.flatnonzero(np.diff(first, prepend=-1))
+        kind = "<u2" if len(used) <= 1 << 16 else "<u4"
+        columns = [first[runs], np.diff(np.append(runs, len(rows))), second, third]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([int(group[rows[0]])], pa.int32()),
                 pa.array([table[used].tobytes()], pa.binary()),
-                pa.array([places.astype("<u4").tobytes()], pa.binary()),
+                pa.array([len(runs)], pa.int32()),
+                pa.array([columns[0].astype(kind).tobytes() + columns[1].astype("<u4").tobytes()], pa.binary()),
+                pa.array([columns[2].astype(kind).tobytes() + columns[3].astype(kind).tobytes()], pa.binary()),
                 pa.array([n[rows].astype("<u4").tobytes()], pa.binary()),
             ],
-            ["group", "words", "places", "counts"],
+            ["group", "words", "runs", "firsts", "rests", "counts"],
         )
 
 
+def _unpacked(words: bytes, runs: int, firsts: bytes, rests: bytes, counts: bytes) -> tuple[np.ndarray, ...]:
+    """Hashes of the three words, and counts, of a block's suffixes."""
+    hashes = np.frombuffer(words, dtype="<u8")
+    kind = np.dtype("<u2" if len(hashes) <= 1 << 16 else "<u4")
+    first = np.frombuffer(firsts, dtype=kind, count=runs)
+    lengths = np.frombuffer(firsts, dtype="<u4", offset=runs * kind.itemsize)
+    second, third = np.frombuffer(rests, dtype=kind).reshape(2, -1)
+    return np.repeat(hashes[first], lengths), hashes[second], hashes[third], np.frombuffer(counts, dtype="<u4").astype(np.int64)
+
+
 def _suffixes(bits, large, seed: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, langs, held, size = [0], {}, [], 0
@@ -235,20 +255,17 @@ def _subtrees(large, min_count: int):
     """Nodes of a group's subtrees: two words (``c`` is 0) or three, with their counts."""
 
     def run(blocks: pa.Table) -> pa.Table:
-        columns, counts = [[], [], []], []
-        for words, places, n in zip(blocks["words"], blocks["places"], blocks["counts"]):
-            hashes = np.frombuffer(words.as_py(), dtype="<u8")
-            three = np.frombuffer(places.as_py(), dtype="<u4").reshape(3, -1)
-            for kept, row in zip(columns, three):
-                kept.append(hashes[row])
-            counts.append(np.frombuffer(n.as_py(), dtype="<u4").astype(np.int64))
-        a, b, c, n = _merged(*map(np.concatenate, columns), np.concatenate(counts))
+        parts = [
+            _unpacked(*(x.as_py() for x in row))
+            for row in zip(*(blocks[c] for c in ("words", "runs", "firsts", "rests", "counts")))
+        ]
+        a, b, c, n = _merged(*map(np.concatenate, zip(*parts)))
         first = np.ones(len(a), dtype=bool)
         first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         pairs = np.add.reduceat(n, np.flatnonzero(first))
         whole = (c != 0) & (n >= min_count)
-        # branches of an extended prefix meet in the sum over groups
-        kept = (pairs >= min_count) | np.isin(a[first], large.value)
+        # branches of a pair that was extended meet in the sum over groups
+        kept = (pairs >= min_count) | (np.isin(a[first], large.value) & np.isin(b[first], large.value))
         parts = [
             [a[first][kept], b[first][kept], np.zeros(int(kept.sum()), np.uint64), pairs[kept]],
             [a[whole], b[whole], c[whole], n[whole]],
@@ -271,7 +288,7 @@ def phrase_counts(
     large = context.broadcast(np.sort(np.asarray([r["h"] for r in above], dtype=np.int64).astype(np.uint64)))
     bits = context.broadcast(_bitmap(words))
     blocks = _corpus(docs, text_col, lang_col).mapInArrow(
-        _suffixes(bits, large, seed, groups), "group int, words binary, places binary, counts binary"
+        _suffixes(bits, large, seed, groups), "group int, words binary, runs int, firsts binary, rests binary, counts binary"
     )
     nodes = blocks.groupBy("group").applyInArrow(_subtrees(large, min_count), "a long, b long, c long, f long")
     return nodes.groupBy("a", "b", "c").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
