@@ -82,6 +82,15 @@ def _rows(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
+def _most_frequent(sums: DataFrame, limit: int) -> DataFrame:
+    """The rows with the largest ``n``, ``limit`` at most: those of one count stay or go together."""
+    # one row for each count that occurs, some square root of the words
+    levels = sums.groupBy("n").agg(F.count("*").alias("kinds"))
+    upto = F.sum("kinds").over(Window.orderBy(F.col("n").desc()))
+    least = levels.withColumn("upto", upto).where(F.col("upto") <= limit).agg(F.min("n")).first()[0]
+    return sums.where(F.col("n") >= least) if least is not None else sums.where("false")
+
+
 def fit_head(
     docs: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS, head_pairs: int = HEAD_PAIRS,
     pair_words: int = PAIR_WORDS,
@@ -104,8 +113,9 @@ def fit_head(
         yield rows()
 
     texts = _texts(docs, text_col)
-    sums = texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = [bytes(r["word"]) for r in sums.orderBy(F.col("n").desc(), "word").limit(head_words).collect()]
+    sums = stored(texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    found = sorted(((r["n"], bytes(r["word"])) for r in _most_frequent(sums, head_words).collect()), reverse=True)
+    words = [w for _, w in found]
     places, size = {w: i for i, w in enumerate(words[:pair_words])}, min(len(words), pair_words)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,10 +132,10 @@ def fit_head(
 
     if not size:
         return Head([], [])
-    # at most pair_words squared kinds of rows
-    pairs = texts.mapInArrow(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    best = [r["pair"] for r in pairs.orderBy(F.col("n").desc(), "pair").limit(head_pairs).collect()]
-    return Head(words, [(words[p // size], words[p % size]) for p in best])
+    # at most pair_words squared rows
+    pairs = texts.mapInArrow(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    best = sorted(((r["n"], r["pair"]) for r in pairs), reverse=True)[:head_pairs]
+    return Head(words, [(words[p // size], words[p % size]) for _, p in best])
 
 
 def bucket_totals(docs: DataFrame, head: Head, text_col: str = "text") -> np.ndarray:
