@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 #: Bytes of the longest context.
 ORDER = 3
 #: Code lengths that a model holds, 4 bytes each.
-CELLS = 1 << 25
+CELLS = 1 << 24
 #: Runs a task holds before it merges and sends them.
 TASK_RUNS = 1 << 23
 #: Bytes of a long text that are scored at once.
