@@ -4,10 +4,13 @@
    container that holds it, half for the next one up, and so on; text inside
    links does not count. Lists, tables, quotes and the like belong to what is around
    them, all inside an article to the article, and a container to the one around it
-   that holds paragraphs or headings of its own (``_levels``). Menus, adverts and
-   the like are left out by tag and by the words of class and id; a container with
-   such words stays if it holds most of the page's text, unless it is named after
-   comments, cookies or the like.
+   that holds paragraphs or headings of its own, or several divs of plain text
+   (``_levels``). Menus, adverts and the like are left out by tag and by the words of
+   class and id; a container with such words stays if it holds most of the page's
+   text, and if it is named after comments, cookies or the like only together with
+   the page's heading. Names of a state (``comments-open``, ``ad-free``) do not count,
+   and beside a class of articles (``post``, ``content``) all words are just weighed.
+   A header stays inside an article or main, and beside paragraphs.
 2. The pages of a host vote, with the share of the score, for container paths whose
    steps are tag and classes without digits. Spark sums the votes by host and path
    (a third of all pages on one host leave each task as a few rows).
@@ -59,13 +62,15 @@ _LEFT_OUT_WORDS = frozenset(
     "share sharing social newsletter subscribe subscription signup login search pagination pager widget toolbar "
     "complementary contentinfo".split()
 )
-#: Words that leave text out however much it is; the others are weighed against it.
+#: Words that leave text out however much it is, unless the container holds the page's heading too.
 _STRICT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising cookie cookies consent popup modal overlay nav navbar navigation "
     "comment comments disqus respond reply replies".split()
 )
-#: Classes that tell what stands beside the container.
-_BESIDE = re.compile(r"(?:has|have|with|without|no)[-_]")
+#: Words of articles: beside a class of these, the others tell a state and are only weighed.
+_OWN_WORDS = frozenset("article post content entry story text hentry single body main page".split())
+#: Classes that tell what stands beside the container, or in what state the page is.
+_BESIDE = re.compile(r"(?:has|have|with|without|no)[-_]|.*[-_](?:open|closed|free|enabled|disabled|allowed|off)\Z")
 #: Containers that never are the article by themselves.
 _WRAPPERS = frozenset("header ul ol dl li table tbody tr blockquote figure fieldset details center".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
@@ -73,38 +78,72 @@ _CLOSED_BY_SAME = frozenset(("li", "tr", "td", "th", "option"))
 
 
 class Block:
-    __slots__ = ("steps", "out", "text", "linked", "prose")
+    """A run of text: the container that holds it directly (``owner``) and the one around that (``parent``)."""
 
-    def __init__(self, steps: tuple[str, ...], out: bool, text: str, linked: int, prose: bool):
+    __slots__ = ("steps", "out", "text", "linked", "prose", "owner", "parent")
+
+    def __init__(self, steps: tuple[str, ...], out: bool, text: str, linked: int, prose: bool, owner: int, parent: int):
         self.steps, self.out, self.text, self.linked, self.prose = steps, out, text, linked, prose
+        self.owner, self.parent = owner, parent
+
+    @property
+    def plain(self) -> int:
+        return len(self.text) - self.linked
+
+
+class Doubt:
+    """A container that its name, or its place, leaves out unless the page says otherwise."""
+
+    __slots__ = ("kind", "parent", "holds", "heading")
+
+    def __init__(self, kind: str, parent: int):
+        self.kind, self.parent, self.holds, self.heading = kind, parent, 0, False
+
+    def drops(self, total: int, with_prose: set[int]) -> bool:
+        if self.kind == "header":
+            return self.parent not in with_prose
+        return 2 * self.holds <= total or self.kind == "strict" and not self.heading
+
+
+class Open:
+    """A container that is not closed yet."""
 
+    __slots__ = ("tag", "steps", "out", "doubts", "number", "parent")
 
-def _step(tag: str, attrs: str) -> tuple[str, set[str]]:
-    """Tag with its classes less digits, and all words of class, id and role."""
-    words, classes = set(), []
+    def __init__(self, tag: str, steps: tuple[str, ...], out: bool, doubts: tuple[Doubt, ...], number: int, parent: int):
+        self.tag, self.steps, self.out, self.doubts, self.number, self.parent = tag, steps, out, doubts, number, parent
+
+
+def _step(tag: str, attrs: str) -> tuple[str, str]:
+    """Tag with its classes less digits, and how the words of class, id and role count."""
+    tokens, classes = [], []
     for name, value in _NAMED.findall(attrs):
         value = value.strip("\"'").lower()
-        words.update(w for token in value.split() if not _BESIDE.match(token) for w in re.findall(r"[a-z]+", token))
+        tokens += [set(re.findall(r"[a-z]+", token)) for token in value.split() if not _BESIDE.match(token)]
         if name.lower() == "class":
             classes = sorted({re.sub(r"\d+", "#", c) for c in value.split()})
-    return ".".join([tag, *classes]), words
+    kind = ""
+    if any(words & _LEFT_OUT_WORDS for words in tokens):
+        own = any(words & _OWN_WORDS and not words & _LEFT_OUT_WORDS for words in tokens)
+        kind = "strict" if not own and any(words & _STRICT_WORDS for words in tokens) else "weighed"
+    return ".".join([tag, *classes]), kind
 
 
 def page_blocks(source: str) -> list[Block]:
     """Blocks of text in page order with the path of the container that holds each."""
     blocks: list[Block] = []
-    # left out for good; numbers of the containers around that are weighed
-    stack: list[tuple[str, tuple[str, ...], bool, tuple[int, ...]]] = [("", (), False, ())]
-    weighed: list[tuple[int, ...]] = []
+    stack, opened = [Open("", (), False, (), 0, 0)], 0
+    under: list[tuple[Doubt, ...]] = []
     parts: list[str] = []
-    in_link, linked, at, prose, doubtful = 0, 0, 0, False, 0
+    in_link, linked, at, prose = 0, 0, 0, False
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            blocks.append(Block(stack[-1][1], stack[-1][2], text, min(linked, len(text)), prose))
-            weighed.append(stack[-1][3])
+            top = stack[-1]
+            blocks.append(Block(top.steps, top.out, text, min(linked, len(text)), prose, top.number, top.parent))
+            under.append(top.doubts)
         parts.clear()
         linked = 0
 
@@ -127,37 +166,40 @@ def page_blocks(source: str) -> list[Block]:
         elif tag in _BLOCKS:
             flush()
             prose = tag in _PROSE and not m["close"]
+            if tag in ("h1", "main") and not m["close"]:
+                for doubt in stack[-1].doubts:
+                    doubt.heading = True
             if tag not in _CONTAINERS:
                 continue
             if m["close"]:
-                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d][0] == tag), 0)
+                depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag), 0)
                 if depth:
                     del stack[depth:]
                     in_link = 0
             elif tag not in _VOID:
-                if tag in _CLOSED_BY_SAME and stack[-1][0] == tag:
+                if tag in _CLOSED_BY_SAME and stack[-1].tag == tag:
                     stack.pop()
-                step, words = _step(tag, m["attrs"] or "")
-                _, steps, out, doubts = stack[-1]
-                # a header inside the article holds its title
-                header = tag == "header" and not any(s.split(".")[0] == "article" for s in steps)
-                left = tag in _LEFT_OUT_TAGS or header
-                if tag not in ("html", "body", "article", "main"):
-                    left = left or words & _STRICT_WORDS
-                    if words & _LEFT_OUT_WORDS:
-                        doubts, doubtful = (*doubts, doubtful), doubtful + 1
-                stack.append((tag, (*steps, step), bool(out or left), doubts))
+                step, kind = _step(tag, m["attrs"] or "")
+                top, doubts = stack[-1], stack[-1].doubts
+                if kind and tag not in ("html", "body", "article", "main"):
+                    doubts = (*doubts, Doubt(kind, top.number))
+                if tag == "header" and not any(_tag(s) in ("article", "main") for s in top.steps):
+                    # a header beside the paragraphs of an article holds its title
+                    doubts = (*doubts, Doubt("header", top.number if top.tag not in ("", "html", "body") else -1))
+                opened += 1
+                stack.append(Open(tag, (*top.steps, step), top.out or tag in _LEFT_OUT_TAGS, doubts, opened, top.number))
     if at < len(source):
         add(source[at:])
     flush()
-    holds, total = [0] * doubtful, 0
-    for b, doubts in zip(blocks, weighed):
+    total = 0
+    for b, doubts in zip(blocks, under):
         if not b.out:
-            total += len(b.text) - b.linked
-            for k in doubts:
-                holds[k] += len(b.text) - b.linked
-    for b, doubts in zip(blocks, weighed):
-        b.out = b.out or any(2 * holds[k] <= total for k in doubts)
+            total += b.plain
+            for doubt in doubts:
+                doubt.holds += b.plain
+    with_prose = {b.owner for b in blocks if b.prose and not b.out and b.plain}
+    for b, doubts in zip(blocks, under):
+        b.out = b.out or any(doubt.drops(total, with_prose) for doubt in doubts)
     return blocks
 
 
@@ -168,7 +210,7 @@ def _tag(step: str) -> str:
 def _levels(steps: tuple[str, ...], direct: set[tuple[str, ...]]) -> list[int]:
     """Depths of the containers that may be the article of a block, the nearest first.
 
-    ``direct`` names the containers with paragraphs or headings of their own.
+    ``direct`` names the containers with paragraphs of their own (``_with_paragraphs``).
     """
     levels = [d for d in range(len(steps), 0, -1) if _tag(steps[d - 1]) not in _WRAPPERS]
     article = next((d for d in levels if _tag(steps[d - 1]) == "article"), 0)
@@ -186,17 +228,27 @@ def _levels(steps: tuple[str, ...], direct: set[tuple[str, ...]]) -> list[int]:
     return levels or [1] * bool(steps)
 
 
-def container_scores(blocks: list[Block]) -> dict[str, float]:
-    scores: dict[str, float] = {}
-    direct = set()
+def _with_paragraphs(blocks: list[Block]) -> set[tuple[str, ...]]:
+    """Containers with paragraphs or headings of their own, or whose paragraphs are divs of plain text."""
+    direct, divs = set(), {}
     for b in blocks:
-        if b.prose and not b.out and len(b.text) > b.linked:
-            depth = next((d for d in range(len(b.steps), 0, -1) if _tag(b.steps[d - 1]) not in _WRAPPERS), 0)
+        if b.out or not b.plain:
+            continue
+        depth = next((d for d in range(len(b.steps), 0, -1) if _tag(b.steps[d - 1]) not in _WRAPPERS), 0)
+        if b.prose:
             direct.add(b.steps[:depth])
+        elif depth == len(b.steps) > 1 and _tag(b.steps[-1]) == "div" and _tag(b.steps[-2]) not in ("html", "body"):
+            divs.setdefault((b.parent, b.steps[:-1]), set()).add(b.owner)
+    return direct | {steps for (_, steps), owners in divs.items() if len(owners) > 1}
+
+
+def container_scores(blocks: list[Block]) -> dict[str, float]:
+    scores: dict[str, float] = {}
+    direct = _with_paragraphs(blocks)
     for b in blocks:
         if b.out:
             continue
-        share = float(len(b.text) - b.linked)
+        share = float(b.plain)
         for depth in _levels(b.steps, direct):
             path = "/".join(b.steps[:depth])
             scores[path] = scores.get(path, 0.0) + share

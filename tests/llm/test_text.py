@@ -277,3 +277,79 @@ def test_reordered_passages_are_found(spark):
     assert sorted((r["doc_id"] for r in clean)) == [2, 3, 4]
     assert decontaminate.contaminated(docs, benchmark.where("false")).count() == 0
     assert decontaminate.contaminated(docs.where("false"), benchmark).count() == 0
+
+
+def article_of(body):
+    blocks = html_consensus.page_blocks(f"<html><body><header>Site</header>{body}<footer>end</footer></body></html>")
+    return html_consensus.article_text(blocks, None).split("\n\n")
+
+
+ONE, TWO, THREE = ("one " * 30).strip(), ("two " * 25).strip(), ("three " * 20).strip()
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="post comments-open"><p>{ONE}</p><p>{TWO}</p></div><div class="comments"><p>{THREE}</p></div>',
+    f'<div class="content ad-free"><p>{ONE}</p><p>{TWO}</p></div>',
+    f'<div class="comments-open"><p>{ONE}</p><p>{TWO}</p></div><div id="cookie-banner">{THREE}</div>',
+    f'<div class="main-content nav-open"><p>{ONE}</p><p>{TWO}</p></div><div class="nav">{THREE}</div>',
+    f'<div class=wrap><div class="para">{ONE}</div><div class="para2">{TWO}</div></div><div class=ads>{THREE}</div>',
+    f"<div class=wrap><div>{ONE}</div><div class=q>{TWO}</div></div>",
+    f'<div class="sidebar popup"><h1>{ONE}</h1><p>{TWO}</p></div>',
+])
+def test_names_do_not_lose_an_article(page):
+    assert article_of(page) == [ONE, TWO]
+
+
+def test_divs_of_text_belong_to_what_is_around_them():
+    assert article_of(f'<main><div class="para">{ONE}</div><div class="para2">{TWO}</div><div class="para3">{THREE}</div></main>') == [ONE, TWO, THREE]
+    assert article_of(f"<div id=a><div>{ONE}</div><div>{TWO}</div><div class=q>{THREE}</div></div>") == [ONE, TWO, THREE]
+
+
+def test_a_header_holds_the_title_of_its_article():
+    assert article_of(f"<main><header><h1>Title</h1></header><p>{ONE}</p></main>") == ["Title", ONE]
+    assert article_of(f"<div class=post><header><h1>Title</h1></header><p>{ONE}</p></div>") == ["Title", ONE]
+    assert article_of(f"<article><header><h1>Title</h1></header><p>{ONE}</p></article>") == ["Title", ONE]
+    assert article_of(f"<div><header><h1>Site</h1></header></div><div class=post><p>{ONE}</p></div>") == [ONE]
+
+
+def test_long_comments_stay_out():
+    assert article_of(f'<div class=post><h1>T</h1><p>{ONE}</p></div><section class="comments"><article class=comment><p>{TWO * 5}</p></article></section>') == ["T", ONE]
+
+
+def test_any_rule_meets_its_urls(spark):
+    rules = [url_filter.host_rule("block", n) for n in ("example.com/en", "example.org/En/", "пример/", "Whole.net")]
+    urls = ["http://example.com/english", "http://a.example.com/en", "http://example.com/fr", "http://example.org/En/x", "http://example.org/en/x",
+            "http://пример/a", "http://whole.net", "http://x.whole.net/y", "http://wholes.net/", "http://whole.net.org/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r["page_id"]]: r["rule"] for r in url_filter.judge_urls(pages, host_rules=rules, pattern_rules=[]).collect()}
+    assert {u for u, rule in got.items() if rule} == {urls[i] for i in (0, 1, 3, 5, 6, 7)}
+
+
+def test_drop_stages_keep_columns_of_any_name_and_kind(spark):
+    kind = "doc_id long, text string, own_hash string, place int, __own string, __n int, __hash string, KEPT_ID long, m map<string,int>"
+    rows = [(i, t, "a", 1, "b", 2, "c", 3, {"k": i % 2}) for i, t in enumerate(["x y z"] * 3 + ["other words here now ok", None, ""])]
+    docs = spark.createDataFrame(rows + [(0, "x y z", "a", 1, "b", 2, "c", 3, {"k": 7})], kind)
+    for drop, ids in ((exact_dedup.drop_copies, [0, 3, 4]), (jaccard_join.drop_similar, None)):
+        got = drop(docs)
+        assert got.columns == docs.columns
+        out = got.collect()
+        assert all((r["own_hash"], r["place"], r["__own"], r["__n"], r["__hash"], r["KEPT_ID"]) == ("a", 1, "b", 2, "c", 3) for r in out)
+        assert ids is None or sorted(r["doc_id"] for r in out) == ids
+
+
+def test_very_long_texts_are_read_whole(spark):
+    import sys
+
+    long = " ".join(f"w{i % 9973}" for i in range(200_000))
+    docs = spark.createDataFrame([(1, long), (2, long.replace(" ", "  ")), (3, long + " end")], "doc_id long, text string")
+    groups = {r["doc_id"]: r["keep_id"] for r in exact_dedup.exact_groups(docs).collect()}
+    assert groups == {1: 1, 2: 1, 3: 3}
+    assert {r["component_id"] for r in jaccard_join.similar_groups(docs).collect()} == {1}
+    quote = " ".join(f"w{i % 9973}" for i in range(199_000, 199_060))
+    bench = spark.createDataFrame([(7, quote)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()} == {1, 2, 3}
+    page = "<html><body><article>" + "".join(f"<p>{long[i : i + 1000]}</p>" for i in range(0, len(long), 1000)) + "</article></body></html>"
+    pages = spark.createDataFrame([(1, "http://a.b/c", page)], "page_id long, url string, html string")
+    assert html_consensus.extract_pages(pages).first()["n_chars"] > 0.99 * len(long)
+    url = spark.createDataFrame([(1, "http://example.com/en/" + "a" * 1_000_000)], "page_id long, url string")
+    assert url_filter.judge_urls(url).first()["verdict"] == "block" and sys.getsizeof(long) > 1 << 20
