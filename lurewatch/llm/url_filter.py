@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lurewatch.llm.common import lower_ascii
 
 TOKEN = r"[a-z0-9]+"
+_SMALL = {c: c + 32 for c in range(65, 91)}
 
 
 @dataclass(frozen=True)
@@ -36,13 +37,21 @@ class Rule:
 
     @property
     def tokens(self) -> list[str]:
-        """Literal tokens that a matching URL holds as whole tokens."""
-        return sorted(set(re.findall(TOKEN, self.name)))
+        """Literal tokens that a matching URL holds as whole tokens, in lower case.
+
+        A path is a prefix, so what it ends in may go on in the URL; a rule may have none.
+        """
+        name = self.name.translate(_SMALL)
+        if self.host_rule and "/" in name:
+            name = re.sub(r"[a-z0-9]+\Z", "", name)
+        return sorted(set(re.findall(TOKEN, name)))
 
 
 def host_rule(verdict: str, name: str) -> Rule:
     host, slash, path = name.partition("/")
-    return Rule(name, verdict, rf"^(?:[^/]*\.)?{re.escape(host)}{re.escape(slash + path)}", True)
+    # the host is compared in lower case; without a path the rule holds for the whole host
+    rest = re.escape(slash + path) if slash else r"(?:/|\Z)"
+    return Rule(name, verdict, rf"^(?:[^/]*\.)?{re.escape(host.translate(_SMALL))}{rest}", True)
 
 
 def word_rule(verdict: str, word: str) -> Rule:
@@ -75,7 +84,10 @@ def _tokens(host: Column, path: Column) -> Column:
 
 def _rarest(parts: DataFrame, rules: list[Rule]) -> dict[Rule, str]:
     """The token of each rule that fewest URLs hold; ties by name."""
+    rules = [r for r in rules if r.tokens]
     wanted = sorted({t for r in rules for t in r.tokens})
+    if not rules:
+        return {}
     held = F.array_intersect(_tokens(F.col("host"), F.col("path")), F.array(*map(F.lit, wanted)))
     # one row for each token that a rule names
     counts = dict(parts.select(F.explode(held).alias("token")).groupBy("token").count().collect())
@@ -95,15 +107,18 @@ def _index(df: DataFrame, keys: dict[Rule, str]) -> tuple[Column, int]:
     for rule, token in keys.items():
         table[zlib.crc32(token.encode()) % slots].append((rule, token))
 
-    def entry(rule: Rule, token: str) -> Column:
-        return F.struct(
-            F.lit(token).alias("token"), F.lit(rule.host_rule).alias("host_rule"),
-            F.lit(len(rule.name)).alias("length"), F.lit(rule.name).alias("name"),
-            F.lit(rule.verdict).alias("verdict"), F.lit(rule.regex).alias("regex"),
-        )
+    return F.array(*[F.array(*[_entry(*x) for x in row]).cast(_KIND) for row in table]), slots
+
 
-    kind = "array<struct<token:string,host_rule:boolean,length:int,name:string,verdict:string,regex:string>>"
-    return F.array(*[F.array(*[entry(*x) for x in row]).cast(kind) for row in table]), slots
+_KIND = "array<struct<token:string,host_rule:boolean,length:int,name:string,verdict:string,regex:string>>"
+
+
+def _entry(rule: Rule, token: str) -> Column:
+    return F.struct(
+        F.lit(token).alias("token"), F.lit(rule.host_rule).alias("host_rule"),
+        F.lit(len(rule.name)).alias("length"), F.lit(rule.name).alias("name"),
+        F.lit(rule.verdict).alias("verdict"), F.lit(rule.regex).alias("regex"),
+    )
 
 
 def judge_urls(
@@ -127,6 +142,9 @@ def judge_urls(
             lambda t: F.filter(F.get(index, _slot(t, slots).cast("int")), lambda r: r["token"] == t),
         )
     )
+    keyless = [_entry(r, "") for r in rules if not r.tokens]
+    if keyless:  # rules without a literal token run on every URL
+        fetched = F.concat(fetched, F.array(*keyless).cast(_KIND))
     subject = F.concat("host", "path")
     # host rules are matched as written; patterns ignore the case of A-Z
     fits = F.filter(
