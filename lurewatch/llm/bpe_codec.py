@@ -133,6 +133,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 text_sha.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)]
             yield pa.RecordBatch.from_arrays(columns, [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.known.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(docs[id_col].alias(id_col), text_of(docs, text_col).alias("t"))

@@ -160,6 +160,11 @@ class Cache(dict):
         self[piece] = value
         return value
 
+    def forget(self) -> None:
+        """Let go of all pieces: workers live on after a task."""
+        self.clear()
+        self.old = {}
+
     def room(self, n: int) -> None:
         if len(self) + n > self.limit:
             self.old = dict(self)

@@ -19,11 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share, as the session names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) a
+    Only where ``spark.checkpoint.dir`` is unset on one machine (tests) a
     temporary folder takes its place.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='lurewatch-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -49,6 +51,14 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def private(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 

@@ -19,7 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lurewatch.llm.common import SPACE, stored, text_of
+from lurewatch.llm.common import SPACE, private, stored, text_of
 
 #: The bitmap has 2**FILTER_BITS bits: 4 MB to broadcast, whatever the input.
 FILTER_BITS = 25
@@ -90,15 +90,19 @@ def exact_groups(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
+    own, place = private(docs, "own_hash"), private(docs, "place")
     kept = exact_groups(docs, id_col, text_col).where("kept")
-    kept = kept.select(F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    sha = F.unhex(F.sha2(normalised(text_of(docs, text_col)), 256))
-    named = docs.withColumn("__own", sha)
-    same = named[id_col].eqNullSafe(kept["__id"]) & (named["__own"] == kept["__sha"])
+    kept = kept.select(F.col(id_col).alias("kept_id"), F.unhex("text_sha256").alias("kept_hash"))
+    named = docs.withColumn(own, F.unhex(F.sha2(normalised(text_of(docs, text_col)), 256)))
+    same = named[id_col].eqNullSafe(kept["kept_id"]) & (named[own] == kept["kept_hash"])
     stay = named.join(kept, same, "left_semi")
-    rest = [c for c in docs.columns if c not in (id_col, text_col)] or [id_col]
-    first = Window.partitionBy(id_col, "__own").orderBy(*rest)
-    return stay.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+    # of rows with one id and one text the smallest by the other columns; maps have no order, their JSON does
+    rest = [
+        F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+        for f in docs.schema if f.name not in (id_col, text_col)
+    ]
+    first = Window.partitionBy(f"`{id_col}`", own).orderBy(*rest, F.lit(0))
+    return stay.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(own, place)
 
 
 SQL = r"""

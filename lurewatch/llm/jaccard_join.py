@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lurewatch.llm.bytebpe import Cache
-from lurewatch.llm.common import drop_stored, stored, text_of
+from lurewatch.llm.common import drop_stored, private, stored, text_of
 from lurewatch.llm.components import components
 
 WORDS, SIMILAR = 5, 75
@@ -411,7 +411,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that have the smallest id of their component, with all their columns."""
     found = similar_groups(docs, id_col, text_col)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id"), "text_hash")
-    named = docs.withColumn("__hash", F.xxhash64(text_of(docs, text_col)))
-    same = named[id_col].eqNullSafe(kept["__id"]) & (named["__hash"] == kept["text_hash"])
-    return named.join(kept, same, "left_semi").select(*docs.columns)
+    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    kept = kept.select(F.col(id_col).alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    own = private(docs, "own_hash")
+    named = docs.withColumn(own, F.xxhash64(text_of(docs, text_col)))
+    same = named[id_col].eqNullSafe(kept["kept_id"]) & (named[own] == kept["kept_hash"])
+    return named.join(kept, same, "left_semi").drop(own)
