@@ -68,6 +68,16 @@ def test_longest_prefix_within_a_budget(library):
         assert len(ids_of(library, text[:kept])) <= budget < len(ids_of(library, text[: kept + 1]))
 
 
+def test_every_prefix_is_counted_as_the_library_counts_it(library):
+    counter = token_counts.counter(PATH)
+    for text in odd_texts()[:220]:
+        counts = counter.every_prefix(text[:120])
+        assert counts == [len(ids_of(library, text[:k])) for k in range(len(text[:120]) + 1)], text
+        assert token_counts.unpacked_counts(token_counts.packed_counts(counts)).tolist() == counts
+    wide = [0, 5, -300, 1_000_000, 999_999, 0]
+    assert token_counts.unpacked_counts(token_counts.packed_counts(wide)).tolist() == wide
+
+
 DOCS = [(1, "the cat's  hat", "x"), (2, None, "x"), (3, "", None), (3, "", None), (None, "na\u00efve\n\n", "y"), (7, "a" * 70_000, "y")]
 #: Extra columns named like those that the operators make.
 SCHEMA = "doc_id long, text string, n_tokens string"
@@ -91,6 +101,23 @@ def test_round_trip_table(docs, library):
     assert bpe_codec.round_trip(docs.where("false"), PATH).count() == 0
 
 
+def test_questions_are_answered_from_the_stored_counts(spark, docs, library, tmp_path):
+    token_counts.prefix_counts(docs, PATH).write.parquet(str(tmp_path / "counts"))
+    stored = spark.read.parquet(str(tmp_path / "counts"))
+    assert stored.columns == ["doc_id", "n_tokens", "counts"]
+    got = token_counts.with_longest_within(token_counts.with_tokens_at(stored, 5), 3).drop("counts").collect()
+    want = []
+    for key, text, _ in DOCS:
+        text = text or ""
+        sizes = [len(ids_of(library, text[:k])) for k in range(min(len(text), 60) + 1)]
+        fits = max(k for k, n in enumerate(sizes) if n <= 3) if len(text) <= 60 else None
+        want.append((key, len(ids_of(library, text)), sizes[min(5, len(text))], fits))
+    got = [tuple(r)[:3] + (r.fit_chars if r.doc_id != 7 else None,) for r in got]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    whole = token_counts.with_longest_within(stored, stored["n_tokens"]).where("doc_id = 7").first()
+    assert whole.fit_chars == 70_000 and token_counts.with_longest_within(stored, -1).first().fit_chars is None
+
+
 def test_count_table(docs, library):
     got = sorted(map(tuple, token_counts.token_counts(docs, PATH, limit=3).collect()), key=str)
     want = []
