@@ -10,10 +10,11 @@ from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lurewatch.functions.lexicon_scan import longest_of
 from lurewatch.functions.plan import let, pinned
 from lurewatch.functions.text import clean_text, full_text
 from lurewatch.operators.features import mail_features
-from lurewatch.operators.textvec import word_ngrams, words
+from lurewatch.operators.textvec import words
 from lurewatch.schema import FEATURES, PHISH_THRESHOLD, SUSPECT_THRESHOLD
 from lurewatch.sources.weights import LinearScorer
 
@@ -56,9 +57,21 @@ def tabular_logit(scorer: LinearScorer) -> Column:
 
 
 def _known_terms(scorer: LinearScorer, clean: Column) -> Column:
-    """The text's occurrences of the scorer's terms; few survive the hash-set filter."""
-    tokens = word_ngrams if any(" " in t for t in scorer.terms) else words
-    return F.filter(tokens(clean), lambda t: t.isin(*scorer.terms))
+    """The text's occurrences of the scorer's terms, one- and two-word ones.
+
+    One pattern stops at words that a term begins and tells the longest; no other word or
+    pair is built. A pair's first word counts too if it is a term.
+    """
+    terms = list(scorer.terms)
+    hits = F.regexp_extract_all(
+        F.array_join(words(clean), " "), F.lit(f"(?<![^ ])(?=({longest_of(terms)})(?![^ ]))"), F.lit(1)
+    )
+    begun = [t for t in terms if " " in t and t.split(" ")[0] in scorer.terms]
+    if not begun:
+        return hits
+    return let(hits, lambda found: F.concat(
+        found, F.transform(F.filter(found, lambda t: t.isin(*begun)), lambda t: F.substring_index(t, " ", 1))
+    ))
 
 
 def _term_value(scorer: LinearScorer, known: Column):
