@@ -37,6 +37,8 @@ ALL_BLOCKS = ("tab", "word", "char")
 MAX_ROWS = 200_000
 #: Vectors in one partition of the store that fits read.
 PART_ROWS = 4096
+#: Histograms of tree nodes that one pass over the data may hold, in MB of a task.
+NODE_MEMORY = 512
 #: Steps in which draws are cut off at ``MAX_ROWS``.
 DRAW_SLOTS = 1 << 14
 #: Fits that run side by side; each is a chain of small jobs that leaves most cores idle.
@@ -111,7 +113,7 @@ class ModelSpec:
 
     def estimator(self):
         """Estimator of an ensemble; linear models are fitted by ``logistic``."""
-        common = {"featuresCol": "x", "labelCol": "y"}
+        common = {"featuresCol": "x", "labelCol": "y", "maxMemoryInMB": NODE_MEMORY}
         if self.kind == "rf":
             return RandomForestClassifier(
                 numTrees=self.trees, maxDepth=30, minInstancesPerNode=2, weightCol="w",

@@ -6,17 +6,18 @@ its result is at most ``max_features`` terms. Transforming is map-only.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lurewatch.functions.plan import let
 from lurewatch.functions.text import clean_text, full_text
+from lurewatch.functions.vectors import entries, offsets
 
 
 def words(clean: Column) -> Column:
@@ -149,10 +150,10 @@ class TextSpace:
         )
 
 
-def _weights(indices: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    raw = (1.0 + np.log(counts)) * idf[indices]
-    norm = math.sqrt(float(raw @ raw))
-    return raw / norm if norm else raw
+def _weights(row: np.ndarray, column: np.ndarray, counts: np.ndarray, idf: np.ndarray, rows: int) -> np.ndarray:
+    """Sublinear, L2-normalised weights of the entries of a batch of rows."""
+    raw = (1.0 + np.log(counts)) * idf[column]
+    return raw / np.sqrt(np.bincount(row, weights=raw * raw, minlength=rows))[row]
 
 
 # A vector column reaches a pandas UDF as the frame (type, size, indices, values).
@@ -161,22 +162,26 @@ def _weights(indices: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.nda
 def _weigher(idf: np.ndarray):
     @F.pandas_udf(VectorUDT())
     def weigh(v: pd.DataFrame) -> pd.DataFrame:
-        scaled = [_weights(i, c, idf) for i, c in zip(v["indices"], v["values"])]
-        return v.assign(values=pd.Series(scaled, index=v.index, dtype=object))
+        sizes = v["indices"].map(len).to_numpy(dtype=np.int64)
+        if not sizes.sum():
+            return v
+        row = np.repeat(np.arange(len(v)), sizes)
+        scaled = _weights(row, np.concatenate(v["indices"].to_numpy()), np.concatenate(v["values"].to_numpy()), idf, len(v))
+        parts = np.split(scaled, np.cumsum(sizes)[:-1])
+        return v.assign(values=pd.Series(parts, index=v.index, dtype=object))
 
     return weigh
 
 
 def _cells(idf: np.ndarray):
-    @F.pandas_udf("idx array<int>, tf array<int>, weight array<double>")
-    def cells(v: pd.DataFrame) -> pd.DataFrame:
-        pairs = list(zip(v["indices"], v["values"]))
-        columns = {
-            "idx": [np.asarray(i, dtype="int32") for i, _ in pairs],
-            "tf": [np.asarray(c).astype("int32") for _, c in pairs],
-            "weight": [_weights(i, c, idf) for i, c in pairs],
-        }
-        return pd.DataFrame({k: pd.Series(x, dtype=object) for k, x in columns.items()})
+    @F.arrow_udf("idx array<int>, tf array<int>, weight array<double>")
+    def cells(v: pa.Array) -> pa.Array:
+        row, column, counts = entries(v)
+        at = pa.array(offsets(row, len(v)))
+        columns = [column.astype("int32"), counts.astype("int32"), _weights(row, column, counts, idf, len(v))]
+        return pa.StructArray.from_arrays(
+            [pa.ListArray.from_arrays(at, pa.array(c)) for c in columns], ["idx", "tf", "weight"]
+        )
 
     return cells
 
