@@ -20,6 +20,10 @@ VARIANTS = [
 ATTACKS, FUTURE = VARIANTS[:6], VARIANTS[6:]
 
 
+#: Stands for any letter.
+_LETTER = "\x01"
+
+
 def _seed(stream: int) -> Column:
     return seed_of(F.col("mail_id"), stream)
 
@@ -66,13 +70,16 @@ def zero_width(text: Column, seed: Column, probability: float = 0.3) -> Column:
     """Insert an invisible character after letters."""
     marks = F.array(*[F.lit(z) for z in lex.ZERO_WIDTH])
 
-    def change(c, k):
-        draw = position_draw(seed, k)
-        hit = (draw < below(probability)) & c.rlike(r"\p{L}")
-        mark = F.get(marks, (draw % len(lex.ZERO_WIDTH)).cast("int"))
-        return F.when(hit, F.concat(c, mark)).otherwise(c)
+    def marked(letters: Column) -> Column:
+        def change(c, k):
+            draw = position_draw(seed, k)
+            # letters are told by one pass over the text; only they draw
+            hit = (F.get(letters, k) == _LETTER) & (draw < below(probability))
+            return F.when(hit, F.concat(c, F.get(marks, (draw % len(lex.ZERO_WIDTH)).cast("int")))).otherwise(c)
 
-    return _per_char(text, change)
+        return _per_char(text, change)
+
+    return let(F.split(F.regexp_replace(text, r"\p{L}", _LETTER), ""), marked)
 
 
 def _percent(text: Column, keep=None) -> Column:
