@@ -1,9 +1,9 @@
 """Jaccard join of word shingles with adaptive multi-match prefixes.
 
 A document is the set of its distinct runs of five words. All sets are sorted by one
-order of shingles: those that come again and again inside single tasks' shares of the
-corpus are frequent and come last (a sketch of fixed size sums their counts), others
-by hash. Two sets with a Jaccard similarity of t or more share at least
+order of shingles: frequent ones come last, others by hash. How many documents hold a shingle is
+counted over the whole corpus for the lower ``PROBED`` of all hashes, among which nearly
+all prefixes lie; a sketch of fixed size keeps the counts of the frequent ones. Two sets with a Jaccard similarity of t or more share at least
 ``l`` shingles of their prefixes of length ``n - ceil(t n) + l``, for every l. A
 longer prefix thus asks for more shared shingles, and each document chooses its l by
 estimated cost: entries that its prefix meets, plus the sets that must be compared
@@ -49,13 +49,16 @@ WORDS, SIMILAR = 5, 75
 CELL_BITS = 22
 #: Shingles that a task counts at a time, and the least count that makes one frequent.
 CHUNK, FREQUENT = 2_000_000, 8
+#: Share of the hashes that are counted, and documents whose shingles one range of them is sized for.
+PROBED, RANGE_ROWS = 0.5, 1000
+#: Counting needs the high bits of a hash only.
+_LOW = np.uint64(24)
 LEVELS = (1, 2, 4, 8, 16)
 #: Share of shingles assumed to be held by one more document than the sketch can tell.
 PRIOR = 0.02
 #: Shingles estimated above this many documents are dealt over several tasks.
 HOT = 20_000
 HUB_ROUNDS = 2
-_BLOCK = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,12 +104,25 @@ def _needed(n: int) -> int:
 # ---- documents and sketch ---------------------------------------------------
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text_hash, n, g (key of the set) of each row, and the tasks' sketches: block, cells."""
+def _documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """id, text_hash, n, g (key of the set) of each row, and the tasks' counts (block, cells) by range of hashes.
+
+    Also the bits that tell a range.
+    """
+
+    bits = min(16, max(8, (docs.count() // RANGE_ROWS).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, cells, seen = Shingler(), np.zeros(1 << CELL_BITS, dtype=np.int32), set()
-        held, size = [], 0
+        shingles, seen, held, size = Shingler(), set(), [], 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            parts = _ranges(held, bits)
+            none = [None] * len(parts)
+            if parts:
+                yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, list(parts), list(parts.values()))
+            held.clear()
+            seen.clear()
+
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 some = batch.slice(start, 500)
@@ -115,18 +131,14 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for key, s in zip(keys, found):
                     if key is not None and key not in seen:
                         seen.add(key)
-                        held.append(s)
+                        held.append(s[: np.searchsorted(s, np.uint64(PROBED * 2.0**64))])
                         size += len(s)
                 if size >= CHUNK:
-                    _add_repeated(cells, held)
-                    held, size, seen = [], 0, set()
+                    yield from counted()
+                    size = 0
                 none = [None] * len(found)
                 yield rows(some.column(0), some.column(1), list(map(len, found)), keys, none, none)
-        _add_repeated(cells, held)
-        parts = [(k, p) for k, p in enumerate(cells.reshape(-1, _BLOCK)) if p.any()]
-        if parts:
-            none, blocks, raw = [None] * len(parts), [k for k, _ in parts], [p.astype("<i4").tobytes() for _, p in parts]
-            yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, blocks, raw)
+        yield from counted()
 
     def rows(ids, hashes, n, keys, blocks, cells) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -140,40 +152,62 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_of(docs, text_col)
     chosen = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
-    return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g binary, block int, cells binary"), "jaccard-documents")
+    return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g binary, block int, cells binary"), "jaccard-documents"), bits
+
+
+def _ranges(sets: list[np.ndarray], bits: int) -> dict[int, bytes]:
+    """High bits of the shingles of some sets with the sets that hold each, by range of hashes."""
+    if not sets or not sum(map(len, sets)):
+        return {}
+    found = np.concatenate(sets) >> _LOW
+    found.sort()
+    starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+    kinds, n = found[starts], np.diff(starts, append=len(found))
+    part = (kinds >> np.uint64(40 - bits)).astype(np.int64)
+    edges = np.flatnonzero(np.diff(part, prepend=-1))
+    # gaps between neighbours are small numbers, of four bytes within any range
+    return {
+        int(part[lo]): np.diff(kinds[lo:hi], prepend=part[lo].astype(np.uint64) << np.uint64(40 - bits)).astype("<u4").tobytes()
+        + np.minimum(n[lo:hi], 65_535).astype("<u2").tobytes()
+        for lo, hi in zip(edges, [*edges[1:], len(kinds)])
+    }
+
+
+def _frequent(bits: int):
+    """Of each range of hashes the cells of its frequent shingles, with the documents that hold them."""
+    width = 1 << (CELL_BITS - bits)
 
-
-def _add_repeated(cells: np.ndarray, sets: list[np.ndarray]) -> None:
-    """Count the shingles that several of the sets hold."""
-    if sets:
-        found = np.concatenate(sets)
-        found.sort()
-        starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-        n = np.diff(starts, append=len(found)).astype(np.int32)
-        np.add.at(cells, _cell(found[starts[n > 1]]), n[n > 1])
-
-
-def _sum_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-            value = np.frombuffer(raw.as_py(), dtype="<i4")
-            sums[block] = sums[block] + value if block in sums else value
-    if sums:
-        values = pa.array([v.tobytes() for v in sums.values()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), values], ["block", "cells"])
-
-
-def _sketch(rows: DataFrame) -> np.ndarray:
-    """Estimated documents of the shingles of each cell: one, unless it stands out as frequent."""
-    parts = rows.where("block is not null").select("block", "cells")
-    n = (1 << CELL_BITS) // _BLOCK
-    for salt in (F.floor(F.rand(7) * 16), F.lit(0)):
-        parts = parts.repartition(n, "block", salt).mapInArrow(_sum_cells, "block int, cells binary")
-    cells = np.zeros(1 << CELL_BITS, dtype=np.int32)
-    for row in parts.collect():  # 2**CELL_BITS numbers in all
-        cells[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = np.frombuffer(row["cells"], dtype="<i4")
-    return np.where(cells >= FREQUENT + 2 * cells.mean(), cells, 1).astype(np.int32)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from itertools import groupby
+
+        rows = ((block, raw) for batch in batches for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for block, parts in groupby(rows, key=lambda row: row[0]):
+            kinds, counts = [], []
+            for _, raw in parts:
+                size = len(raw) // 6
+                kinds.append(np.cumsum(np.frombuffer(raw, dtype="<u4", count=size).astype(np.uint64)))
+                counts.append(np.frombuffer(raw, dtype="<u2", offset=4 * size))
+            kinds, counts = np.concatenate(kinds), np.concatenate(counts).astype(np.int64)
+            order = np.argsort(kinds, kind="stable")
+            kinds, counts = kinds[order], counts[order]
+            first = np.flatnonzero(np.concatenate(([True], kinds[1:] != kinds[:-1])))
+            total = np.add.reduceat(counts, first)
+            often = total >= FREQUENT
+            cell = (kinds[first[often]] >> np.uint64(40 - CELL_BITS)).astype(np.int64)
+            cells = np.minimum(np.bincount(cell, weights=total[often], minlength=width), 2**31 - 1).astype("<i4")
+            if cells.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([cells.tobytes()], pa.binary())], ["block", "cells"])
+
+    return run
+
+
+def _sketch(rows: DataFrame, bits: int) -> np.ndarray:
+    """Estimated documents of the shingles of each cell: one, unless frequent ones lie in it."""
+    parts = rows.where("block is not null").select("block", "cells").repartition("block").sortWithinPartitions("block")
+    cells, width = np.zeros(1 << CELL_BITS, dtype=np.int32), 1 << (CELL_BITS - bits)
+    for row in parts.mapInArrow(_frequent(bits), "block int, cells binary").collect():  # 2**CELL_BITS numbers in all
+        cells[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["cells"], dtype="<i4")
+    return np.maximum(cells, 1)
 
 
 # ---- prefixes ---------------------------------------------------------------
@@ -380,9 +414,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per row: id, n_shingles, component_id (smallest id reachable by links), text_hash."""
     # whole texts go to Python a thousand at a time, not ten thousand
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
-    rows = _documents(docs, id_col, text_col)
+    rows, bits = _documents(docs, id_col, text_col)
     table = rows.where("block is null").select("id", "text_hash", "n", "g")
-    entries = _entries(docs, _sketch(rows), text_col)
+    entries = _entries(docs, _sketch(rows, bits), text_col)
     reps = table.where("g is not null").groupBy("g").agg(F.min("id").alias("id"))
     edges, tried, labels = None, None, None
     for turn in range(HUB_ROUNDS + 1):
