@@ -13,14 +13,21 @@ if only those with l matches are.
 2. Prefix shingles of the nodes are dealt by shingle and sorted; only entries whose
    shingle another node holds are kept. Shingles that the sketch takes for very
    frequent are dealt over several tasks.
-3. Twice, every node is compared with hubs of its shingles, if it meets one hub at as
-   many shingles as the smaller of their levels; that is fewer comparisons than
-   entries. Components of the links are formed, and groups of near copies, however
-   large, collapse here.
+3. Every node is compared with hubs of its shingles, if it meets one hub often enough;
+   that is fewer comparisons than entries. The hub of a shingle is the node whose
+   prefix others share most: of many variants of one text that is the least changed
+   one, which is nearer to the others than they are to each other. Components of the
+   links are formed, and groups of near copies, however large, collapse here.
 4. What is left are pairs of nodes in different components. They are joined by
    shingle, counted, and those with enough matches are compared. So no pair that could
    add a link is left out, and no pair inside a component is formed.
 
+A pair knows both its sizes and thus the smallest intersection ``c`` it needs; that is
+more than ``ceil(t n)``. Its first ``l`` common shingles lie among the first
+``n - c + l`` of either set, so step 4 joins only entries at those places: variants that
+differ too much begin with shingles of their own and do not meet. In step 3 a pair of
+prefixes of ``p`` and ``q`` shingles needs ``c - max(n - p, m - q)`` matches at least.
+
 Comparison is exact on the 64-bit shingle hashes: 100 * intersection >= 75 * union.
 
 Null and empty texts have no set and link with nothing: they are components of their
@@ -49,12 +56,12 @@ WORDS, SIMILAR = 5, 75
 CELL_BITS = 22
 #: Shingles that a task counts at a time, and the least count that makes one frequent.
 CHUNK, FREQUENT = 2_000_000, 8
-LEVELS = (1, 2, 4, 8, 16)
+#: Matches that a document may ask for; each more is a row more for every pair that meets.
+LEVELS = (1, 2, 3)
 #: Share of shingles assumed to be held by one more document than the sketch can tell.
 PRIOR = 0.02
 #: Shingles estimated above this many documents are dealt over several tasks.
 HOT = 20_000
-HUB_ROUNDS = 2
 _BLOCK = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -179,36 +186,34 @@ def _sketch(rows: DataFrame) -> np.ndarray:
 # ---- prefixes ---------------------------------------------------------------
 
 
-def prefix(shingles: np.ndarray, estimates: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Prefix shingles, the level from which each counts, and the document's level."""
+def prefix(shingles: np.ndarray, estimates: np.ndarray) -> tuple[np.ndarray, int]:
+    """Prefix shingles in their order, and the document's level."""
     n = len(shingles)
     df = estimates[_cell(shingles)]
     order = np.argsort(np.floor(np.log2(df)), kind="stable")  # within a class by hash
     base = n - _needed(n)  # one less than the prefix of level 1
     held = np.cumsum(df[order].astype(np.float64))
-    best, cost = 0, None
-    for k, level in enumerate(LEVELS):
+    best, cost = 1, None
+    for level in LEVELS:
         if level > _needed(n):
             break
         size = base + level
         compared = (held[size - 1] - size + PRIOR * size) / level
         total = held[size - 1] + compared * n
         if cost is None or total < cost:
-            best, cost = k, total
-    size = base + LEVELS[best]
-    starts = np.asarray([base + x for x in LEVELS[: best + 1]])
-    return shingles[order[:size]], np.searchsorted(starts, np.arange(size), side="right").astype(np.int8), best
+            best, cost = level, total
+    return shingles[order[: base + best]], best
 
 
 def _prefixes(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFrame:
-    """token, g, n, at (level from which the token counts), own (level), salt."""
+    """token, g, n, pos (place of the token in the prefix), level, salt."""
     shared = docs.sparkSession.sparkContext.broadcast(estimates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, estimates, seen = Shingler(), shared.value, set()
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
-                tokens, at, keys, sizes, own, salts = [], [], [], [], [], []
+                tokens, pos, keys, sizes, levels, salts = [], [], [], [], [], []
                 for text in batch.column(0).slice(start, 500):
                     s = shingles(text.as_py())
                     if not len(s) or (key := set_key(s)) in seen:
@@ -216,22 +221,22 @@ def _prefixes(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFram
                     if len(seen) >= 1_000_000:
                         seen.clear()
                     seen.add(key)
-                    token, level, best = prefix(s, estimates)
+                    token, level = prefix(s, estimates)
                     tokens.append(token)
-                    at.append(level)
+                    pos.append(np.arange(len(token), dtype=np.int32))
                     keys += [key] * len(token)
                     sizes.append(np.full(len(token), len(s), dtype=np.int64))
-                    own.append(np.full(len(token), best, dtype=np.int8))
+                    levels.append(np.full(len(token), level, dtype=np.int8))
                     parts = estimates[_cell(token)] // HOT + 1
                     salts.append((int.from_bytes(key[:3], "little") % parts).astype(np.int32))
                 if tokens:
                     cat = np.concatenate
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cat(tokens).view(np.int64)), pa.array(keys, pa.binary()), pa.array(cat(sizes)), pa.array(cat(at)), pa.array(cat(own)), pa.array(cat(salts))],
-                        ["token", "g", "n", "at", "own", "salt"],
+                        [pa.array(cat(tokens).view(np.int64)), pa.array(keys, pa.binary()), pa.array(cat(sizes)), pa.array(cat(pos)), pa.array(cat(levels)), pa.array(cat(salts))],
+                        ["token", "g", "n", "pos", "level", "salt"],
                     )
 
-    schema = "token long, g binary, n long, at tinyint, own tinyint, salt int"
+    schema = "token long, g binary, n long, pos int, level tinyint, salt int"
     return docs.select(text_of(docs, text_col)).mapInArrow(run, schema)
 
 
@@ -273,16 +278,17 @@ def _kept(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _entries(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFrame:
+    """token, g, n, pos, level, share (thousandths of the prefix that other nodes hold too)."""
     shared = docs.sparkSession.sparkContext.broadcast(estimates)
     dealt = _prefixes(docs, estimates, text_col).repartition("token", "salt").sortWithinPartitions("token", "g")
-    kept = dealt.drop("salt").mapInArrow(lambda b: _kept(shared, b), "token long, g binary, n long, at tinyint, own tinyint")
+    kept = dealt.drop("salt").mapInArrow(lambda b: _kept(shared, b), "token long, g binary, n long, pos int, level tinyint")
     entries = stored(kept, "jaccard-entries")
     # a node needs as many shared shingles as some level asks for
-    counts = [F.count_if(F.col("at") <= k).alias(f"m{k}") for k in range(len(LEVELS))]
-    enough = [(F.col("own") >= k) & (F.col(f"m{k}") >= level) for k, level in enumerate(LEVELS)]
-    able = reduce(or_, enough)
-    nodes = entries.groupBy("g", "own").agg(*counts).where(able).select("g")
-    kept = stored(entries.join(nodes, "g", "left_semi"), "jaccard-able")
+    counts = [F.count_if(F.expr(f"pos < {_place('n', str(level))}")).alias(f"m{level}") for level in LEVELS]
+    able = reduce(or_, [(F.col("level") >= level) & (F.col(f"m{level}") >= level) for level in LEVELS])
+    share = F.expr(f"cast(1000 * held div {_place('n', 'level')} as int)").alias("share")
+    nodes = entries.groupBy("g", "n", "level").agg(F.count(F.lit(1)).alias("held"), *counts).where(able).select("g", share)
+    kept = stored(entries.join(nodes, "g"), "jaccard-able")
     drop_stored(entries)
     return kept
 
@@ -290,28 +296,34 @@ def _entries(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFrame
 # ---- pairs ------------------------------------------------------------------
 
 
+def _place(n: str, level: str) -> str:
+    """SQL: length of the prefix of a set of n at a level."""
+    return f"({n} - ({SIMILAR} * {n} + 99) div 100 + {level})"
+
+
+def _common(n: str, m: str) -> str:
+    """SQL: smallest intersection of similar sets of n and m."""
+    return f"(({SIMILAR} * ({n} + {m}) + {99 + SIMILAR}) div {100 + SIMILAR})"
+
+
 def _sizes_fit(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {SIMILAR} * greatest({a}, {b})"
 
 
-def _hub_pairs(entries: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
+def _hub_pairs(entries: DataFrame) -> DataFrame:
     """Each node with the hub of each of its tokens: a < b."""
-    if labels is not None:
-        entries = entries.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))
-    else:
-        entries = entries.withColumn("c", F.col("g"))
-    hub = F.struct(F.xxhash64("g", F.lit(turn)).alias("h"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c"), F.col("own").alias("hub_own"))
-    hubs = entries.groupBy("token").agg(F.min(hub).alias("x"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
-    met = entries.join(hubs.select("token", "x.*"), "token").where(f"c <> hub_c and {_sizes_fit('n', 'hub_n')}")
-    level = F.least("own", "hub_own")
-    pairs = met.groupBy(F.least("g", "hub").alias("a"), F.greatest("g", "hub").alias("b"), level.alias("level"))
+    hub = F.struct((-F.col("share")).alias("last"), F.xxhash64("g").alias("h"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("level").alias("hub_level"))
+    hubs = entries.groupBy("token").agg(F.min(hub).alias("x")).select("token", "x.*")
+    met = entries.join(hubs, "token").where(f"g <> hub and {_sizes_fit('n', 'hub_n')}")
+    behind = f"greatest(n - {_place('n', 'level')}, hub_n - {_place('hub_n', 'hub_level')})"
+    need = F.expr(f"greatest({_common('n', 'hub_n')} - {behind}, least(level, hub_level))")
+    pairs = met.groupBy(F.least("g", "hub").alias("a"), F.greatest("g", "hub").alias("b"), need.alias("need"))
     # pairs that meet too seldom at hubs are left to the last step, which counts all matches
-    return _enough(pairs.agg(F.count(F.lit(1)).alias("matches")))
+    return _enough(pairs)
 
 
-def _enough(pairs: DataFrame) -> DataFrame:
-    need = F.get(F.array(*map(F.lit, LEVELS)), F.col("level").cast("int"))
-    return pairs.where(F.col("matches") >= need).select("a", "b")
+def _enough(pairs) -> DataFrame:
+    return pairs.agg(F.count(F.lit(1)).alias("matches")).where("matches >= need").select("a", "b")
 
 
 def _rest_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -319,15 +331,14 @@ def _rest_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
     named = entries.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))
     mixed = named.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("token")
     open_ = named.join(mixed, "token", "left_semi")
-    x = open_.select("token", *[F.col(k).alias(f"{k}_a") for k in ("g", "n", "at", "own", "c")])
-    y = open_.select("token", *[F.col(k).alias(f"{k}_b") for k in ("g", "n", "at", "own", "c")])
-    level = F.least("own_a", "own_b")
+    x = open_.select("token", *[F.col(k).alias(f"{k}_a") for k in ("g", "n", "pos", "level", "c")])
+    y = open_.select("token", *[F.col(k).alias(f"{k}_b") for k in ("g", "n", "pos", "level", "c")])
+    level, common = "least(level_a, level_b)", _common("n_a", "n_b")
     pairs = (
         x.join(y, "token")
         .where(f"g_a < g_b and c_a <> c_b and {_sizes_fit('n_a', 'n_b')}")
-        .where((F.col("at_a") <= level) & (F.col("at_b") <= level))
-        .groupBy(F.col("g_a").alias("a"), F.col("g_b").alias("b"), level.alias("level"))
-        .agg(F.count(F.lit(1)).alias("matches"))
+        .where(f"pos_a < n_a - {common} + {level} and pos_b < n_b - {common} + {level}")
+        .groupBy(F.col("g_a").alias("a"), F.col("g_b").alias("b"), F.expr(level).alias("need"))
     )
     return _enough(pairs)
 
@@ -373,6 +384,14 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _links(docs: DataFrame, pairs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    wanted = pairs.select(F.col("a").alias("g")).union(pairs.select(F.col("b").alias("g"))).distinct()
+    sets = stored(_sets(docs, wanted.join(reps, "g"), id_col, text_col), "jaccard-sets")
+    links = stored(_linked(pairs, sets), "jaccard-links")
+    drop_stored(sets)
+    return links
+
+
 # ---- join -------------------------------------------------------------------
 
 
@@ -384,19 +403,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table = rows.where("block is null").select("id", "text_hash", "n", "g")
     entries = _entries(docs, _sketch(rows), text_col)
     reps = table.where("g is not null").groupBy("g").agg(F.min("id").alias("id"))
-    edges, tried, labels = None, None, None
-    for turn in range(HUB_ROUNDS + 1):
-        pairs = _rest_pairs(entries, labels) if turn == HUB_ROUNDS else _hub_pairs(entries, labels, turn)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "jaccard-pairs")
-        wanted = pairs.select(F.col("a").alias("g")).union(pairs.select(F.col("b").alias("g"))).distinct()
-        sets = stored(_sets(docs, wanted.join(reps, "g"), id_col, text_col), "jaccard-sets")
-        links = stored(_linked(pairs, sets), "jaccard-links")
-        drop_stored(sets)
-        tried = pairs if tried is None else tried.union(pairs)
-        edges = links if edges is None else edges.union(links)
-        labels = components(edges)
+    near_hubs = stored(_hub_pairs(entries), "jaccard-pairs")
+    edges = _links(docs, near_hubs, reps, id_col, text_col)
+    rest = stored(_rest_pairs(entries, components(edges)).join(near_hubs, ["a", "b"], "left_anti"), "jaccard-pairs")
+    drop_stored(entries)
+    labels = components(edges.union(_links(docs, rest, reps, id_col, text_col)))
     named = reps.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))
     lowest = named.groupBy("c").agg(F.min("id").alias("component_id"))
     by_set = named.join(lowest, "c").select("g", "component_id")
