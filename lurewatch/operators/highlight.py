@@ -54,12 +54,9 @@ def _lexicon_spans(text: Column) -> Column:
 
         return let(places, origin)
 
-    def of_folded(folded: Column) -> Column:
-        return let(spans(occurrences(folded, kinds)), lambda plain: F.when(
-            (F.size(plain) == 0) | tx.is_ascii(text) | ~text.rlike(tx.uneven_class()), plain
-        ).otherwise(led_back(plain)))
-
-    return let(tx.fold(text), of_folded)
+    return let(spans(occurrences(tx.fold(text), kinds)), lambda plain: F.when(
+        (F.size(plain) == 0) | tx.is_ascii(text) | ~text.rlike(tx.uneven_class()), plain
+    ).otherwise(led_back(plain)))
 
 
 def url_note(url: Column) -> Column:
