@@ -73,6 +73,30 @@ def test_the_built_in_estimator_finds_the_same_model(spark):
     assert np.allclose([r.m for r in margin], [r.x.dot(got.coefficients) + got.intercept for r in margin])
 
 
+def test_blocks_hold_one_fold_and_rows_without_entries_have_no_margin(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(90, 7)) * (rng.random((90, 7)) < 0.3)
+    x[[0, 40, 89]] = 0.0
+    rows = [(Vectors.sparse(7, np.flatnonzero(v), v[v != 0]), i % 2, i % 3) for i, v in enumerate(x)]
+    found = logistic.blocks(spark.createDataFrame(rows, ROWS).coalesce(1), 1).collect()
+    assert sorted(set(b.fold) for b in found) == [{0}, {1}, {2}]
+    w, each = rng.normal(size=7), rng.normal(size=90)
+    for b in found:
+        mine = np.arange(90) % 3 == b.fold[0]
+        assert np.allclose(b.margins(w), x[mine] @ w)
+        assert np.allclose(b.sums(each[mine], 7), x[mine].T @ each[mine]) and (b.y == (np.arange(90) % 2)[mine]).all()
+
+
+def test_rare_columns_need_few_passes(spark):
+    """Columns from every row's to a handful of rows': with ten pairs of steps it took 207 iterations."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 200)) * (rng.random((600, 200)) < np.geomspace(1.0, 0.005, 200))
+    y = (x[:, :40].sum(axis=1) + 2 * rng.normal(size=600) > 0).astype(int)
+    rows = [(Vectors.sparse(200, np.flatnonzero(v), v[v != 0]), int(t), 0) for v, t in zip(x, y)]
+    fit = logistic.fit_folds(spark.createDataFrame(rows, ROWS), 200, [1], c=400.0, max_iter=2000)[0]
+    assert len(fit.history) <= 170
+
+
 def test_one_class_and_no_rows(spark):
     _, _, rows = vectors(spark, 30)
     ones = logistic.fit_folds(rows.where("y = 1"), 6, [0], c=4.0, max_iter=50)[0]
