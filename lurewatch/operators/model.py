@@ -292,6 +292,15 @@ def fit_vectors(rows: DataFrame, space: DesignSpace) -> DataFrame:
     return stored(space.transform(rows, ("mail_id", "y", "fold")), "vectors")
 
 
+def even(rows: DataFrame) -> DataFrame:
+    """The same rows in one equal share for each core.
+
+    Every level of the trees is one pass that waits for its largest share; a stored table comes
+    back in shares as unequal as the files it was made from.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _fit_ensemble(vectors: DataFrame, spec: ModelSpec, fold: int):
     """An ensemble of all folds but one."""
     train = _balanced(vectors.where(F.col("fold") != fold), spec.kind != "gbt").persist(StorageLevel.MEMORY_AND_DISK)
@@ -411,8 +420,10 @@ def feature_importance(mail: DataFrame, trees: int = 250, top: int = 15) -> Data
     x = array_to_vector(F.array(*FEATURES)).alias("x")
     rows = stored(mail_features(mail.withColumn("y", y), ("y",)).select("y", x), "tabular")
     forest = RandomForestClassifier(
-        featuresCol="x", labelCol="y", numTrees=trees, maxDepth=30, seed=42
-    ).fit(rows)
+        featuresCol="x", labelCol="y", numTrees=trees, maxDepth=30, seed=42,
+        # a row remembers its node in every tree instead of walking down from the root in each pass
+        cacheNodeIds=True, maxMemoryInMB=NODE_MEMORY,
+    ).fit(even(rows))
     values = [(f, float(v)) for f, v in zip(FEATURES, forest.featureImportances.toArray())]
     frame = mail.sparkSession.createDataFrame(values, "feature string, importance double")
     return frame.orderBy(F.col("importance").desc(), "feature").limit(top)

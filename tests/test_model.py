@@ -97,6 +97,13 @@ def test_rare_columns_need_few_passes(spark):
     assert len(fit.history) <= 170
 
 
+def test_shares_of_a_forest_are_even_and_hold_every_row(spark):
+    uneven = spark.range(0, 4000, numPartitions=1).union(spark.range(4000, 4007, numPartitions=1))
+    shares = model.even(uneven).rdd.mapPartitions(lambda rows: [sorted(r.id for r in rows)]).collect()
+    assert sorted(sum(shares, [])) == list(range(4007))
+    assert len(shares) == spark.sparkContext.defaultParallelism and max(map(len, shares)) - min(map(len, shares)) <= 2
+
+
 def test_one_class_and_no_rows(spark):
     _, _, rows = vectors(spark, 30)
     ones = logistic.fit_folds(rows.where("y = 1"), 6, [0], c=4.0, max_iter=50)[0]
