@@ -66,6 +66,37 @@ def test_terms_are_tallied_before_the_shuffle(spark, clean, kind):
     assert {r.term: (r.df, r.total_tf) for r in textvec.term_document_frequency(table, kind).collect()} == {t: (want[0][t], want[1][t]) for t in want[0]}
 
 
+def test_a_task_sums_its_ngrams(clean, monkeypatch):
+    batches_ = [pa.RecordBatch.from_arrays([clean], ["clean"])] * 3
+    want = Counter(w for t in clean.to_pylist() for w in words_of(t, "char"))
+    for held in (grams.HELD, 10):
+        monkeypatch.setattr(grams, "HELD", held)
+        out = pa.Table.from_batches(grams.tally("char")(iter(batches_))).to_pylist()
+        got = Counter()
+        for r in out:
+            got[r["term"]] += r["total_tf"]
+        assert got == Counter({t: 3 * n for t, n in want.items()})
+        assert held == 10 or len(out) == len(want)  # one row a term and task
+
+
+def test_clean_text_equals_its_expressions(spark):
+    rng = random.Random(4)
+    odd = ["http", "HTTP", "https", "s", "://", "@", ".", "co", "m", " ", "\n", "\x1c", "\x0b", "a", "Z", "9", "_", "%", "+", "<", '"', "'", ")"]
+    texts = ["x@y.comhttp://z", "a@b.co@c.de@e.fr", "http://a\x1cb", "", None, "ÀÉ http://é.com/à x@é.com a.b@c.fr", "İ ſ K ﬁ ½ e\u0301 httpſ://q x@ſ.com"]
+    texts += ["".join(rng.choices(odd if i % 2 else [*odd, "é", "ſ", "İ", "а", "ﬁ", "\u2003", "\u0301"], k=rng.randint(1, 25))) for i in range(2000)]
+
+    def mask(t):
+        urls = F.when(t.contains("://"), F.regexp_replace(t, tx.URL, " URL_TOKEN ")).otherwise(t)
+        return F.when(t.contains("@"), F.regexp_replace(urls, tx.EMAIL, " EMAIL_TOKEN ")).otherwise(urls)
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    spelled = F.btrim(F.regexp_replace(tx.fold(mask(F.col("t"))), "[^a-z0-9_]+", " "))
+    got = rows.select(tx.clean_text(F.col("t")).alias("got"), spelled.alias("want"))
+    assert [r for r in got.collect() if r.got != r.want] == []
+    plan = rows.select(tx.clean_text(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in plan  # letters are folded by the kernel
+
+
 @pytest.mark.parametrize("kind", ["word", "char"])
 def test_vocabulary_counts(clean, kind):
     terms = tuple(sorted({t for x in clean.to_pylist() for t in words_of(x, kind)})[::2]) + ("zz", "zzz")
