@@ -23,6 +23,7 @@ result. Columns besides id and text are not read.
 
 from __future__ import annotations
 
+import gc
 import math
 import struct
 import uuid
@@ -38,13 +39,18 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lurewatch.functions.batches import flat, pieces
 from lurewatch.llm.bytebpe import PIECE, Cache
 from lurewatch.llm.common import stored, text_of, work_path
 
 END_ID = 2
+#: Bytes of text encoded at once; a longer text goes alone.
+TEXT_BYTES = 1 << 21
 #: Keys that an index part holds on average.
 PART_KEYS = 8192
 _BUCKET_KEYS = 4
+#: Slots looked at in one step of the search for pilots.
+_TRIALS = 1 << 14
 _DIRECT = 0x80000000
 _SHARD_MAGIC, _PART_MAGIC = b"LWSHARD1", b"LWINDEX1"
 _FOOTER, _HEADER = "<8sIIQQ", "<8sIII"
@@ -82,6 +88,16 @@ class LibraryEncoder:
         return [np.asarray(c.ids, dtype=self.kind).tobytes() for c in coded]
 
     def batch(self, texts: list[str]) -> list[bytes]:
+        # no cycles are made here; a collection would walk the lists of pieces again and again
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._batch(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
         get = self.known.get
         split = [None if any(s in t for s in self.specials) else PIECE.findall(t) for t in texts]
         coded = [list(map(get, pieces or ())) for pieces in split]
@@ -138,23 +154,34 @@ def build_hash(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts = np.concatenate(([0], np.cumsum(sizes)))
     pilots, slots = np.zeros(buckets, dtype=np.uint32), np.zeros(n, dtype=np.int64)
     taken = np.zeros(n, dtype=bool)
-    for b in np.argsort(-sizes, kind="stable"):
-        members = order[starts[b] : starts[b + 1]]
-        if len(members) < 2:
-            break
-        if len(np.unique(np.stack([low[members], high[members]], 1), axis=0)) < len(members):
-            raise ValueError("keys must differ")
-        first = 0
-        while True:
-            trial = np.arange(first, first + 32, dtype=np.uint64)[:, None]
-            at = np.sort(_slot(high[members][None, :], trial, n).astype(np.int64), axis=1)
-            good = ~taken[at].any(axis=1) & (at[:, 1:] != at[:, :-1]).all(axis=1)
-            if good.any():
-                pilots[b] = first + int(np.argmax(good))
-                slots[members] = _slot(high[members], pilots[b], n).astype(np.int64)
-                taken[slots[members]] = True
-                break
-            first += 32
+    by_key = np.lexsort((high, low))
+    if ((low[by_key][1:] == low[by_key][:-1]) & (high[by_key][1:] == high[by_key][:-1])).any():
+        raise ValueError("keys must differ")
+    # buckets of one size look for their pilots together, the largest first
+    for size in range(int(sizes.max(initial=0)), 1, -1):
+        left = np.flatnonzero(sizes == size)
+        first = np.zeros(len(left), dtype=np.uint64)
+        while len(left):
+            members = order[starts[left][:, None] + np.arange(size)]
+            trial = first[:, None] + np.arange(max(1, min(256, _TRIALS // (size * len(left)))), dtype=np.uint64)
+            at = _slot(high[members][:, None, :], trial[:, :, None], n).astype(np.int64)
+            apart = np.sort(at, axis=2)
+            good = ~taken[at].any(axis=2) & (apart[:, :, 1:] != apart[:, :, :-1]).all(axis=2)
+            found, which = good.any(axis=1), np.argmax(good, axis=1)
+            here = np.flatnonzero(found)
+            at = at[here, which[here]]
+            # of buckets that want the same slot the first gets it
+            owner = np.zeros(n, dtype=np.int64)
+            owner[at[::-1]] = here[::-1, None]
+            won = (owner[at] == here[:, None]).all(axis=1)
+            done, at = here[won], at[won]
+            pilots[left[done]] = trial[done, which[done]]
+            slots[members[done]] = at
+            taken[at] = True
+            first = np.where(found, trial[np.arange(len(left)), which], trial[:, -1]) + np.uint64(1)
+            rest = np.ones(len(left), dtype=bool)
+            rest[done] = False
+            left, first = left[rest], first[rest]
     # buckets of one key name a free slot outright
     single = np.flatnonzero(sizes == 1)
     free = np.flatnonzero(~taken)
@@ -298,8 +325,8 @@ def write_store(
         entry = lambda k, first, n: (k, first, n)
         for batch in batches:
             done = []
-            for start in range(0, batch.num_rows, 256):
-                rows = batch.slice(start, 256)
+            for first, last in pieces(flat(batch.column(1))[1], TEXT_BYTES):
+                rows = batch.slice(first, last - first)
                 file = file or _Writer(folder, f"shard-{shard:06d}")
                 for key, ids in zip(rows.column(0).to_pylist(), own.batch(rows.column(1).to_pylist())):
                     if held is not None and held[0] == key:

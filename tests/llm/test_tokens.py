@@ -1,5 +1,6 @@
 """Token operators against the tokenizers library."""
 
+import gc
 import hashlib
 import random
 import zlib
@@ -139,6 +140,24 @@ def test_hash_is_minimal_and_perfect():
         token_store.build_hash(*token_store.key_hashes([b"a", b"a", b"b", b"c"]))
 
 
+def test_no_collection_while_a_batch_is_encoded(library, monkeypatch):
+    own, seen = token_store.LibraryEncoder(PATH), []
+    many = own._many
+    monkeypatch.setattr(own, "_many", lambda pieces: seen.append(gc.isenabled()) or many(pieces))
+    got = own.batch(["a b", "", "a b c"])
+    assert [np.frombuffer(x, own.kind).tolist() for x in got] == [ids_of(library, t) + [2] for t in ("a b", "", "a b c")]
+    assert seen and not any(seen) and gc.isenabled()
+
+
+def test_buckets_look_for_their_pilots_together(monkeypatch):
+    low, high = token_store.key_hashes([str(k).encode() for k in range(8192)])
+    steps, slot = [], token_store._slot
+    monkeypatch.setattr(token_store, "_slot", lambda *a: steps.append(1) or slot(*a))
+    pilots, slots = token_store.build_hash(low, high)
+    assert len(steps) < len(pilots) / 4
+    assert sorted(slots) == list(range(8192)) and (token_store.find_slots(low, high, pilots, 8192) == slots).all()
+
+
 def test_store_returns_every_record(spark, docs, library):
     store = token_store.write_store(docs, PATH, shards=3)
     rows = token_store.read_records(token_store.look_up(docs, store), store, payload=True).collect()
