@@ -9,7 +9,9 @@ longer prefix thus asks for more shared shingles, and each document chooses its
 estimated cost: entries that its prefix meets, plus the sets that must be compared
 if only those with l matches are.
 
-1. Documents with equal sets become one node (128-bit hash of the sorted set).
+1. Documents with equal sets become one node, named by half of a 128-bit hash of the
+   sorted set. The other half is compared over all documents of a node; should it ever
+   differ, the sets are hashed again with another seed.
 2. Prefix shingles of the nodes are dealt by shingle and sorted; only entries whose
    shingle another node holds are kept. Shingles that the sketch takes for very
    frequent are dealt over several tasks.
@@ -39,8 +41,10 @@ columns besides id and text are not read. Texts are read whole.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 from operator import or_
 
 import numpy as np
@@ -94,10 +98,11 @@ def _cell(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def set_key(shingles: np.ndarray) -> bytes:
+def set_key(shingles: np.ndarray, seed: int = 0) -> tuple[int, int]:
+    """Key of a set's node, and a second hash that tells sets of one key apart; both signed."""
     import xxhash
 
-    return xxhash.xxh3_128_digest(shingles.tobytes())
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(shingles.tobytes(), seed))
 
 
 def _needed(n: int) -> int:
@@ -108,8 +113,8 @@ def _needed(n: int) -> int:
 # ---- documents and sketch ---------------------------------------------------
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text_hash, n, g (key of the set) of each row, and the tasks' sketches: block, cells."""
+def _documents(docs: DataFrame, id_col: str, text_col: str, seed: int = 0) -> DataFrame:
+    """id, text_hash, n, g (key of the set), h (its second hash) of each row, and the tasks' sketches: block, cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, cells, seen = Shingler(), np.zeros(1 << CELL_BITS, dtype=np.int32), set()
@@ -118,7 +123,7 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for start in range(0, batch.num_rows, 500):
                 some = batch.slice(start, 500)
                 found = [shingles(text.as_py()) for text in some.column(2)]
-                keys = [set_key(s) if len(s) else None for s in found]
+                keys = [set_key(s, seed) if len(s) else None for s in found]
                 for key, s in zip(keys, found):
                     if key is not None and key not in seen:
                         seen.add(key)
@@ -136,9 +141,10 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, blocks, raw)
 
     def rows(ids, hashes, n, keys, blocks, cells) -> pa.RecordBatch:
+        g, h = (pa.array([k and k[i] for k in keys], pa.int64()) for i in (0, 1))
         return pa.RecordBatch.from_arrays(
-            [ids, hashes, pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(blocks, pa.int32()), pa.array(cells, pa.binary())],
-            ["id", "text_hash", "n", "g", "block", "cells"],
+            [ids, hashes, pa.array(n, pa.int64()), g, h, pa.array(blocks, pa.int32()), pa.array(cells, pa.binary())],
+            ["id", "text_hash", "n", "g", "h", "block", "cells"],
         )
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -147,7 +153,13 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_of(docs, text_col)
     chosen = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
-    return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g binary, block int, cells binary"), "jaccard-documents")
+    return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g long, h long, block int, cells binary"), "jaccard-documents")
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """g, id (smallest of its documents), clash (whether different sets share the key)."""
+    sets = rows.where("g is not null").groupBy("g")
+    return sets.agg(F.min("id").alias("id"), (F.min("h") != F.max("h")).alias("clash"))
 
 
 def _add_repeated(cells: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -205,7 +217,7 @@ def prefix(shingles: np.ndarray, estimates: np.ndarray) -> tuple[np.ndarray, int
     return shingles[order[: base + best]], best
 
 
-def _prefixes(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFrame:
+def _prefixes(docs: DataFrame, estimates: np.ndarray, text_col: str, seed: int) -> DataFrame:
     """token, g, n, pos (place of the token in the prefix), level, salt."""
     shared = docs.sparkSession.sparkContext.broadcast(estimates)
 
@@ -216,7 +228,7 @@ def _prefixes(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFram
                 tokens, pos, keys, sizes, levels, salts = [], [], [], [], [], []
                 for text in batch.column(0).slice(start, 500):
                     s = shingles(text.as_py())
-                    if not len(s) or (key := set_key(s)) in seen:
+                    if not len(s) or (key := set_key(s, seed)[0]) in seen:
                         continue
                     if len(seen) >= 1_000_000:
                         seen.clear()
@@ -224,19 +236,19 @@ def _prefixes(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFram
                     token, level = prefix(s, estimates)
                     tokens.append(token)
                     pos.append(np.arange(len(token), dtype=np.int32))
-                    keys += [key] * len(token)
+                    keys.append(np.full(len(token), key, dtype=np.int64))
                     sizes.append(np.full(len(token), len(s), dtype=np.int64))
                     levels.append(np.full(len(token), level, dtype=np.int8))
                     parts = estimates[_cell(token)] // HOT + 1
-                    salts.append((int.from_bytes(key[:3], "little") % parts).astype(np.int32))
+                    salts.append(((key & 0xFFFFFF) % parts).astype(np.int32))
                 if tokens:
                     cat = np.concatenate
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cat(tokens).view(np.int64)), pa.array(keys, pa.binary()), pa.array(cat(sizes)), pa.array(cat(pos)), pa.array(cat(levels)), pa.array(cat(salts))],
+                        [pa.array(cat(tokens).view(np.int64)), pa.array(cat(keys)), pa.array(cat(sizes)), pa.array(cat(pos)), pa.array(cat(levels)), pa.array(cat(salts))],
                         ["token", "g", "n", "pos", "level", "salt"],
                     )
 
-    schema = "token long, g binary, n long, pos int, level tinyint, salt int"
+    schema = "token long, g long, n long, pos int, level tinyint, salt int"
     return docs.select(text_of(docs, text_col)).mapInArrow(run, schema)
 
 
@@ -245,11 +257,10 @@ def _kept(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     hot, held = shared.value, None
 
     def edge(table: pa.Table, final: bool) -> tuple[pa.Table, pa.Table]:
-        token, g = table["token"].to_numpy(), table["g"].combine_chunks()
+        token, g = table["token"].to_numpy(), table["g"].to_numpy()
         same_token = np.concatenate(([False], token[1:] == token[:-1]))
         again = same_token.copy()
-        if len(token) > 1:
-            again[1:] &= pa.compute.equal(g[1:], g[:-1]).to_numpy(zero_copy_only=False)
+        again[1:] &= g[1:] == g[:-1]
         table, token, same = table.filter(pa.array(~again)), token[~again], same_token[~again]
         other = same.copy()
         other[:-1] |= same[1:]
@@ -262,8 +273,6 @@ def _kept(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         last = last.set_column(last.column_names.index("more"), "more", pa.array([bool(other[-1])]))
         return table.slice(0, len(table) - 1).filter(pa.array(other[:-1])), last
 
-    import pyarrow.compute  # noqa: F401
-
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -277,11 +286,11 @@ def _kept(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from edge(held, True)[0].drop_columns(["more"]).combine_chunks().to_batches()
 
 
-def _entries(docs: DataFrame, estimates: np.ndarray, text_col: str) -> DataFrame:
+def _entries(docs: DataFrame, estimates: np.ndarray, text_col: str, seed: int) -> DataFrame:
     """token, g, n, pos, level, share (thousandths of the prefix that other nodes hold too)."""
     shared = docs.sparkSession.sparkContext.broadcast(estimates)
-    dealt = _prefixes(docs, estimates, text_col).repartition("token", "salt").sortWithinPartitions("token", "g")
-    kept = dealt.drop("salt").mapInArrow(lambda b: _kept(shared, b), "token long, g binary, n long, pos int, level tinyint")
+    dealt = _prefixes(docs, estimates, text_col, seed).repartition("token", "salt").sortWithinPartitions("token", "g")
+    kept = dealt.drop("salt").mapInArrow(lambda b: _kept(shared, b), "token long, g long, n long, pos int, level tinyint")
     entries = stored(kept, "jaccard-entries")
     # a node needs as many shared shingles as some level asks for
     counts = [F.count_if(F.expr(f"pos < {_place('n', str(level))}")).alias(f"m{level}") for level in LEVELS]
@@ -312,7 +321,7 @@ def _sizes_fit(a: str, b: str) -> str:
 
 def _hub_pairs(entries: DataFrame) -> DataFrame:
     """Each node with the hub of each of its tokens: a < b."""
-    hub = F.struct((-F.col("share")).alias("last"), F.xxhash64("g").alias("h"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("level").alias("hub_level"))
+    hub = F.struct((-F.col("share")).alias("last"), F.col("g").alias("hub"), F.col("n").alias("hub_n"), F.col("level").alias("hub_level"))
     hubs = entries.groupBy("token").agg(F.min(hub).alias("x")).select("token", "x.*")
     met = entries.join(hubs, "token").where(f"g <> hub and {_sizes_fit('n', 'hub_n')}")
     behind = f"greatest(n - {_place('n', 'level')}, hub_n - {_place('hub_n', 'hub_level')})"
@@ -343,7 +352,7 @@ def _rest_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return _enough(pairs)
 
 
-def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
     """g, s (shingles) of the wanted nodes, and of a few others; some may come twice.
 
     reps: id, g. Only rows that a bitmap of the wanted ids lets through are shingled.
@@ -357,18 +366,18 @@ def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataF
                 found = {}
                 for text in batch.column(0).slice(start, 500):
                     s = shingles(text.as_py())
-                    if len(s) and (key := set_key(s)) not in seen:
+                    if len(s) and (key := set_key(s, seed)[0]) not in seen:
                         found[key] = s.view(np.int64)
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.update(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.binary()), pa.array(found.values(), pa.list_(pa.int64()))], ["g", "s"]
+                    [pa.array(found, pa.int64()), pa.array(found.values(), pa.list_(pa.int64()))], ["g", "s"]
                 )
 
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("t"))
     near = maybe_in(rows, reps.select("id"), "id", FILTER_BITS)
-    return near.select("t").mapInArrow(run, "g binary, s array<bigint>")
+    return near.select("t").mapInArrow(run, "g long, s array<bigint>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -384,9 +393,9 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _links(docs: DataFrame, pairs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _links(docs: DataFrame, pairs: DataFrame, reps: DataFrame, id_col: str, text_col: str, seed: int) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("g")).union(pairs.select(F.col("b").alias("g"))).distinct()
-    sets = stored(_sets(docs, wanted.join(reps, "g"), id_col, text_col), "jaccard-sets")
+    sets = stored(_sets(docs, wanted.join(reps, "g"), id_col, text_col, seed), "jaccard-sets")
     links = stored(_linked(pairs, sets), "jaccard-links")
     drop_stored(sets)
     return links
@@ -399,15 +408,21 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Per row: id, n_shingles, component_id (smallest id reachable by links), text_hash."""
     # whole texts go to Python a thousand at a time, not ten thousand
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
-    rows = _documents(docs, id_col, text_col)
+    for seed in count():
+        rows = _documents(docs, id_col, text_col, seed)
+        reps = stored(_nodes(rows), "jaccard-nodes")
+        if reps.where("clash").isEmpty():
+            break
+        drop_stored(rows)
+        drop_stored(reps)
+    reps = reps.drop("clash")
     table = rows.where("block is null").select("id", "text_hash", "n", "g")
-    entries = _entries(docs, _sketch(rows), text_col)
-    reps = table.where("g is not null").groupBy("g").agg(F.min("id").alias("id"))
+    entries = _entries(docs, _sketch(rows), text_col, seed)
     near_hubs = stored(_hub_pairs(entries), "jaccard-pairs")
-    edges = _links(docs, near_hubs, reps, id_col, text_col)
+    edges = _links(docs, near_hubs, reps, id_col, text_col, seed)
     rest = stored(_rest_pairs(entries, components(edges)).join(near_hubs, ["a", "b"], "left_anti"), "jaccard-pairs")
     drop_stored(entries)
-    labels = components(edges.union(_links(docs, rest, reps, id_col, text_col)))
+    labels = components(edges.union(_links(docs, rest, reps, id_col, text_col, seed)))
     named = reps.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))
     lowest = named.groupBy("c").agg(F.min("id").alias("component_id"))
     by_set = named.join(lowest, "c").select("g", "component_id")

@@ -217,6 +217,18 @@ def test_near_copies_equal_brute_force(spark):
     assert jaccard_join.similar_groups(docs.where("false")).count() == 0
 
 
+def test_sets_that_share_a_key_are_hashed_again(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, 7, 3), (2, 7, 3), (4, 8, 1), (3, 8, 2), (5, None, None)], "id long, g long, h long")
+    nodes = jaccard_join._nodes
+    assert sorted(map(tuple, nodes(rows).collect())) == [(7, 1, False), (8, 3, True)]
+    seeds, documents = [], jaccard_join._documents
+    monkeypatch.setattr(jaccard_join, "_documents", lambda *a: seeds.append(a[3]) or documents(*a))
+    monkeypatch.setattr(jaccard_join, "_nodes", lambda r: nodes(r).withColumn("clash", F.lit(len(seeds) < 2)))
+    docs = spark.createDataFrame(near_rows(), "doc_id long, text string, component_id string")
+    got = jaccard_join.similar_groups(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert seeds == [0, 1] and sorted(map(tuple, got), key=str) == brute_components(near_rows())
+
+
 # ---- benchmark -------------------------------------------------------------
 
 
