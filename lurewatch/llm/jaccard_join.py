@@ -30,6 +30,12 @@ more than ``ceil(t n)``. Its first ``l`` common shingles lie among the first
 differ too much begin with shingles of their own and do not meet. In step 3 a pair of
 prefixes of ``p`` and ``q`` shingles needs ``c - max(n - p, m - q)`` matches at least.
 
+A node has a signature: 512 bits, each the parity of how many of its shingles fall to it.
+Every bit that differs takes a shingle that only one of two sets holds, so sets whose
+signatures differ in more than ``n + m - 2 c`` bits are not similar, and step 4 does
+not join them. That keeps variants of one text, all a little too far from each other,
+from meeting at every shingle that most of them share.
+
 Comparison is exact on the 64-bit shingle hashes: 100 * intersection >= 75 * union.
 
 Null and empty texts have no set and link with nothing: they are components of their
@@ -66,6 +72,9 @@ LEVELS = (1, 2, 3)
 PRIOR = 0.02
 #: Shingles estimated above this many documents are dealt over several tasks.
 HOT = 20_000
+#: Bits of a signature, and the columns of 64 of them each.
+SIGN_BITS = 512
+SIGNS = [f"s{k}" for k in range(SIGN_BITS // 64)]
 _BLOCK = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -105,6 +114,13 @@ def set_key(shingles: np.ndarray, seed: int = 0) -> tuple[int, int]:
     return struct.unpack("<qq", xxhash.xxh3_128_digest(shingles.tobytes(), seed))
 
 
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles that fall to each bit."""
+    bit = shingles >> np.uint64(65 - SIGN_BITS.bit_length())
+    odd = np.bincount(bit.astype(np.int64), minlength=SIGN_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _needed(n: int) -> int:
     """Smallest possible intersection of a set of n with a similar one."""
     return -(-SIMILAR * n // 100)
@@ -114,7 +130,7 @@ def _needed(n: int) -> int:
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str, seed: int = 0) -> DataFrame:
-    """id, text_hash, n, g (key of the set), h (its second hash) of each row, and the tasks' sketches: block, cells."""
+    """id, text_hash, n, g (key of the set), h (its second hash), signature of each row, and the tasks' sketches: block, cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, cells, seen = Shingler(), np.zeros(1 << CELL_BITS, dtype=np.int32), set()
@@ -133,18 +149,20 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, seed: int = 0) -> Da
                     _add_repeated(cells, held)
                     held, size, seen = [], 0, set()
                 none = [None] * len(found)
-                yield rows(some.column(0), some.column(1), list(map(len, found)), keys, none, none)
+                yield rows(some.column(0), some.column(1), list(map(len, found)), keys, none, none, np.stack(list(map(signature, found))))
         _add_repeated(cells, held)
         parts = [(k, p) for k, p in enumerate(cells.reshape(-1, _BLOCK)) if p.any()]
         if parts:
             none, blocks, raw = [None] * len(parts), [k for k, _ in parts], [p.astype("<i4").tobytes() for _, p in parts]
-            yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, blocks, raw)
+            signs = np.zeros((len(parts), len(SIGNS)), dtype=np.int64)
+            yield rows(pa.nulls(len(parts), id_type), pa.nulls(len(parts), pa.int64()), none, none, blocks, raw, signs)
 
-    def rows(ids, hashes, n, keys, blocks, cells) -> pa.RecordBatch:
+    def rows(ids, hashes, n, keys, blocks, cells, signs) -> pa.RecordBatch:
         g, h = (pa.array([k and k[i] for k in keys], pa.int64()) for i in (0, 1))
         return pa.RecordBatch.from_arrays(
-            [ids, hashes, pa.array(n, pa.int64()), g, h, pa.array(blocks, pa.int32()), pa.array(cells, pa.binary())],
-            ["id", "text_hash", "n", "g", "h", "block", "cells"],
+            [ids, hashes, pa.array(n, pa.int64()), g, h, pa.array(blocks, pa.int32()), pa.array(cells, pa.binary())]
+            + [pa.array(np.ascontiguousarray(column)) for column in signs.T],
+            ["id", "text_hash", "n", "g", "h", "block", "cells", *SIGNS],
         )
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -153,7 +171,8 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, seed: int = 0) -> Da
     kind = docs.schema[id_col].dataType.simpleString()
     text = text_of(docs, text_col)
     chosen = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("h"), text.alias("t"))
-    return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g long, h long, block int, cells binary"), "jaccard-documents")
+    signs = ", ".join(f"{s} long" for s in SIGNS)
+    return stored(chosen.mapInArrow(run, f"id {kind}, text_hash long, n long, g long, h long, block int, cells binary, {signs}"), "jaccard-documents")
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -335,18 +354,22 @@ def _enough(pairs) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("matches")).where("matches >= need").select("a", "b")
 
 
-def _rest_pairs(entries: DataFrame, labels: DataFrame) -> DataFrame:
+def _rest_pairs(entries: DataFrame, labels: DataFrame, rows: DataFrame) -> DataFrame:
     """Pairs in different components with the matches that the smaller of their levels asks for."""
-    named = entries.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))
+    signed = rows.where("g is not null").groupBy("g").agg(*[F.min(s).alias(s) for s in SIGNS])
+    nodes = signed.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))
+    named = entries.join(nodes, "g")
     mixed = named.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("token")
     open_ = named.join(mixed, "token", "left_semi")
-    x = open_.select("token", *[F.col(k).alias(f"{k}_a") for k in ("g", "n", "pos", "level", "c")])
-    y = open_.select("token", *[F.col(k).alias(f"{k}_b") for k in ("g", "n", "pos", "level", "c")])
+    x = open_.select("token", *[F.col(k).alias(f"{k}_a") for k in ("g", "n", "pos", "level", "c", *SIGNS)])
+    y = open_.select("token", *[F.col(k).alias(f"{k}_b") for k in ("g", "n", "pos", "level", "c", *SIGNS)])
     level, common = "least(level_a, level_b)", _common("n_a", "n_b")
+    apart = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SIGNS)
     pairs = (
         x.join(y, "token")
         .where(f"g_a < g_b and c_a <> c_b and {_sizes_fit('n_a', 'n_b')}")
         .where(f"pos_a < n_a - {common} + {level} and pos_b < n_b - {common} + {level}")
+        .where(f"{apart} <= n_a + n_b - 2 * {common}")
         .groupBy(F.col("g_a").alias("a"), F.col("g_b").alias("b"), F.expr(level).alias("need"))
     )
     return _enough(pairs)
@@ -420,7 +443,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     entries = _entries(docs, _sketch(rows), text_col, seed)
     near_hubs = stored(_hub_pairs(entries), "jaccard-pairs")
     edges = _links(docs, near_hubs, reps, id_col, text_col, seed)
-    rest = stored(_rest_pairs(entries, components(edges)).join(near_hubs, ["a", "b"], "left_anti"), "jaccard-pairs")
+    rest = stored(_rest_pairs(entries, components(edges), rows).join(near_hubs, ["a", "b"], "left_anti"), "jaccard-pairs")
     drop_stored(entries)
     labels = components(edges.union(_links(docs, rest, reps, id_col, text_col, seed)))
     named = reps.join(labels.withColumnRenamed("u", "g"), "g", "left").withColumn("c", F.coalesce("c", "g"))

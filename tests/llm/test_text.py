@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,6 +230,33 @@ def test_sets_that_share_a_key_are_hashed_again(spark, monkeypatch):
     assert seeds == [0, 1] and sorted(map(tuple, got), key=str) == brute_components(near_rows())
 
 
+def test_signatures_part_variants_that_are_not_similar(spark):
+    """Eighty variants of one text, each pair a little too far apart, and two that are close: only these are compared."""
+    rng, base = random.Random(11), [f"w{k}" for k in range(150)]
+    texts = []
+    for v in range(80):
+        words = list(base)
+        for k in rng.sample(range(0, 150, 6), 6):
+            words[k] = f"e{v}x{k}"
+        texts.append(" ".join(words))
+    texts.append(texts[0].replace("w149", "other"))
+    sets = [jaccard_join.Shingler()(t) for t in texts]
+    keys, links = [jaccard_join.set_key(s)[0] for s in sets], set()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            differ = sum(int(x).bit_count() for x in (jaccard_join.signature(a) ^ jaccard_join.signature(b)).view(np.uint64))
+            assert differ <= len(a) + len(b) - 2 * both
+            if 100 * both >= 75 * (len(a) + len(b) - both):
+                links.add((min(keys[i], keys[j]), max(keys[i], keys[j])))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = jaccard_join._documents(docs, "doc_id", "text")
+    entries = jaccard_join._entries(docs, np.ones(1 << jaccard_join.CELL_BITS, np.int32), "text", 0)
+    pairs = jaccard_join._rest_pairs(entries, spark.createDataFrame([], "u long, c long"), rows).collect()
+    assert links and links <= {(r["a"], r["b"]) for r in pairs}
+    assert len(pairs) < 80 * 79 // 2 // 4
+
+
 # ---- benchmark -------------------------------------------------------------
 
 
