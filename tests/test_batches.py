@@ -130,3 +130,40 @@ def test_characters_are_drawn_as_columns_are(spark):
             like = [dst[src.index(c)] if c in src and table[k, i] < draws.below(0.6) else c for k, c in enumerate(t)]
             assert got[i] == (t, "".join(mark), "".join(like))
     assert got[1] == (None, None, None) and got[None] == ("abc", "abc", "abc")
+
+
+def test_only_entries_that_may_be_among_the_strongest_leave_the_kernel(spark):
+    """Row 0 has ties at its second place (one by rounding only), row 1 has no entry, row 2 fewer than two."""
+    row = np.array([0, 0, 0, 0, 0, 2])
+    value = np.array([0.1, 0.5, 0.3, 0.3 - 4e-10, 0.2, 0.0])
+    assert textvec.strongest(row, value, 2, 3).tolist() == [False, True, True, True, False, True]
+    assert textvec.strongest(row[:0], value[:0], 2, 3).tolist() == []
+
+    rows = [(0, "b b b a c c d d e"), (1, None), (2, ""), (3, "e"), (4, "d c b a"), (5, "a a zz")]
+    docs = spark.createDataFrame(rows, "mail_id long, clean string")
+    space = textvec.TextSpace("word", ["bb", "cc", "dd", "ee", "dd ee"], [1.5, 1.0, 1.0, 1.0, 2.0])
+    docs = docs.withColumn("clean", F.regexp_replace("clean", "(\\w)", "$1$1"))
+    for weights in (None, {"cc": -2.0, "ee": 1.0}, {}):
+        want = {}
+        for r in space.long_weights(docs).collect():
+            c = round(r["weight"] * (1.0 if weights is None else weights.get(r["term"], 0.0)), 9)
+            want.setdefault(r["mail_id"], []).append((-abs(c), r["term"], c))
+        want = sorted((i, k + 1, t, c) for i, found in want.items() for k, (_, t, c) in enumerate(sorted(found)[:2]))
+        assert sorted(map(tuple, space.top_terms(docs, weights, 2).collect())) == want
+
+
+@pytest.mark.parametrize("cap", [3, 10, 40, 4000])
+def test_vocabulary_counts_only_pairs_of_words_in_reach(spark, monkeypatch, cap):
+    """The kept terms are those of all words and pairs, ties at the cap included; a word of nearly every row is left out."""
+    monkeypatch.setattr(textvec, "LIMITS", {"word": (2, 0.9, cap), "char": textvec.LIMITS["char"]})
+    rng = random.Random(cap)
+    texts = ["the " + " ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(30)) for _ in range(60)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "clean string")
+    every = textvec.term_document_frequency(docs).collect()
+    want = sorted((r for r in every if 2 <= r["df"] <= 0.9 * len(texts)), key=lambda r: (-r["total_tf"], r["term"]))[:cap]
+    got = textvec.vocabulary(docs).collect()
+    assert sorted((r["term"], r["df"], r["total_tf"]) for r in got) == sorted(map(tuple, want))
+    among = textvec._words_in_reach(docs)
+    assert (among is None) == (cap == 4000)
+    if among is not None:
+        assert textvec.term_document_frequency(docs, "word", among).count() < len(every)
