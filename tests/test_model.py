@@ -118,6 +118,15 @@ def test_rows_are_bounded_and_dealt_out(spark, mail):
     assert len(sizes) == 6 and few.rdd.getNumPartitions() > 1
 
 
+def test_a_model_learns_from_every_mail(spark):
+    """More mails than the 200 000 that a fit used to stop at."""
+    n = 200_500
+    mails = spark.range(n).selectExpr("id AS mail_id", "CAST(id % 2 AS INT) AS label")
+    learned = model.learned_rows(mails)
+    assert learned.select("mail_id").distinct().count() == learned.count() == n
+    assert {(r.fold, r.y) for r in learned.groupBy("fold", "y").count().collect() if abs(r["count"] - n / 6) <= 1} == {(k, y) for k in range(3) for y in (0, 1)}
+
+
 def test_design_matrix_holds_its_blocks_in_order(mail, space, rows):
     got = space.transform(mail, ("mail_id",)).where("mail_id = 7").first()
     assert got.x.size == space.width == len(FEATURES) + len(space.texts["word"].terms)
