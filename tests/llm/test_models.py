@@ -132,6 +132,55 @@ def test_trigram_predictions_sum_to_one():
             assert math.isclose(everything.sum() + shown * behind * unknown, 1.0, rel_tol=1e-9)
 
 
+def test_a_sweep_draws_where_tables_can_differ(monkeypatch):
+    """The seating is that of a draw over all dishes; dishes of one customer are not handed to it."""
+    rng = np.random.default_rng(8)
+    block = ngram_model.Block()
+    for k in range(60):
+        block.add(k, k % 7 == 2, " ".join(f"w{j}" for j in rng.zipf(1.6, 40) % 400))
+    _, requests = block.close(1, {})
+    part, whole = (ngram_model.Part([r for _, r in requests], {}) for _ in range(2))
+    one, two = part.shared()
+    for p in (part, whole):
+        p.take(one, two, np.minimum(two, 1))
+    model = ngram_model.Model(int(part.customers.sum()), len(part.t0), (0.7, 0.6, 0.5), *part.begin)
+    logs = [pitman_yor.stirling(d, pitman_yor.EXACT) for d in model.discounts]
+    draws, of_all = (np.random.default_rng(2) for _ in range(2))
+    handed, draw = [], pitman_yor.draw_tables
+    monkeypatch.setattr(pitman_yor, "draw_tables", lambda customers, *rest: handed.append(customers) or draw(customers, *rest))
+    for k in range(3):
+        part.sweep(model, logs, draws)
+        (d3, d2, d0), p = model.discounts, whole
+        p0, p1, _ = p.predict(model)
+        t3, _, t2, *_ = p.totals(model)
+        p.t3 = draw(p.customers, p1[p.up], t3[p.context] - p.t3, d3, logs[0], of_all)
+        p.c2 = np.bincount(p.up, weights=p.t3).astype(np.int64)
+        p.t2 = draw(p.c2, p0[p.word], t2[p.last] - p.t2, d2, logs[1], of_all)
+        c0, _, tables = p.totals(model)[3:]
+        p.t0 = draw(c0, np.full(len(c0), 1 / (model.types + 1)), np.maximum(tables - p.t0, 0), d0, logs[2], of_all)
+        assert all((x == y).all() for x, y in zip((part.t3, part.c2, part.t2, part.t0), (p.t3, p.c2, p.t2, p.t0)))
+        assert (handed[3 * k] > 1).all() and (handed[3 * k + 1] > 1).all() and len(handed[3 * k]) < len(part.customers)
+        if k == 1:  # a later task takes the seating up where this one left it
+            later = ngram_model.Part([r for _, r in requests], {})
+            draws = later.seat(part.seats(draws))
+            sums, tables = part.shared(), part.t0[part.order]
+            for p in (later, whole):
+                p.take(*sums, tables)
+            part = later
+    assert (part.t3 > 1).any() and np.allclose(part.predict(model)[2], whole.predict(model)[2], rtol=0, atol=0)
+
+
+def test_shuffles_of_stored_sums_are_dropped(spark, monkeypatch):
+    """Each round of the parts moves all trigrams; only one of them may lie on the disk at a time."""
+    shown = []
+    keep = ngram_model.stored
+    monkeypatch.setattr(ngram_model, "stored", lambda df, name: shown.append((name, spark.conf.get(ngram_model._CLEANUP, None))) or keep(df, name))
+    docs = spark.createDataFrame([(k, f"a b c w{k % 5}") for k in range(40)], "doc_id long, text string")
+    assert pitman_yor.score_documents(docs).count() == 40
+    assert {"pitman-first", "pitman-second"} <= {name for name, on in shown if on == "true"}
+    assert spark.conf.get(ngram_model._CLEANUP, None) is None
+
+
 def test_repeated_passages_raise_the_score(spark):
     """Words that end alike: only their sequence tells the passage from its words in another order."""
     held = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 7 == 2]
