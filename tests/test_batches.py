@@ -10,8 +10,8 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from lurewatch.functions import batches, draws, grams, text as tx
-from lurewatch.operators import perturb, textvec
+from lurewatch.functions import batches, draws, grams, lexicon_scan, text as tx
+from lurewatch.operators import canonicalize, perturb, textvec
 
 TEXTS = ["", None, "a", " --a  b_c-9 é ", "été!", "now now nownow anana ananas", "aaaaa", "\U0001d41a x\x01y", "ab " * 50, "z"]
 
@@ -167,3 +167,46 @@ def test_vocabulary_counts_only_pairs_of_words_in_reach(spark, monkeypatch, cap)
     assert (among is None) == (cap == 4000)
     if among is not None:
         assert textvec.term_document_frequency(docs, "word", among).count() < len(every)
+
+
+def test_kinds_of_settled_characters_are_the_engines(spark):
+    """No character of another kind in the engine, and none told that is not settled."""
+    points = [cp for first, last in tx.SETTLED for cp in range(first, last)]
+    rows = spark.createDataFrame([(cp, chr(cp)) for cp in points], "cp int, c string")
+    told = {tx.LETTER: r"^\p{L}$", tx.CAPITAL: r"^\p{Lu}$", tx.NUMBER: r"^\p{N}$"}
+    got = rows.select("cp", *[F.col("c").rlike(p).cast("int") for p in told.values()]).collect()
+    kinds = tx.kinds()
+    assert [r.cp for r in got if [int(kinds[r.cp] & bit > 0) for bit in told] != list(r)[1:] or not kinds[r.cp] & tx.KNOWN] == []
+    assert np.count_nonzero(kinds) == len(points)
+
+
+def _odd_texts(n):
+    rng = random.Random(11)
+    pool = ["a", "b", "é", "É", " ", " ", " ", "1", "0", "@", "$", "4", "_", ".", "\n", "K", "ſ", "İ", "ß", "½", "ﬁ", "№", "а", "Е", "​", "﻿", "́", "ｏ", "①", "𝐚", "가", "각", "ᄀ", "ᅡ", "字", "ა", "\U0001e030", "Ɤ", "pаyp4l", "s p a c e", "urgent", "paypal", "\x01"]
+    plain = [c for c in pool if all(ord(x) < 0x600 for x in c)]
+    return ["", None, " ", "a", "a b", "a b c", "​", "4", "p4", "p4s"] + ["".join(rng.choices(pool if i % 2 else plain, k=rng.randint(1, 30))) for i in range(n)]
+
+
+@pytest.mark.parametrize("budget", [9, 1 << 20])
+def test_mails_are_made_canonical_as_by_the_single_steps(spark, monkeypatch, budget):
+    monkeypatch.setattr(batches.sliced, "__defaults__", (budget,))
+    rows = spark.createDataFrame([(i, t, t) for i, t in enumerate(_odd_texts(2000))], "i int, subject string, t string").repartition(4)
+    step = canonicalize.normalize_homoglyphs(canonicalize.strip_zero_width(F.col("t")))
+    want = rows.withColumn("want", step).withColumn("want", canonicalize.despace_words(F.col("want"))).withColumn("want", canonicalize.deleet(F.col("want")))
+    got = canonicalize.canonicalize_mail(want.withColumn("body", F.regexp_replace("t", "://", "")))
+    assert [r for r in got.collect() if r.subject != r.want or r.body != r.want] == []
+    plan = canonicalize.canonicalize_mail(rows.withColumn("body", F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(subject" not in plan  # no step spells out all characters in the engine
+
+
+def test_letters_and_terms_are_counted_as_in_folded_text(spark):
+    rows = spark.createDataFrame([(t,) for t in _odd_texts(2000)], "t string")
+    n, hits = F.length("t"), lexicon_scan.lexicon_hits(F.col("t"), letters=True)
+    letters, capitals = (n - F.length(F.regexp_replace("t", p, "")) for p in (r"\p{L}+", r"\p{Lu}+"))
+    folded = lexicon_scan.lexicon_hits(F.col("f"))
+    got = rows.withColumn("f", tx.fold(F.col("t"))).select("t", hits.alias("h"), folded.alias("w"), letters.alias("l"), capitals.alias("c")).collect()
+    assert all(list(r.h)[:5] == list(r.w) for r in got)
+    assert all((r.h.letters, r.h.capitals) in ((r.l, r.c), (None, None)) for r in got)
+    assert all((r.h.letters is None) == (r.t is None or any(not tx.kinds()[ord(c)] for c in r.t)) for r in got)
+    plan = rows.select(hits)._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" not in plan and "lower" not in plan  # letters are folded by the kernel
