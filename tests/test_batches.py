@@ -206,7 +206,20 @@ def test_letters_and_terms_are_counted_as_in_folded_text(spark):
     folded = lexicon_scan.lexicon_hits(F.col("f"))
     got = rows.withColumn("f", tx.fold(F.col("t"))).select("t", hits.alias("h"), folded.alias("w"), letters.alias("l"), capitals.alias("c")).collect()
     assert all(list(r.h)[:5] == list(r.w) for r in got)
+    glyphs = rows.select("t", hits["homoglyph"].alias("got"), tx.has_homoglyph(F.col("t")).alias("want"))
+    assert glyphs.where("NOT got <=> want").count() == 0 < glyphs.where("got").count()
     assert all((r.h.letters, r.h.capitals) in ((r.l, r.c), (None, None)) for r in got)
     assert all((r.h.letters is None) == (r.t is None or any(not tx.kinds()[ord(c)] for c in r.t)) for r in got)
     plan = rows.select(hits)._jdf.queryExecution().optimizedPlan().toString()
     assert "translate" not in plan and "lower" not in plan  # letters are folded by the kernel
+
+
+def test_polishing_skips_no_place(spark):
+    """The patterns that look at first letters before their surroundings change the same texts."""
+    rng = random.Random(12)
+    pool = ["urgent", "URGENT", "ımmédıatement", "İMMÉDIATEMENT", "Immédiatement", "ſous 24h", "tout de suite", "MAINTENANT", "Cher", "CHÈRE", " ", " ", "  ", "\u2003", "\t", "\x1f", "\xa0", "client", "abonnée", "é", "a", ",", "!!", "\x7f"]
+    values = [None, "", " ", "a b", "\t", " \t"] + ["".join(rng.choices(pool, k=rng.randint(1, 12))) for _ in range(3000)]
+    rows = spark.createDataFrame([(v,) for v in values], "t string")
+    pairs = [(F.regexp_replace("t", a, "<>"), F.regexp_replace("t", b, "<>")) for a, b in ((perturb._GREETING, perturb._GREETING_ONCE), (perturb._PRESSURE, perturb._PRESSURE_ONCE))]
+    for want, got in [*pairs, (F.regexp_replace("t", f"[{tx._SPACE_CLASS}]+", " "), tx.single_spaced(F.col("t")))]:
+        assert rows.where(~got.eqNullSafe(want)).count() == 0 < rows.where(want != F.col("t")).count()
