@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lurewatch.functions import batches, draws, grams, lexicon_scan, text as tx
-from lurewatch.operators import canonicalize, perturb, textvec
+from lurewatch.operators import canonicalize, perturb, robustness, textvec
+from lurewatch.sources.weights import LinearScorer
 
 TEXTS = ["", None, "a", " --a  b_c-9 é ", "été!", "now now nownow anana ananas", "aaaaa", "\U0001d41a x\x01y", "ab " * 50, "z"]
 
@@ -223,3 +224,10 @@ def test_polishing_skips_no_place(spark):
     pairs = [(F.regexp_replace("t", a, "<>"), F.regexp_replace("t", b, "<>")) for a, b in ((perturb._GREETING, perturb._GREETING_ONCE), (perturb._PRESSURE, perturb._PRESSURE_ONCE))]
     for want, got in [*pairs, (F.regexp_replace("t", f"[{tx._SPACE_CLASS}]+", " "), tx.single_spaced(F.col("t")))]:
         assert rows.where(~got.eqNullSafe(want)).count() == 0 < rows.where(want != F.col("t")).count()
+
+
+def test_a_mail_is_perturbed_once(spark, mail):
+    """The rewriting of addresses stands in one place of the plan, not in each that reads the text."""
+    scores = robustness.variant_scores(mail, LinearScorer(), ["url_obfuscation", "ia_polie"])
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("@evil-") == 1
